@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing
+from . import licenses, mixing, packing
 from .common import table
 
 QUERIES = {}
@@ -37,3 +38,13 @@ def query(oracle: str | None = None):
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.in_training_order(mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"]))
     return mixed.select("doc.doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
