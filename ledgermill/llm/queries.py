@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, mixing, packing
+from . import exact_dedup, langid, licenses, mixing, packing
 from .common import table
 
 QUERIES = {}
@@ -48,3 +48,19 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query(r"""
+    WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') norm FROM documents)
+    SELECT doc_id, min(doc_id) OVER w keep_id, count(*) OVER w group_size, doc_id = min(doc_id) OVER w kept, sha256(norm) text_sha256
+    FROM t WINDOW w AS (PARTITION BY norm)
+""")
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.learned(docs))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
