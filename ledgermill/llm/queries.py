@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, langid, licenses, mixing, packing
+from . import exact_dedup, langid, licenses, mixing, ngram_join, packing
 from .common import table
 
 QUERIES = {}
@@ -64,3 +64,8 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.learned(docs))
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
