@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, langid, licenses, mixing, ngram_join, packing
+from . import exact_dedup, fingerprints, langid, licenses, mixing, ngram_join, packing, token_counts
 from .common import table
 
 QUERIES = {}
@@ -69,3 +69,13 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbour_fingerprints(table(spark, sf_dir, "documents"))
