@@ -2,25 +2,47 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgermill.llm import mixing
+from ledgermill.llm import exact_dedup, langid, mixing, ngram_join, packing
 from ledgermill.llm.common import saved, table
 
+#: No SQL: the stages train a classifier, hash shingles and run a tokenizer.
 ORACLE_SQL = None
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without letters, or that look like no learned language, go."""
+    return langid.accepted(docs)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Exact dedup: of equal texts the document with the smallest id stays."""
+    return exact_dedup.deduplicated(docs)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays."""
+    return ngram_join.representatives(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: documents in training order, repeated or cut as their source's target asks."""
     return mixing.training_rows(mixing.mix(docs))
 
 
-STAGES = [("mixing", mixed)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packing: the documents' tokens as pieces of training windows, with their ids."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
+STAGES = [("language ID", known_language), ("exact dedup", without_copies), ("n-gram Jaccard join", without_near_copies), ("mixing", mixed), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in order over documents, each one's result written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

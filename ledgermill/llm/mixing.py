@@ -136,10 +136,11 @@ def in_training_order(mixed: DataFrame) -> DataFrame:
 
 def training_rows(mixed: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The documents as they are trained on, range-sorted by position: a row per pass with the columns of the
-    documents; a document that a pass cuts has the first so many of its words."""
+    documents; a document that a pass cuts has the first so many of its words, parted by single spaces."""
     each = mixed.select("doc", "size", F.explode("passes").alias("p")).orderBy("p.position")
     names = each.schema["doc"].dataType.names
-    cut = F.when(F.col("p.words") < F.col("size"), F.regexp_extract(F.col("doc")[text_col], F.concat(F.lit(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]*+){"), F.col("p.words"), F.lit("}")), 0)).otherwise(F.col("doc")[text_col])
+    first = F.array_join(F.slice(F.regexp_extract_all(F.col("doc")[text_col], F.lit(WORD), F.lit(0)), 1, F.col("p.words").cast("int")), " ")
+    cut = F.when(F.col("p.words") < F.col("size"), first).otherwise(F.col("doc")[text_col])
     columns = {n: F.col("doc")[n] for n in names} | {text_col: cut}
     if chars_col in names:
         columns[chars_col] = F.when(F.col("p.words") < F.col("size"), F.length(cut).cast(each.schema["doc"].dataType[chars_col].dataType)).otherwise(F.col("doc")[chars_col])

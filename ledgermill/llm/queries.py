@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, fingerprints, langid, licenses, mixing, ngram_join, packing, token_counts
+from . import chat, exact_dedup, fingerprints, langid, licenses, mixing, ngram_join, packing, revisits, token_counts
 from .common import table
 
 QUERIES = {}
@@ -101,3 +101,23 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = done.withColumn("loss", loss)
     conv = F.when(F.startswith("tree", F.lit("1")), F.substring("tree", 2, 40).cast("long")).alias("conv_id")
     return done.select(conv, F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query(r"""
+    WITH u AS (SELECT *, regexp_replace(trim(url), '#.*$', '') x FROM pages),
+    s AS (SELECT *, regexp_extract(x, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?@]*@)?([^/?:]*)(?::(\d*))?([^?]*)(?:\?(.*))?$', ['host', 'port', 'path', 'query']) m FROM u),
+    q AS (SELECT *, array_to_string(list_sort(list_filter(string_split(m.query, '&'), lambda p: p <> '' AND NOT regexp_matches(lower(string_split(p, '=')[1]), '^(utm_.*|fbclid|gclid|ref)$'))), '&') qs FROM s),
+    c AS (SELECT page_id, coalesce(html, '') html, CASE WHEN m.host = '' THEN lower(x) ELSE regexp_replace(lower(m.host), '^www\.', '')
+        || CASE WHEN m.port IN ('', '80', '443') THEN '' ELSE ':' || m.port END || regexp_replace(m.path, '/+$', '') || CASE WHEN qs = '' THEN '' ELSE '?' || qs END END url FROM q),
+    f AS (SELECT 2 * page_id record_id, url, 10 * page_id date, md5(html) etag, 'day ' || page_id lm, sha256(html) digest, length(html) n, page_id FROM c),
+    r AS (SELECT 2 * page_id + 1 record_id, url, CASE WHEN page_id % 7 = 0 THEN 10 * page_id - 5 ELSE 10 * page_id + 10 * (page_id % 1000) + 5 END date,
+        CASE WHEN page_id % 3 = 0 THEN NULL WHEN page_id % 5 = 0 THEN md5('newer' || html) ELSE md5(html) END etag, 'day ' || page_id lm FROM c),
+    j AS (SELECT r.*, f.record_id fid, f.etag fetag, f.lm flm, f.digest fdigest, f.n fn FROM r LEFT JOIN f ON f.url = r.url AND f.date < r.date
+        QUALIFY row_number() OVER (PARTITION BY r.record_id ORDER BY f.date DESC NULLS LAST, f.record_id DESC) = 1),
+    k AS (SELECT *, fid IS NOT NULL AND coalesce(etag = fetag, lm = flm, false) ok FROM j)
+    SELECT record_id, url, date, CASE WHEN fid IS NULL THEN 'orphan' WHEN ok THEN 'resolved' ELSE 'mismatch' END status, CASE WHEN ok THEN fid END refers_to,
+        CASE WHEN ok THEN fdigest END digest, CASE WHEN ok THEN 'cache-control: max-age=60; content-length: ' || fn || '; content-type: text/html; date: later than ' || lm || '; etag: ' || fetag END headers FROM k
+""")
+def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve(revisits.captures(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "; "))
