@@ -203,7 +203,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: st
     return found.withColumns({lang_out: F.col("__langid.lang"), score_out: F.col("__langid.score")}).drop("__langid")
 
 
-def accepted(docs: DataFrame, least_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def accepted(docs: DataFrame, least_score: float = 0.35, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of docs in a language that the model learned from them, with a score of least_score or more; junk
     without letters and texts that look like no learned language go."""
     model = learned(docs, id_col, text_col=text_col, lang_col=lang_col)

@@ -4,12 +4,13 @@
    named by a 128-bit hash, so groups of copies of any size are combined in the map tasks that read them.
 2. A table of SKETCH counters, filled from all documents, orders shingles from rare to common. Two sets with Jaccard
    0.75 or more share a shingle among the first quarter of either in any such order, so each set posts only those.
-   Postings travel as packed arrays by hash range; sets that meet in a range and whose sizes allow a link are joined
-   in chains, never in all pairs. The components of these chains hold every link.
+   Postings travel as packed arrays by hash range. Where at most FEW sets meet under a shingle, their pairs are taken if
+   sizes and the shingle's places allow a link, and kept if their bitmap signatures do: the bits in which two differ
+   bound their overlap from above. Where more meet, they are joined in a chain by size, never in all pairs. The
+   components of pairs and chains hold every link.
 3. Each component is laid out as tiles. A small one is one tile; a large one is cut into blocks by size band, and a
-   tile is a pair of blocks whose bands can link. In a tile, sets carry bitmap signatures as wide as the tile's
-   largest set asks: the bits in which two differ bound their overlap from above, and only pairs that pass and aren't
-   connected yet are intersected as sorted arrays.
+   tile is a pair of blocks whose bands can link. In a tile, bitmaps as wide as its largest set asks bound the overlap
+   again, and only pairs that pass and aren't connected yet are intersected as sorted arrays.
 4. Links found in tiles are joined to components."""
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from .components import components
 N = 5
 #: Counters of the frequency table: 4 MB, whatever the corpus.
 SKETCH_BITS = 20
+#: So many sets that meet under a shingle are compared in pairs; more are chained.
+FEW = 8
 #: Postings of a hash range, about.
 RANGE_POSTINGS = 400_000
 #: Postings that a map task packs at a time.
@@ -86,6 +89,25 @@ def linked(overlap: int, n: int, m: int) -> bool:
     return 100 * overlap >= 75 * (n + m - overlap) and overlap > 0
 
 
+def bitmap(s: np.ndarray, bits: int = 0) -> np.ndarray:
+    """Which hashes modulo a power of two occur, 1 to 2 bits for each of the set's shingles, as 64-bit words."""
+    bits = bits or max(64, 1 << max(0, len(s) - 1).bit_length())
+    row = np.zeros(bits, dtype=bool)
+    row[(s & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(row, bitorder="little").view(np.uint64)
+
+
+def may_link(x: bytes, y: bytes, n: int, m: int) -> bool:
+    """Whether sets of n and m shingles with these bitmaps can link. The wider one is folded to the other's width."""
+    a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+    if len(a) > len(b):
+        a, b = b, a
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    differ = int(np.bitwise_count(a ^ b).sum())
+    return 7 * ((n + m - differ) // 2) >= 3 * (n + m)
+
+
 def _name(s: np.ndarray) -> tuple[int, int]:
     d = xxhash.xxh3_128_digest(s.tobytes())
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -101,13 +123,13 @@ _CHUNK = 1 << 14
 
 def _names_and_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document (its set's name and size), then the task's counters in chunks."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("counts", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.binary()), ("counts", pa.binary())])
     total, shift = np.zeros(1 << SKETCH_BITS, dtype=np.int64), np.uint64(64 - SKETCH_BITS)
     held: list[np.ndarray] = []
     size = 0
     for ids, sets in _read(batches):
         names = [_name(s) for s in sets]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.nulls(len(ids), pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), pa.nulls(len(ids), pa.binary())], schema=schema)
         held += sets
         size += sum(map(len, sets))
         if size > 1 << SKETCH_BITS:
@@ -117,7 +139,7 @@ def _names_and_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         total += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=len(total))
     if total.any():
         for i in range(0, len(total), _CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([i // _CHUNK], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([total[i : i + _CHUNK].tobytes()], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([i // _CHUNK], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total[i : i + _CHUNK].tobytes()], pa.binary())], schema=schema)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,18 +169,44 @@ def _components_in(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return nodes[some], nodes[root[some]]
 
 
-def _meetings(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The postings of a hash range, as edges: sets under one key in chains by size, where sizes allow a link."""
+def _unique(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+def _meetings(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The postings of a hash range, as edges a-b and whether they are of a chain. places: of the shingle in its set's
+    order, in 65536ths of the set, rounded down."""
     order = np.argsort(keys, kind="stable")
     k = keys[order]
     same = k[1:] == k[:-1]
     order = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
     order = order[np.lexsort((nodes[order], sizes[order], keys[order]))]
+    k, v = keys[order], nodes[order]
+    new = np.ones(len(k), dtype=bool)
+    new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])  # copies that several map tasks posted
+    order = order[new]
     k, v, n = keys[order], nodes[order], sizes[order].astype(np.int64)
-    may = (k[1:] == k[:-1]) & (v[1:] != v[:-1]) & (4 * n[:-1] >= 3 * n[1:])
-    if not may.any():
-        return v[:0], v[:0]
-    return _components_in(v[:-1][may], v[1:][may])
+    at = (places[order].astype(np.int64) * n) >> 16
+    starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.empty(0, dtype=np.int64)
+    runs = np.diff(np.concatenate((starts, [len(k)])))
+    few = np.repeat(runs <= FEW, runs)
+    a, b = [v[:0]], [v[:0]]
+    for d in range(1, min(FEW, len(k))):
+        i = np.flatnonzero((k[d:] == k[:-d]) & few[d:])
+        j = i + d
+        least = (3 * (n[i] + n[j]) + 6) // 7  # of what must be shared, this shingle and what stands after it in either
+        ok = (4 * n[i] >= 3 * n[j]) & (at[i] <= n[i] - least) & (at[j] <= n[j] - least)
+        a.append(v[i[ok]])
+        b.append(v[j[ok]])
+    x, y = _unique(np.concatenate(a), np.concatenate(b))
+    chained = (k[1:] == k[:-1]) & ~few[1:] & (4 * n[:-1] >= 3 * n[1:])
+    c, e = _components_in(v[:-1][chained], v[1:][chained]) if chained.any() else (v[:0], v[:0])
+    return np.concatenate((x, c)), np.concatenate((y, e)), np.repeat([False, True], [len(x), len(c)])
 
 
 def _tile_links(sets: list[np.ndarray], ids: np.ndarray, sides: np.ndarray) -> np.ndarray:
@@ -170,9 +218,7 @@ def _tile_links(sets: list[np.ndarray], ids: np.ndarray, sides: np.ndarray) -> n
     bits = 1 << min(15, max(9, int(2 * n[-1]).bit_length()))
     maps = np.zeros((len(sets), bits // 64), dtype=np.uint64)
     for i, s in enumerate(sets):
-        row = np.zeros(bits, dtype=bool)
-        row[(s & np.uint64(bits - 1)).astype(np.int64)] = True
-        maps[i] = np.packbits(row).view(np.uint64)
+        maps[i] = bitmap(s, bits)
     root = own.copy()
     for i in range(len(sets) - 1):
         end = int(np.searchsorted(n, 4 * n[i] // 3, side="right"))
@@ -224,14 +270,15 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     their texts agree, else documents of one name. Other columns aren't read."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    first = saved(slim.mapInArrow(_names_and_counts, "doc_id long, n long, s1 long, s2 long, counts binary"), "ngram-names")
-    names = first.where("counts is null").drop("counts")
+    first = saved(slim.mapInArrow(_names_and_counts, "doc_id long, n long, s1 long, s2 long, bits binary, counts binary"), "ngram-names")
+    names = first.where("counts is null").select("doc_id", "n", "s1", "s2")
     counters = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
     chunks = first.where("counts is not null").select("n", "counts").repartition("n").mapInArrow(_summed, "n long, counts binary")
     for r in chunks.collect():  # SKETCH_BITS bound what comes here: 8 MB
         counters[r["n"] * _CHUNK : (r["n"] + 1) * _CHUNK] = np.frombuffer(r["counts"], dtype=np.int64)
     counts = spark.sparkContext.broadcast(np.minimum(counters, 0xFFFFFFFF).astype(np.uint32))
-    reps = saved(names.where("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies")), "ngram-sets")
+    named = first.where("counts is null and n > 0").groupBy("s1", "s2")
+    reps = saved(named.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"), F.first("bits").alias("bits")), "ngram-sets")
     postings = reps.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, postings // 4 // RANGE_POSTINGS)
 
@@ -246,13 +293,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         def flush() -> Iterator[pa.RecordBatch]:
             h, k = np.concatenate(hashes), np.array(lengths)
             node, size = np.repeat(np.array(nodes, dtype=np.int64), k), np.repeat(np.array(sizes, dtype=np.uint32), k)
+            place = np.concatenate([np.arange(m, dtype=np.uint64) * np.uint64(65536) // np.uint64(n) for m, n in zip(lengths, sizes)]).astype(np.uint16)
             r = ((h & np.uint64(0xFFFFFFFF)) * np.uint64(ranges)) >> np.uint64(32)
             order = np.argsort(r, kind="stable")
-            r, key, node, size = r[order], (h[order] >> np.uint64(32)).astype(np.uint32), node[order], size[order]
+            r, key, node, size, place = r[order], (h[order] >> np.uint64(32)).astype(np.uint32), node[order], size[order], place[order]
             at = np.concatenate(([0], np.flatnonzero(r[1:] != r[:-1]) + 1, [len(r)])).tolist()
-            rows = [(int(r[a]), key[a:b].tobytes(), node[a:b].tobytes(), size[a:b].tobytes()) for a, b in zip(at, at[1:])]
+            rows = [(int(r[a]), key[a:b].tobytes(), node[a:b].tobytes(), size[a:b].tobytes(), place[a:b].tobytes()) for a, b in zip(at, at[1:])]
             for i in range(0, len(rows), 4096):
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows[i : i + 4096]), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["range", "keys", "nodes", "sizes"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows[i : i + 4096]), (pa.int32(), *[pa.binary()] * 4))], names=["range", "keys", "nodes", "sizes", "places"])
 
         held = 0
         for _, sets in _read(batches):
@@ -282,14 +330,20 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 held[r].append(arrays)
         for r in list(held):
             blobs = held.pop(r)
-            keys, nodes, sizes = (np.concatenate([np.frombuffer(x[i], dtype=t) for x in blobs]) for i, t in enumerate((np.uint32, np.int64, np.uint32)))
-            a, b = _meetings(keys, nodes, sizes)
+            a, b, chained = _meetings(*(np.concatenate([np.frombuffer(x[i], dtype=t) for x in blobs]) for i, t in enumerate((np.uint32, np.int64, np.uint32, np.uint16))))
             for i in range(0, len(a), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(a[i : i + (1 << 16)]), pa.array(b[i : i + (1 << 16)])], names=["a", "b"])
-
-    posted = slim.mapInArrow(post, "range int, keys binary, nodes binary, sizes binary")
-    chains = components(posted.repartition("range").mapInArrow(meet, "a long, b long"))
-    groups = saved(reps.where("rep is not null").join(chains.select(F.col("node").alias("s1"), F.col("root").alias("comp")), "s1").select("s1", "s2", "rep", "n", "comp"), "ngram-groups")
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in (a, b, chained)], names=["a", "b", "chained"])
+
+    @F.arrow_udf("boolean")
+    def may(x: pa.Array, y: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
+        return pa.array([may_link(*p) for p in zip(*(c.to_pylist() for c in (x, y, n, m)), strict=True)], pa.bool_())
+
+    posted = slim.mapInArrow(post, "range int, keys binary, nodes binary, sizes binary, places binary")
+    met = saved(posted.repartition("range").mapInArrow(meet, "a long, b long, chained boolean").distinct(), "ngram-met")
+    x, y = (reps.select(F.col("s1").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in ("a", "b"))
+    pairs = met.where("not chained").select("a", "b").join(x, "a").join(y, "b").where(may("bits_a", "bits_b", "n_a", "n_b"))
+    near = components(met.where("chained").select("a", "b").unionByName(pairs.select("a", "b")))
+    groups = saved(reps.where("rep is not null").join(near.select(F.col("node").alias("s1"), F.col("root").alias("comp")), "s1").select("s1", "s2", "rep", "n", "comp"), "ngram-groups")
     tiles = saved(_laid_out(groups), "ngram-tiles")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
