@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import rows_of, saved, small
@@ -143,10 +144,10 @@ _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edi
 def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per row of docs: the fingerprint of its text and of its edited text, and the likeness of the first to the
     second (near_edited) and to the next document's (near_next). The next document is the next by id, after the last
-    the first; rows of one id stand in the order of their texts, null ids before all others, null texts are empty.
+    the first; rows of one id stand in a fixed order, null ids before all others, null texts are empty.
     shared_bands: how many band values the text and the edited text share. An only document is its own next.
 
-    Texts are moved once. Ids are cut into blocks at approximate quantiles; each block's first document is also sent to
+    Texts are moved once, compressed. Ids are cut into blocks at approximate quantiles; each block's first document is also sent to
     the block before, so that every block has its last document's next one."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("at"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -170,15 +171,21 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
         ids = at.to_numpy(zero_copy_only=False)
         return pa.array([[int(b)] if (p := before.get(int(i))) is None else [int(b), -1 - p] for i, b in zip(ids, block_of(ids))], pa.list_(pa.int32()))
 
-    dealt = slim.withColumn("place", F.explode(placed("at"))).withColumn("block", F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")))
+    @F.arrow_udf("binary")
+    def squeezed(texts: pa.Array) -> pa.Array:
+        press = zstandard.ZstdCompressor(level=1)
+        return pa.array([press.compress(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+
+    dealt = slim.select("doc_id", "at", squeezed("text").alias("text"), placed("at").alias("places")).withColumn("place", F.explode("places")).withColumn("block", F.when(F.col("place") < 0, -1 - F.col("place")).otherwise(F.col("place")))
     ordered = dealt.repartition("block").sortWithinPartitions("block", (F.col("place") < 0), "at", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int | None] = []
         texts: list[str] = []
         size, current, ended = 0, None, False
+        press = zstandard.ZstdDecompressor()
 
-        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+        def flush() -> Iterator[pa.RecordBatch]:
             """All held documents but the last, which is then the first of the next flush."""
             n = len(texts) - 1
             edited = [edited_text(texts[i], texts[i + 1]) for i in range(n)]
@@ -194,19 +201,19 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
             for i, text, place, blk in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "place", "block")), strict=True):
                 if blk != current:
                     if len(texts) > 1:
-                        yield from flush(True)
+                        yield from flush()
                     ids, texts, size, current, ended = [], [], 0, blk, False
                 if ended:
                     continue  # further rows of the next block's first id
                 ids.append(i)
-                texts.append(text)
-                size += len(text)
+                texts.append(press.decompress(text).decode("utf-8", "replace"))
+                size += len(texts[-1])
                 ended = place < 0
                 if size >= BATCH_CHARS and len(texts) > 1:
-                    yield from flush(False)
+                    yield from flush()
                     ids, texts, size = ids[-1:], texts[-1:], len(texts[-1])
         if len(texts) > 1:
-            yield from flush(True)
+            yield from flush()
 
     return ordered.select("doc_id", "text", "place", "block").mapInArrow(run, _OUT).withColumnRenamed("doc_id", id_col)
 
