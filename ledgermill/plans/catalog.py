@@ -1,8 +1,16 @@
-"""Registered queries over the driver tables and their SQL counterparts."""
+"""Registered queries over the driver tables and their SQL counterparts.
+
+`events` serves as a log of observations: the key is user_id, arrival is event_id, an event of type 'error' is a partial
+observation and all others are complete ones, and the day is the run."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from ..functions import classify, html, text as T, urls as U
+from ..operators import history, joins, normalize
+from ..streaming.ingest import session_ranks
+from . import export
 
 QUERIES = {}
 ORACLES = {}
@@ -14,7 +22,7 @@ def query(oracle: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
         if oracle:
-            ORACLES[f.__name__] = oracle
+            ORACLES[f.__name__] = _LOG + oracle if "FROM log" in oracle else oracle
         return f
 
     return add
@@ -24,6 +32,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOG = """WITH log AS (SELECT user_id::VARCHAR dedup_key, event_id seq, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') captured_at,
+    CASE WHEN event_type = 'error' THEN 'partial' ELSE 'complete' END capture_status, strftime(ts, '%Y-%m-%d') run_id,
+    sha256(event_type || '|' || props) content_hash, event_type, props, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'id' || (user_id % 50) END source_job_id,
+    CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'https://example.com/' || (event_id % 40) END canonical_url,
+    event_type profile, 'q' || (event_id % 2) query, '' location, CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 97 END "position",
+    CASE WHEN event_id % 6 = 0 THEN NULL ELSE event_id % 11 END page_number, CASE WHEN event_id % 7 = 0 THEN '{}' ELSE props END metadata FROM events)
+"""
+
+
+def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, i = table(spark, sf_dir, "events"), F.col("event_id")
+    none = F.lit(None)
+    return e.select(
+        F.col("user_id").cast("string").alias("dedup_key"),
+        i.alias("seq"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured_at"),
+        F.when(F.col("event_type") == "error", "partial").otherwise("complete").alias("capture_status"),
+        F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
+        F.sha2(F.concat("event_type", F.lit("|"), "props"), 256).alias("content_hash"),
+        "event_type",
+        "props",
+        F.when(i % 3 != 0, F.concat(F.lit("id"), (F.col("user_id") % 50).cast("string"))).alias("source_job_id"),
+        F.when(i % 4 != 0, F.concat(F.lit("https://example.com/"), (i % 40).cast("string"))).alias("canonical_url"),
+        F.col("event_type").alias("profile"),
+        F.concat(F.lit("q"), (i % 2).cast("string")).alias("query"),
+        F.lit("").alias("location"),
+        F.when(i % 5 != 0, i % 97).alias("position"),
+        F.when(i % 6 != 0, i % 11).alias("page_number"),
+        F.when(i % 7 == 0, "{}").otherwise(F.col("props")).alias("metadata"),
+        none.cast("string").alias("search_url"),
+        F.lit("events").alias("source"),
+    )
+
+
 @query("""
     SELECT user_id, event_id, event_type, value, props FROM events WHERE event_type <> 'error'
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
@@ -32,3 +74,328 @@ def latest_complete_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["event_id", "event_type", "value", "props"]
     newest = F.max_by(F.struct(*cols), F.struct("ts", "event_id"))
     return table(spark, sf_dir, "events").where("event_type <> 'error'").groupBy("user_id").agg(newest.alias("r")).select("user_id", "r.*")
+
+
+@query("""
+    SELECT dedup_key, min(seq) first_seq, arg_min(captured_at, seq) first_seen_at, max(captured_at) last_seen_at,
+        coalesce(arg_max(seq, seq) FILTER (WHERE capture_status = 'complete'), max(seq)) seq, coalesce(arg_max(event_type, seq) FILTER (WHERE capture_status = 'complete'), arg_max(event_type, seq)) event_type
+    FROM log GROUP BY dedup_key
+""")
+def latest_any_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.latest(log(spark, sf_dir)).select("dedup_key", "first_seq", "first_seen_at", "last_seen_at", "seq", "event_type")
+
+
+@query("""
+    , jobs AS (SELECT dedup_key, coalesce(arg_max(content_hash, seq) FILTER (WHERE capture_status = 'complete'), arg_max(content_hash, seq)) content_hash FROM log GROUP BY 1),
+    snaps AS (SELECT dedup_key, content_hash, min(seq) seq, arg_min(event_type, seq) event_type FROM log GROUP BY 1, 2)
+    SELECT dedup_key, content_hash, seq, event_type FROM jobs JOIN snaps USING (dedup_key, content_hash)
+""")
+def latest_pointer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = log(spark, sf_dir)
+    return history.latest_by_pointer(history.identities(rows), history.snapshots(rows)).select("dedup_key", "content_hash", "seq", "event_type")
+
+
+@query("""
+    SELECT dedup_key, seq, captured_at FROM log WHERE capture_status = 'complete' QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY captured_at DESC, seq DESC) = 1
+""")
+def newest_complete_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.newest(log(spark, sf_dir), complete_only=True).select("dedup_key", "seq", "captured_at")
+
+
+@query("SELECT dedup_key, seq, captured_at FROM log QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY captured_at DESC, seq DESC) = 1")
+def newest_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.newest(log(spark, sf_dir)).select("dedup_key", "seq", "captured_at")
+
+
+@query("""
+    SELECT dedup_key, min(seq) first_seq, 'events' source, arg_min(source_job_id, seq) FILTER (WHERE source_job_id IS NOT NULL) source_job_id,
+        arg_max(canonical_url, seq) FILTER (WHERE canonical_url IS NOT NULL) canonical_url, arg_min(captured_at, seq) first_seen_at, max(captured_at) last_seen_at,
+        arg_min(run_id, seq) first_seen_run_id, arg_max(run_id, seq) last_seen_run_id, arg_max(content_hash, seq) latest_hash,
+        arg_max(content_hash, seq) FILTER (WHERE capture_status = 'complete') latest_complete_hash FROM log GROUP BY dedup_key
+""")
+def identity_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.identities(log(spark, sf_dir))
+
+
+@query("SELECT dedup_key, content_hash, min(seq) seq, arg_min(captured_at, seq) captured_at, arg_min(props, seq) props FROM log GROUP BY 1, 2")
+def snapshot_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.snapshots(log(spark, sf_dir), "seq", "captured_at", "props")
+
+
+@query("SELECT sha256(text) content_hash, min(doc_id) doc_id, count(*) n FROM documents GROUP BY 1")
+def content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("content_hash")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+
+
+@query("""
+    SELECT seq, row_number() OVER (PARTITION BY dedup_key ORDER BY seq) = 1 new_job, row_number() OVER (PARTITION BY dedup_key, content_hash ORDER BY seq) = 1 new_snapshot,
+        row_number() OVER (PARTITION BY run_id, dedup_key, profile, query, location ORDER BY seq) = 1 new_hit FROM log
+""")
+def change_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.change_flags(log(spark, sf_dir)).select("seq", "new_job", "new_snapshot", "new_hit")
+
+
+@query("""
+    , f AS (SELECT run_id, row_number() OVER (PARTITION BY dedup_key ORDER BY seq) = 1 j, row_number() OVER (PARTITION BY dedup_key, content_hash ORDER BY seq) = 1 s,
+        row_number() OVER (PARTITION BY run_id, dedup_key, profile, query, location ORDER BY seq) = 1 h FROM log)
+    SELECT run_id, count(*) FILTER (WHERE h) discovered, count(*) FILTER (WHERE h) hits, count(*) FILTER (WHERE j) new_jobs, count(*) FILTER (WHERE s) new_snapshots,
+        count(*) FILTER (WHERE NOT s) duplicate_snapshots FROM f GROUP BY run_id
+""")
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.run_counters(history.change_flags(log(spark, sf_dir)))
+
+
+@query("""
+    , r AS (SELECT run_id, sum(greatest(CASE WHEN capture_status = 'partial' THEN 1 ELSE -1 END, 0))::BIGINT errors, CASE WHEN max(seq) % 2 = 0 THEN 'finished' ELSE 'shutdown' END reason FROM log WHERE seq % 50 = 0 GROUP BY run_id)
+    SELECT run_id, errors, CASE WHEN errors > 0 THEN 'failed' WHEN reason = 'finished' THEN 'finished' ELSE 'stopped' END status FROM r
+""")
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = log(spark, sf_dir).where("seq % 50 = 0").withColumn("errors", F.when(F.col("capture_status") == "partial", 1).otherwise(-1))
+    reasons = rows.groupBy("run_id").agg(F.when(F.max("seq") % 2 == 0, "finished").otherwise("shutdown").alias("reason"))
+    return history.run_errors(rows).join(reasons, "run_id").select("run_id", "errors", history.run_status(F.col("errors"), F.col("reason")).alias("status"))
+
+
+@query("""
+    SELECT run_id, dedup_key, profile, query, location, arg_max(content_hash, seq) content_hash, arg_max(canonical_url, seq) FILTER (WHERE canonical_url IS NOT NULL) hit_url, min("position") "position",
+        arg_min(page_number, seq) FILTER (WHERE page_number IS NOT NULL) page_number, coalesce(arg_max(metadata, seq) FILTER (WHERE metadata <> '{}'), arg_min(metadata, seq)) metadata, arg_min(captured_at, seq) discovered_at
+    FROM log GROUP BY 1, 2, 3, 4, 5
+""")
+def hit_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = log(spark, sf_dir).withColumns({"hit_url": F.col("canonical_url"), "discovered_at": F.col("captured_at")})
+    return history.hits(rows).drop("search_url")
+
+
+@query("""
+    SELECT conv_id, arg_min(text, turn) FILTER (WHERE role = 'system' AND text <> '') system_text, arg_min(text, turn) FILTER (WHERE role = 'user' AND text <> '') user_text,
+        arg_min(text, turn) FILTER (WHERE role = 'assistant' AND text <> '') assistant_text FROM conversations GROUP BY conv_id
+""")
+def card_merge_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = lambda role: history.first("text", "turn", (F.col("role") == role) & (F.col("text") != "")).alias(f"{role}_text")
+    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(first("system"), first("user"), first("assistant"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F') AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = c_nationkey AND s_acctbal < -900)")
+def skip_existing_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("source_job_id"))
+    poor = table(spark, sf_dir, "supplier").where("s_acctbal < -900").select(F.col("s_nationkey").alias("canonical_url"))
+    found = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("source_job_id"), F.col("c_nationkey").alias("canonical_url"), "c_name")
+    return joins.unknown(found, done, poor).select(F.col("source_job_id").alias("c_custkey"), "c_name")
+
+
+@query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
+def existing_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, sf_dir, "customer").select("c_custkey").join(urgent, "c_custkey", "left_semi")
+
+
+@query("""
+    , o AS (SELECT o_custkey, arg_max(o_orderpriority, o_orderkey) priority FROM orders GROUP BY 1)
+    SELECT c_custkey, coalesce(nullif(priority, ''), c_mktsegment) title, c_name company FROM customer LEFT JOIN o ON c_custkey = o_custkey
+""".replace(", o AS", "WITH o AS", 1))
+def stub_enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stubs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("dedup_key"), F.col("c_mktsegment").alias("title"), F.col("c_name").alias("company"))
+    found = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("dedup_key")).agg(F.max_by("o_orderpriority", "o_orderkey").alias("title")).withColumn("company", F.lit(""))
+    return joins.enriched(stubs, found, fields=("title", "company")).select(F.col("dedup_key").alias("c_custkey"), "title", "company")
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS "day" FROM orders WHERE o_orderdate >= TIMESTAMP '1997-03-01' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 500
+""")
+def since_filter_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").withColumn("seen", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    rows = rows.where(history.since(F.col("seen"), export.since_text("1997-03-01T03:00:00+03:00"))).orderBy(F.desc("seen"), F.desc("o_orderkey")).limit(500)
+    return rows.select("o_orderkey", "o_custkey", F.substring("seen", 1, 10).alias("day"))
+
+
+@query("""
+    SELECT d.doc_id, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic = 0 AND length(trim(coalesce(d.text, ''))) > 0 AND length(trim(coalesce(d.source, ''))) > 0 AND l.quality = 1
+""")
+def complete_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").where("toxic = 0")
+    rows = rows.withColumns({"capture_status": F.when(F.col("quality") == 1, "complete").otherwise("partial"), "company": F.col("source"), "title": F.col("lang"), "description": F.col("text"), "source_url": F.col("source"), "canonical_url": F.lit(None).cast("string")})
+    return rows.where(history.full()).select("doc_id", "quality")
+
+
+@query(r"""
+    WITH p AS (SELECT page_id, url, regexp_extract(url, '^([^:/?#]+)://([^/?#]*)([^?#]*)\??([^#]*)', ['scheme', 'host', 'path', 'query']) m FROM pages),
+    q AS (SELECT page_id, m, regexp_replace(m.path, '/{2,}', '/', 'g') path, list_sort(list_filter(string_split(m.query, '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_'))) kept FROM p)
+    SELECT page_id, lower(m.scheme) || '://' || lower(m.host) || CASE WHEN path IN ('', '/') THEN '/' ELSE regexp_replace(path, '/+$', '') END || CASE WHEN len(kept) = 0 THEN '' ELSE '?' || array_to_string(kept, '&') END url FROM q
+""")
+def canonicalize_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", U.canonicalize_url(F.col("url")).alias("url"))
+
+
+@query("SELECT page_id, h host, h = 'example.org' OR h LIKE '%.example.org' within_domain FROM (SELECT page_id, lower(regexp_extract(url, '://([^/:?#]*)', 1)) h FROM pages)")
+def host_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host = U.hostname(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", host.alias("host"), U.host_within(host, "example.org").alias("within_domain"))
+
+
+@query(r"SELECT page_id, nullif(regexp_extract(u, '/jobs/view/(?:[^/?#]*-)?(\d+)(?:[/?#]|$)', 1), '') source_job_id FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://www.linkedin.com/jobs/view/role-' || page_id || '?x=1' ELSE url END u FROM pages)")
+def listing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("https://www.linkedin.com/jobs/view/role-"), F.col("page_id").cast("string"), F.lit("?x=1"))).otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", U.extract_source_job_id(url).alias("source_job_id"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) cleaned FROM documents")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", T.clean_text(F.col("text")).alias("cleaned"))
+
+
+@query(r"SELECT doc_id, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) key FROM documents")
+def casefold_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", T.casefold_key(F.col("text")).alias("key"))
+
+
+@query(r"""
+    SELECT p_partkey, try_cast(nullif(regexp_replace(regexp_extract(s, '-?\d[\d\s,.]*'), '[^\d-]', '', 'g'), '') AS BIGINT) n FROM (SELECT p_partkey, p_type || ' over ' || format('{:,}', p_size * 1234) || ' sold' s FROM part)
+""")
+def integer_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.concat("p_type", F.lit(" over "), F.format_number(F.col("p_size") * 1234, 0), F.lit(" sold"))
+    return table(spark, sf_dir, "part").select("p_partkey", T.integer(said).alias("n"))
+
+
+@query(r"""
+    SELECT p_partkey, CASE WHEN s LIKE '%.%' THEN rtrim(rtrim(s, '0'), '.') ELSE s END amount FROM (SELECT p_partkey, (p_retailprice::DECIMAL(18, 2))::VARCHAR s FROM part)
+""")
+def decimal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.format_number(F.col("p_retailprice").cast("decimal(18,2)"), 4)
+    return table(spark, sf_dir, "part").select("p_partkey", T.decimal_text(said).alias("amount"))
+
+
+@query("SELECT o_orderkey, replace(format('{:,}', o_orderkey * 1000), ',', ' ') shown FROM orders")
+def format_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey", T.format_number(F.col("o_orderkey") * 1000).alias("shown"))
+
+
+@query("""
+    WITH s AS (SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN p_size * 1000 END lo, CASE WHEN p_size % 4 <> 0 THEN p_size * 2000 END hi FROM part)
+    SELECT p_partkey, CASE WHEN lo IS NULL AND hi IS NULL THEN 'by agreement' ELSE CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN replace(format('{:,}', lo), ',', ' ') || '–' || replace(format('{:,}', hi), ',', ' ')
+        WHEN lo IS NOT NULL THEN 'from ' || replace(format('{:,}', lo), ',', ' ') ELSE 'up to ' || replace(format('{:,}', hi), ',', ' ') END || ' USD / year' END label FROM s
+""")
+def salary_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("p_size")
+    low, high = F.when(n % 3 != 0, n * 1000), F.when(n % 4 != 0, n * 2000)
+    return table(spark, sf_dir, "part").select("p_partkey", T.salary_label(low, high, F.lit("usd"), F.lit("Year"), F.lit("by agreement")).alias("label"))
+
+
+@query("""
+    SELECT event_id, CASE event_id % 5 WHEN 0 THEN DATE '2024-03-10' WHEN 1 THEN DATE '2024-03-10' - (event_id % 9 + 1)::INT WHEN 2 THEN DATE '2024-03-10' - 7 * (event_id % 3 + 1)::INT WHEN 3 THEN ts::DATE END posted FROM events
+""")
+def parse_date_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("event_id")
+    said = (
+        F.when(i % 5 == 0, F.lit("3 hours ago"))
+        .when(i % 5 == 1, F.concat((i % 9 + 1).cast("string"), F.lit(" days ago")))
+        .when(i % 5 == 2, F.concat((i % 3 + 1).cast("string"), F.lit(" недели назад")))
+        .when(i % 5 == 3, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+03:00'"))
+        .otherwise("2 months ago")
+    )
+    return table(spark, sf_dir, "events").select("event_id", T.parse_date(said, F.lit("2024-03-10").cast("date")).alias("posted"))
+
+
+@query("SELECT event_id, strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS "at" FROM events")
+def iso_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", T.iso_value(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+03:00'")).alias("at"))
+
+
+@query(r"""
+    SELECT doc_id, CASE WHEN regexp_matches(lower(text), '\bthe of\b') THEN 'hybrid' WHEN regexp_matches(lower(text), '\band\b') THEN 'on-site' ELSE 'unknown' END kind FROM documents WHERE lang = 'en'
+""")
+def workplace_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.when(F.lower("text").rlike(r"(?U)\bthe of\b"), "a Hybrid role").when(F.lower("text").rlike(r"(?U)\band\b"), "work on site").otherwise("hybrids")
+    return table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", classify.workplace(F.lit(None).cast("string"), said)["type"].alias("kind"))
+
+
+@query("""
+    SELECT event_id, CASE event_type WHEN 'click' THEN 'full-time' WHEN 'view' THEN 'contract' ELSE 'unknown' END kind, CASE event_type WHEN 'click' THEN 'Full-time' WHEN 'view' THEN 'Contract' ELSE 'Not specified' END shown FROM events
+""")
+def enum_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.when(F.col("event_type") == "click", " FULL_TIME ").when(F.col("event_type") == "view", "Contractor").otherwise("other")
+    kind = classify.employment_type(said)
+    return table(spark, sf_dir, "events").select("event_id", kind.alias("kind"), classify.display(kind, classify.EMPLOYMENT_NAMES["en"]).alias("shown"))
+
+
+@query(r"SELECT doc_id, CASE WHEN regexp_matches(s, '^\s*[=+\-@]|^[\t\r\n]') THEN '''' || s ELSE s END cell FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '=' || substr(text, 1, 40) WHEN doc_id % 3 = 1 THEN '  -' || doc_id ELSE substr(text, 1, 40) END s FROM documents)")
+def csv_safe_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, start = F.col("doc_id"), F.substring("text", 1, 40)
+    said = F.when(i % 3 == 0, F.concat(F.lit("="), start)).when(i % 3 == 1, F.concat(F.lit("  -"), i.cast("string"))).otherwise(start)
+    return table(spark, sf_dir, "documents").select("doc_id", T.csv_safe_cell(said).alias("cell"))
+
+
+@query("SELECT doc_id::VARCHAR AS \"ID\", source AS \"Company\", lang AS \"Role\", 'New' AS \"Status\", 'Remote' AS \"Workplace\" FROM documents")
+def tracker_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    none = F.lit(None).cast("string")
+    blank = {c: none for c in ("source_url", "canonical_url", "location", "employment_type", "salary_min", "salary_max", "salary_currency", "salary_interval", "salary_text", "first_seen_at", "last_seen_at", "captured_at")}
+    rows = d.select(F.col("doc_id").cast("string").alias("source_job_id"), F.lit("k").alias("dedup_key"), F.col("source").alias("company"), F.col("lang").alias("title"), F.lit("remote").alias("workplace_type"), *(c.alias(n) for n, c in blank.items()))
+    return export.tracker(rows).select("ID", "Company", "Role", "Status", "Workplace")
+
+
+@query("SELECT event_id, (props::JSON->>'k')::BIGINT k, sha256(props) props_hash FROM events")
+def json_extract_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k"), F.sha2("props", 256).alias("props_hash"))
+
+
+@query("""SELECT event_id, '{"k":' || (props::JSON->>'k') || '}' canonical FROM events""")
+def json_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", T.json_text(F.col("props")).alias("canonical"))
+
+
+@query("SELECT 'customer' AS \"table\", count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events")
+def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.table_counts(**{n: table(spark, sf_dir, n) for n in ("customer", "orders", "lineitem", "events")})
+
+
+@query("""
+    , f AS (SELECT dedup_key, min(substr(captured_at, 1, 13)) r FROM log GROUP BY 1), n AS (SELECT r, count(*) new_keys FROM f GROUP BY 1), a AS (SELECT DISTINCT substr(captured_at, 1, 13) AS round FROM log)
+    SELECT round, coalesce(new_keys, 0)::BIGINT new_keys, sum(coalesce(new_keys, 0)) OVER (ORDER BY round)::BIGINT seen FROM a LEFT JOIN n ON r = round
+""")
+def growth_by_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.growth(log(spark, sf_dir).withColumn("round", F.substring("captured_at", 1, 13)), "dedup_key", "round")
+
+
+@query("""
+    , f AS (SELECT run_id AS session, dedup_key AS identity, min(seq) seq FROM log GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY seq) rank FROM f)
+    SELECT session, identity, seq, rank, (rank - 1) // 10 AS chunk FROM r WHERE rank <= 25
+""")
+def session_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return session_ranks(log(spark, sf_dir).select(F.col("run_id").alias("session"), F.col("dedup_key").alias("identity"), "seq"), target=25, chunk=10)
+
+
+@query("""
+    , k AS (SELECT *, 'events:id:' || source_job_id d FROM log WHERE source_job_id IS NOT NULL),
+    x AS (SELECT seq, source_job_id, d, CASE WHEN seq % 11 = 0 THEN 'events:' || source_job_id ELSE d END k FROM k),
+    y AS (SELECT *, min(seq) FILTER (WHERE k <> d) OVER (PARTITION BY source_job_id) o, min(seq) FILTER (WHERE k = d) OVER (PARTITION BY source_job_id) w FROM x)
+    SELECT seq, CASE WHEN k = d AND o < w THEN 'events:' || source_job_id ELSE k END dedup_key FROM y
+""")
+def legacy_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = log(spark, sf_dir).where("source_job_id is not null").withColumn("default_key", normalize.default_key(F.col("source"), F.col("source_job_id"), F.col("canonical_url")))
+    rows = rows.withColumn("dedup_key", F.when(F.col("seq") % 11 == 0, F.concat("source", F.lit(":"), "source_job_id")).otherwise(F.col("default_key")))
+    return history.resolved_keys(rows).select("seq", "dedup_key")
+
+
+@query("""
+    , j AS (SELECT dedup_key, row_number() OVER (ORDER BY min(seq)) job_id FROM log GROUP BY 1) SELECT dedup_key, job_id FROM j
+""")
+def numbered_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.numbered(history.identities(log(spark, sf_dir))).select("dedup_key", "job_id")
+
+
+@query()
+def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", html.html_to_text(F.col("html")).alias("text"))
+
+
+@query()
+def page_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.detail import details
+
+    return details(table(spark, sf_dir, "pages"), F.lit("2024-03-10").cast("date")).select("page_id", "title", "company", "description", "workplace_type", "capture_status")
+
+
+@query()
+def normalized_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.concat(F.lit("https://example.com/d/"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("description"), F.col("source").alias("company_name"), F.col("lang").alias("job_title"), "doc_id")
+    out = normalize.normalized(rows, F.lit("2024-03-10").cast("timestamp"), keep=("doc_id",))
+    return out.select("doc_id", "dedup_key", "content_hash", "capture_status", "captured_at")
