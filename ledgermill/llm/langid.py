@@ -142,7 +142,8 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Learns from the rows of docs with a language and a text. Rows are its only input: held-out ones must be gone."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
-    labels = sorted(r["_lang"] for r in known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect())
+    sizes = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()}
+    labels = sorted(sizes)
     if not labels:
         return Model([], np.ones(FEATURES), np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
     df = {r["feature"]: r["n"] for r in known.select("_text").mapInArrow(_document_counts, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}  # at most FEATURES + 1 rows
@@ -151,8 +152,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     seen[list(df)] = list(df.values())
     idf = np.log((1 + total) / (1 + seen)) + 1
     hashed = F.xxhash64("_id", F.lit(10))
+    # Hashes under a bound that twice as many documents as needed are expected to meet: so few rows of a language meet.
+    bound = F.create_map(*(x for label, n in sizes.items() for x in (F.lit(label), F.lit(min((1 << 63) - 1, int((min(1.0, (2 * per_language + 100) / n) * 2 - 1) * 2.0**63))))))
     lowest = F.row_number().over(W.partitionBy("_lang").orderBy("_hash", "_id"))
-    chosen = known.where(F.col("_lang").isin(labels)).select("_id", "_lang", hashed.alias("_hash")).withColumn("_n", lowest).where(F.col("_n") <= per_language)
+    chosen = known.where(F.col("_lang").isin(labels)).select("_id", "_lang", hashed.alias("_hash")).where(F.col("_hash") <= bound[F.col("_lang")]).withColumn("_n", lowest).where(F.col("_n") <= per_language)
     chosen = saved(chosen.select("_id", "_lang").dropDuplicates(["_id"]), "langid-sample")
     sample = known.drop("_lang").join(small(chosen), "_id").dropDuplicates(["_id"]).select("_id", "_lang", "_text")
 

@@ -113,13 +113,13 @@ def mix(
     cells = saved(cells.drop("cell_size"), "mix-shares")
     inside = W.partitionBy("source_key", "cell").orderBy("_hash", "_id", "size").rowsBetween(W.unboundedPreceding, -1)
     df = sized.join(small(cells), ["source_key", "cell"]).withColumn("_before", F.col("cell_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    df = df.withColumn("_full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
+    df = df.withColumn("_full", F.when(F.col("source_size") > 0, F.floor(F.try_divide(F.col("target"), F.col("source_size")))).otherwise(0).cast("long"))
     rest = F.floor(F.col("target") - F.col("_full") * F.col("source_size"))
     df = df.withColumn("_part", F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_before"))).cast("long"))
 
     def one(p: Column) -> Column:
         words = F.when(p < F.col("_full"), F.col("size")).otherwise(F.col("_part"))
-        middle = F.least(F.lit(1.0), (p * F.col("source_size") + F.col("_before") + words / 2) / F.col("target"))
+        middle = F.least(F.lit(1.0), F.try_divide(p * F.col("source_size") + F.col("_before") + words / 2, F.col("target")))
         at = F.coalesce(*(F.when(F.col("class") == i, inverse_demand(middle, s)) for i, s in enumerate(schedules)))
         return F.struct(p.cast("int").alias("pass"), words.alias("words"), at.alias("position"))
 
@@ -130,8 +130,10 @@ def mix(
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:
-    """mix()'s rows range-sorted by their first position; documents that aren't taken stand last."""
-    return mixed.withColumn("_at", F.coalesce(F.get("passes", F.lit(0))["position"], F.lit(2.0))).orderBy("_at").drop("_at")
+    """mix()'s rows range-sorted by their first position; documents that aren't taken stand last, by a hash, so that they
+    are dealt out too."""
+    first = F.coalesce(F.get("passes", F.lit(0))["position"], F.lit(2.0))
+    return mixed.withColumns({"_at": first, "_tie": F.xxhash64("doc", "size")}).orderBy("_at", "_tie").drop("_at", "_tie")
 
 
 def training_rows(mixed: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
