@@ -294,9 +294,9 @@ def parse_date_relative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", T.parse_date(said, F.lit("2024-03-10").cast("date")).alias("posted"))
 
 
-@query("SELECT event_id, strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS "at" FROM events")
+@query("SELECT event_id, strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS stamp FROM events")
 def iso_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", T.iso_value(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+03:00'")).alias("at"))
+    return table(spark, sf_dir, "events").select("event_id", T.iso_value(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+03:00'")).alias("stamp"))
 
 
 @query(r"""
