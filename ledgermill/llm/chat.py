@@ -44,13 +44,16 @@ def reply_paths(messages: DataFrame, best: int | None = None) -> DataFrame:
         "tree", "node", F.when(F.col("there"), F.col("parent")).alias("jump"), F.lit(1).cast("long").alias("size"), F.col("score").alias("total")
     )
     state = saved(state, "chat-jumps")
+    # Messages whose pointer has passed the root are done: they take no part in later rounds but as what others reach.
+    done, active = state.where("jump is null"), state.where("jump is not null")
     levels, rounds = [], math.ceil(math.log2(max(2, base.count()))) + 1
-    while len(levels) < rounds and not state.where("jump is not null").isEmpty():
-        far = state.select("tree", F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("size").alias("more"), F.col("total").alias("plus"))
-        doubled = state.join(far, ["tree", "jump"], "left").select("tree", "node", F.col("next").alias("jump"), (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"), (F.col("total") + F.coalesce("plus", F.lit(0.0))).alias("total"))
-        levels.append(state)
-        state = saved(doubled, "chat-jumps")
-    rooted = state.where("jump is null").select("tree", "node", "size", "total")
+    while len(levels) < rounds and not active.isEmpty():
+        far = active.unionByName(done).select("tree", F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("size").alias("more"), F.col("total").alias("plus"))
+        doubled = active.join(far, ["tree", "jump"]).select("tree", "node", F.col("next").alias("jump"), (F.col("size") + F.col("more")).alias("size"), (F.col("total") + F.col("plus")).alias("total"))
+        doubled = saved(doubled, "chat-jumps")
+        levels.append(active)
+        done, active = done.unionByName(doubled.where("jump is null")), doubled.where("jump is not null")
+    rooted = done.select("tree", "node", "size", "total")
     parents = base.where("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
     leaves = rooted.join(parents, ["tree", "node"], "left_anti").withColumn("path_score", F.col("total") / F.col("size"))
     ranked = leaves.withColumn("rank", F.row_number().over(W.partitionBy("tree").orderBy(F.desc("path_score"), "size", "node")))
