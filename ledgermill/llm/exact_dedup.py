@@ -16,14 +16,14 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import null_key, rows_of, saved, small
+from .common import modest_batches, null_key, rows_of, saved, small
 
 #: Entries of a bucket; a bucket of more is split.
 BUCKET_ENTRIES = 50_000
 #: The directory's largest depth: it has at most 2 ** 16 slots. Buckets as deep as that may hold more entries.
 MAX_DEPTH = 16
 #: Bytes of texts that a map task combines at a time.
-COMBINE_BYTES = 32 << 20
+COMBINE_BYTES = 16 << 20
 
 
 def normalized(text: Column) -> Column:
@@ -148,7 +148,7 @@ def resolved(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame
     """For each text of a key with more than one row: key, sha, keep_id, keep_row, and group_size as the owner tasks
     counted it by comparing bytes."""
     contested = saved(index.entries.groupBy("key").agg(F.first("bucket").alias("bucket"), F.sum("n").alias("rows")).where("rows > 1").select("key", "bucket"), "dedup-contested")
-    texts = docs.select(normalized(F.col(text_col)).alias("_text")).select(F.xxhash64("_text").alias("key"), F.unhex(F.sha2("_text", 256)).alias("sha"), F.col("_text").cast("binary").alias("text"))
+    texts = modest_batches(docs).select(normalized(F.col(text_col)).alias("_text")).select(F.xxhash64("_text").alias("key"), F.unhex(F.sha2("_text", 256)).alias("sha"), F.col("_text").cast("binary").alias("text"))
     texts = texts.join(small(contested), "key").select("bucket", "key", "sha", "text")
     owned = texts.mapInArrow(_combined, "bucket int, key long, sha binary, text binary, n long").repartitionByRange("key").sortWithinPartitions("key", "sha")
     found = owned.mapInArrow(_chained, "key long, sha binary, group_size long")

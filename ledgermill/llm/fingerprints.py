@@ -18,7 +18,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .common import rows_of, saved, small
+from .common import modest_batches, rows_of, saved, small
 from .components import components
 
 SEGMENT = 4096
@@ -150,7 +150,7 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     Texts are moved once, compressed. Ids are cut into blocks at approximate quantiles; each block's first document is also sent to
     the block before, so that every block has its last document's next one."""
     spark = docs.sparkSession
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("at"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("at"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = slim.select("at").count()
     k = min(MAX_BLOCKS, max(1, -(-rows // BLOCK_ROWS)))
     cuts = slim.select(F.col("doc_id").cast("double").alias("x")).where("x is not null").approxQuantile("x", [i / k for i in range(1, k)], 1 / (4 * k)) if k > 1 else []

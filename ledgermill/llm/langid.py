@@ -18,7 +18,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import saved, small
+from .common import modest_batches, released, saved, small
 
 FEATURES = 1 << 14
 #: Bound of the training sample, for each language.
@@ -136,12 +136,13 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             n += 1
     if n:
         at = np.flatnonzero(df)
+        released()
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(([-1], at)), pa.int32()), pa.array(np.concatenate(([n], df[at])), pa.int64())], names=["feature", "n"])
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """Learns from the rows of docs with a language and a text. Rows are its only input: held-out ones must be gone."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
+    known = modest_batches(docs).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
     sizes = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()}
     labels = sorted(sizes)
     if not labels:
@@ -172,6 +173,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         model = Model(labels, idf, weights, bias, 1.0)
         if rest:
             model.temperature = calibrate(np.array([model.logits(r[2], r[3].astype(np.float64)) for r in rest]), np.array([r[1] for r in rest]))
+        rows.clear()
+        released()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     return pickle.loads(sample.repartition(1).mapInArrow(learn, "model binary").first()["model"])
@@ -202,7 +205,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: st
         found = [m.predict(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["lang", "score"])
 
-    found = docs.withColumn("__langid", predict(F.col(text_col)))
+    found = modest_batches(docs).withColumn("__langid", predict(F.col(text_col)))
     return found.withColumns({lang_out: F.col("__langid.lang"), score_out: F.col("__langid.score")}).drop("__langid")
 
 

@@ -16,7 +16,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch_of, rows_of
+from .common import batch_of, modest_batches, rows_of
 
 #: Phrases that the contract fixes, and their labels.
 BASE_PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -220,6 +220,6 @@ def scan(docs: DataFrame, base: Mapping[str, str] = BASE_PHRASES, notices: Mappi
             found = [scanner.scan(t or b"") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, type=f.type) for c, f in zip(zip(*found), list(SCHEMA)[1:], strict=True))], names=SCHEMA.names)
 
-    slim = docs.select(F.col(id_col).cast("long").alias("_key"), F.col(text_col).cast("binary").alias("_text"))
+    slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("_key"), F.col(text_col).cast("binary").alias("_text"))
     kinds = {pa.int64(): "long", pa.string(): "string", pa.float64(): "double", pa.bool_(): "boolean"}
     return slim.mapInArrow(run, ", ".join(f"{f.name} {kinds[f.type]}" for f in SCHEMA)).withColumnRenamed("_key", id_col)

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import rows_of, saved, small
+from .common import modest_batches, released, rows_of, saved, small
 from .components import components
 
 N = 5
@@ -35,11 +35,11 @@ FEW = 8
 #: Postings of a hash range, about.
 RANGE_POSTINGS = 400_000
 #: Postings that a map task packs at a time.
-PACK_POSTINGS = 1_000_000
+PACK_POSTINGS = 600_000
 #: A block of a tile holds about so many sets, and so many shingles, at most.
 BLOCK_SETS, BLOCK_SHINGLES = 1_500, 2_000_000
 #: Words whose hashes a Python worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -116,6 +116,8 @@ def _name(s: np.ndarray) -> tuple[int, int]:
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
     for b in rows_of(batches, 256):
         yield b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist())
+    _hashes.clear()
+    released()
 
 
 _CHUNK = 1 << 14
@@ -269,7 +271,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sets only; component_id is then the smallest id among those, or null. Repeated ids are one document's rows if
     their texts agree, else documents of one name. Other columns aren't read."""
     spark = docs.sparkSession
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     first = saved(slim.mapInArrow(_names_and_counts, "doc_id long, n long, s1 long, s2 long, bits binary, counts binary"), "ngram-names")
     names = first.where("counts is null").select("doc_id", "n", "s1", "s2")
     counters = np.zeros(1 << SKETCH_BITS, dtype=np.int64)

@@ -25,16 +25,16 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import rows_of
+from .common import modest_batches, released, rows_of
 
 WINDOW = 4096
 END_ID = 2
 #: Tokens of a block that is packed at a time, 4 bytes each.
-BLOCK_TOKENS = 6_000_000
+BLOCK_TOKENS = 4_000_000
 #: Holes smaller than this stay padding: no document is cut for them.
 LEAST_HOLE = 16
 #: Cached white-space separated chunks of text per Python worker.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 300_000
 
 
 class CapacityTree:
@@ -276,8 +276,9 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
                 sequence += 1
             kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
             names = [x.split()[0] for x in WITH_IDS.split(", ")]
-            for i in range(0, len(out), 8192):
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out[i : i + 8192]), kinds, strict=True)], names=names[: len(kinds)])
+            step = 256 if with_ids else 8192
+            for i in range(0, len(out), step):
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*out[i : i + step]), kinds, strict=True)], names=names[: len(kinds)])
 
         for b in rows_of(batches, 512):
             ids += b.column(0).to_pylist()
@@ -290,6 +291,8 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
                 held = 0
         if tokens:
             yield from flush()
+            ids.clear(), tokens.clear()
+        released()
 
-    slim = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
+    slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("binary").alias("_text"))
     return slim.mapInArrow(run, WITH_IDS if with_ids else SCHEMA)

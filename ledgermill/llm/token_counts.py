@@ -14,7 +14,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import rows_of
+from .common import modest_batches, rows_of
 
 #: What stands for the space before a word in the vocabulary.
 SPACE = "▁"
@@ -104,5 +104,5 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
             counts = [sum(map(c.__getitem__, words(t or b""))) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len((t or b"").split()) for t in texts], pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "n_words", "n_tokens"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return slim.mapInArrow(run, "doc_id long, n_words long, n_tokens long").withColumnRenamed("doc_id", id_col)

@@ -351,9 +351,10 @@ def test_reply_trees(spark):
     paths = defaultdict(list)
     for r in chat.reply_paths(df).orderBy("depth").collect():
         paths[r["rank"], r["leaf"]].append(r["node"])
-    assert dict(paths) == {(1, 3): [1, 2, 3], (2, 6): [6], (3, 5): [1, 2, 4, 5]}
-    best = chat.formatted(df, best=1).collect()
-    assert len(best) == 1 and best[0]["formatted"].count("<|im_start|>") == 3 and len(best[0]["loss_spans"]) == 1
+    # 6 and 1 - 2 - 3 have the same mean score: the shallower path is first.
+    assert dict(paths) == {(1, 6): [6], (2, 3): [1, 2, 3], (3, 5): [1, 2, 4, 5]}
+    best = chat.formatted(df, best=2).where("leaf = 3").collect()
+    assert chat.formatted(df, best=1).first()["leaf"] == 6 and len(best) == 1 and best[0]["formatted"].count("<|im_start|>") == 3 and len(best[0]["loss_spans"]) == 1
     s = best[0]["loss_spans"][0]
     assert best[0]["formatted"][s["start"] : s["start"] + s["length"]] == "m2"
     assert chat.formatted(df.limit(0)).count() == 0
@@ -384,11 +385,6 @@ def test_ties_keep_the_longest_last_piece():
     assert c.pieces("▁ab") == 2 and c.pieces("▁aé") == 3  # ▁|ab before ▁a|b; é counts two bytes
 
 
-def brute_neighbours(rows):
-    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
-    return rows
-
-
 def test_fingerprints(spark, none, monkeypatch):
     rng = random.Random(12)
     rows = [(3 * i, "".join(rng.choice("abcdefgh é🙂") for _ in range(rng.choice([0, 1, 2, 5, 40, 300, 5000]))), "a") for i in range(60)] + [(1000, None, "a"), (1001, LONG, "b"), (1002, LONG, None)]
@@ -421,8 +417,11 @@ def test_likeness_follows_edits(spark):
     for _ in range(900):
         many[rng.randrange(3000)] = "!"
     other = "".join(rng.choice("abcdefghijklmnop ") for _ in range(3000))
-    a, b, c, d, e = fingerprints.fingerprints([text, "".join(few), "".join(many), other, text[:1000] + "xyz" + text[1000:]])
-    assert fingerprints.likeness(a, b) > 0.95 > fingerprints.likeness(a, c) > fingerprints.likeness(a, d) and fingerprints.likeness(a, e) > 0.8 and fingerprints.likeness(a, d) < 0.2
+    # Walks fall into step again after an insertion most of the time, not always.
+    longer = [text[:at] + "xyz" + text[at:] for at in range(100, 2900, 100)]
+    a, b, c, d, *e = fingerprints.fingerprints([text, "".join(few), "".join(many), other, *longer])
+    assert fingerprints.likeness(a, b) > 0.95 > fingerprints.likeness(a, c) > fingerprints.likeness(a, d) and fingerprints.likeness(a, d) < 0.2
+    assert np.median([fingerprints.likeness(a, x) for x in e]) > 0.8
     rows = [(1, text), (2, "".join(few)), (3, other), (4, other), (5, None), (None, text)]
     got = {(r["doc_id"], r["class_id"]) for r in fingerprints.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (None, 1)}
