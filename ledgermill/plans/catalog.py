@@ -155,6 +155,18 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.run_errors(rows).join(reasons, "run_id").select("run_id", "errors", history.run_status(F.col("errors"), F.col("reason")).alias("status"))
 
 
+@query("""
+    , r AS (SELECT run_id, count(*) FILTER (WHERE capture_status = 'partial' AND (props::JSON->>'k')::BIGINT > 97)::BIGINT errors, CASE WHEN max(seq) % 2 = 0 THEN 'finished' ELSE 'shutdown' END reason FROM log GROUP BY run_id)
+    SELECT run_id, errors, CASE WHEN errors > 0 THEN 'failed' WHEN reason = 'finished' THEN 'finished' ELSE 'stopped' END status FROM r
+""")
+def run_status_every_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """run_status over the whole log; a partial observation is an error only where its k is over 97, so that runs without one remain."""
+    failing = (F.col("capture_status") == "partial") & (F.try_variant_get(F.try_parse_json("props"), "$.k", "long") > 97)
+    rows = log(spark, sf_dir).withColumn("errors", F.when(failing, 1).otherwise(-1))
+    reasons = rows.groupBy("run_id").agg(F.when(F.max("seq") % 2 == 0, "finished").otherwise("shutdown").alias("reason"))
+    return history.run_errors(rows).join(reasons, "run_id").select("run_id", "errors", history.run_status(F.col("errors"), F.col("reason")).alias("status"))
+
+
 @query("""
     SELECT run_id, dedup_key, profile, query, location, arg_max(content_hash, seq) content_hash, arg_max(canonical_url, seq) FILTER (WHERE canonical_url IS NOT NULL) hit_url, min("position") "position",
         arg_min(page_number, seq) FILTER (WHERE page_number IS NOT NULL) page_number, coalesce(arg_max(metadata, seq) FILTER (WHERE metadata <> '{}'), arg_min(metadata, seq)) metadata, arg_min(captured_at, seq) discovered_at
