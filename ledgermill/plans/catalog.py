@@ -335,6 +335,14 @@ def csv_safe_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.csv_safe_cell(said).alias("cell"))
 
 
+@query(r"SELECT doc_id, CASE WHEN regexp_matches(s, '^\s*[=+\-@]|^[\t\r\n]') THEN '''' || s ELSE s END cell FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '=' WHEN doc_id % 3 = 1 THEN '  -' ELSE '' END || coalesce(text, '') s FROM documents)")
+def csv_safe_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """csv_safe_cell over whole texts, two thirds of them made formulas by a sign before the text."""
+    i = F.col("doc_id")
+    sign = F.when(i % 3 == 0, "=").when(i % 3 == 1, "  -").otherwise("")
+    return table(spark, sf_dir, "documents").select("doc_id", T.csv_safe_cell(F.concat(sign, F.coalesce("text", F.lit("")))).alias("cell"))
+
+
 @query("SELECT doc_id::VARCHAR AS \"ID\", source AS \"Company\", lang AS \"Role\", 'New' AS \"Status\", 'Remote' AS \"Workplace\" FROM documents")
 def tracker_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
