@@ -319,6 +319,18 @@ def workplace_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", classify.workplace(F.lit(None).cast("string"), said)["type"].alias("kind"))
 
 
+@query(r"""
+    WITH s AS (SELECT doc_id, lower(coalesce(text, '') || CASE doc_id % 5 WHEN 0 THEN ' a Hybrid role' WHEN 1 THEN ' work on site' WHEN 2 THEN ' hybrids' WHEN 3 THEN ' Work from home' ELSE '' END) s FROM documents)
+    SELECT doc_id, CASE WHEN regexp_matches(s, '\bhybrid\b') THEN 'hybrid' WHEN regexp_matches(s, '\b(on[- ]site|onsite)\b') THEN 'on-site' WHEN regexp_matches(s, '\b(remote|work from home)\b') THEN 'remote' ELSE 'unknown' END kind FROM s
+""")
+def workplace_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """workplace_classify over the whole text of every document of any language, a phrase after four fifths of them."""
+    i = F.col("doc_id") % 5
+    phrase = F.when(i == 0, " a Hybrid role").when(i == 1, " work on site").when(i == 2, " hybrids").when(i == 3, " Work from home").otherwise("")
+    said = F.concat(F.coalesce("text", F.lit("")), phrase)
+    return table(spark, sf_dir, "documents").select("doc_id", classify.workplace(F.lit(None).cast("string"), said)["type"].alias("kind"))
+
+
 @query("""
     SELECT event_id, CASE event_type WHEN 'click' THEN 'full-time' WHEN 'view' THEN 'contract' ELSE 'unknown' END kind, CASE event_type WHEN 'click' THEN 'Full-time' WHEN 'view' THEN 'Contract' ELSE 'Not specified' END shown FROM events
 """)
