@@ -30,6 +30,8 @@ BATCH_CHARS = 3_000_000
 #: Bands of sampled positions, and positions of a band.
 BANDS, BAND_WIDTH = 16, 6
 LEAST_LIKENESS = 0.75
+#: Members of a band value that are compared in one block, about.
+GROUP = 512
 
 
 @lru_cache(maxsize=1)
@@ -218,12 +220,62 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return ordered.select("doc_id", "text", "place", "block").mapInArrow(run, _OUT).withColumnRenamed("doc_id", id_col)
 
 
+def _laid_out(fingerprint: str) -> np.ndarray:
+    """A row for each segment, its samples as bytes and zeros behind them."""
+    parts = fingerprint.split(".")
+    out = np.zeros((len(parts), len(_walk()[1])), dtype=np.uint8)
+    for row, part in zip(out, parts):
+        row[: len(part)] = np.frombuffer(part.encode(), dtype=np.uint8)
+    return out
+
+
+def links(prints: list[str], sides: list[int], least: float) -> list[tuple[int, int]]:
+    """Pairs of places whose likeness is `least` or more, as many as connect all that such pairs connect. Where there are
+    two sides, only pairs of both count. A pair is left out only if it is connected already or its lengths rule it out:
+    likeness is at most the lesser weight by the greater."""
+    weights = _walk()[2]
+    laid = [_laid_out(p) for p in prints]
+    held = [(x != 0) @ weights for x in laid]  # by segment
+    total = np.array([h.sum() for h in held])
+    order = np.argsort(total, kind="stable")
+    side, label = np.array(sides)[order], np.arange(len(order))
+    every_side = len(set(sides)) < 2
+    slack, out, start = 1e-9, [], 0
+    while start < len(order):
+        # A run of places of about one weight, compared with all that stand before or in it.
+        end = start + 1
+        while end < len(order) and end - start < 64 and total[order[end]] * least <= total[order[start]]:
+            end += 1
+        n = max(len(laid[k]) for k in order[start:end])
+        block, block_held = np.zeros((end - start, n, len(weights)), dtype=np.uint8), np.zeros((end - start, n))
+        for row, k in enumerate(order[start:end]):
+            block[row, : len(laid[k])], block_held[row, : len(laid[k])] = laid[k], held[k]
+        first = int(np.searchsorted(total[order], total[order[start]] * least * (1 - slack), side="left"))
+        for i in range(first, end):
+            k, after = order[i], max(i + 1, start)
+            rows = np.arange(after, end)
+            rows = rows[(label[rows] != label[i]) & (every_side | (side[rows] != side[i]))]
+            if not len(rows):
+                continue
+            m = min(n, len(laid[k]))
+            own, theirs = laid[k][:m], block[rows - start]
+            same = (((theirs[:, :m] == own) & (own != 0)) @ weights).sum(axis=1)
+            longest = np.maximum(block_held[rows - start, :m], held[k][:m]).sum(axis=1) + block_held[rows - start, m:].sum(axis=1) + held[k][m:].sum()
+            for j in rows[same >= (least - slack) * longest]:
+                if label[j] != label[i] and likeness(prints[k], prints[order[j]]) >= least:
+                    label[label == label[j]] = label[i]
+                    out.append((int(k), int(order[j])))
+        start = end
+    return out
+
+
 def near_duplicates(docs: DataFrame, least: float = LEAST_LIKENESS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per row of docs: doc_id and class_id, the smallest id that verified candidates connect it to.
 
-    Equal fingerprints are one class from the start. Fingerprints that share a band value are candidates: each is
-    verified against the smallest one of the band value and against the next in order, so a band of any size gives two
-    pairs a member. Banding can miss a pair, as any sampling can; verification admits none below `least`."""
+    Equal fingerprints are one class from the start. Fingerprints that share a band value are candidates, and all their
+    pairs are verified. Band values with the same members (by 128 bits of hashes) are taken once. The members of a large
+    one are dealt to blocks of about GROUP, and each pair of blocks is a task's work of its own. Banding can miss a pair,
+    as any sampling can; verification admits none below `least`."""
 
     @F.arrow_udf("string")
     def printed(texts: pa.Array) -> pa.Array:
@@ -233,18 +285,36 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_LIKENESS, id_col: str
     def banded(prints: pa.Array) -> pa.Array:
         return pa.array([bands(p) for p in prints.to_pylist()], pa.list_(pa.string()))
 
-    @F.arrow_udf("double")
-    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([likeness(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.float64())
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, reps, prints, sides = None, [], [], []
+
+        def found() -> pa.RecordBatch:
+            pairs = links(prints, sides, least) if len(prints) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([reps[p[e]] for p in pairs], pa.int64()) for e in (0, 1)], names=["a", "b"])
 
-    from pyspark.sql import Window as W
+        for b in rows_of(batches, 1024):
+            for *key, side, rep, fp in zip(*(b.column(c).to_pylist() for c in ("band", "low", "high", "side", "rep", "fp")), strict=True):
+                if key != tile:
+                    yield found()
+                    tile, reps, prints, sides = key, [], [], []
+                reps.append(rep)
+                prints.append(fp)
+                sides.append(side)
+        yield found()
 
-    every = saved(docs.select(F.col(id_col).cast("long").alias("doc_id"), printed(F.col(text_col)).alias("fp")), "prints")
+    every = saved(modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), printed(F.col(text_col)).alias("fp")), "prints")
     classes = saved(every.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "print-classes")
-    held = classes.select("rep", "fp", F.explode(banded("fp")).alias("band"))
-    w = W.partitionBy("band").orderBy("rep")
-    pairs = held.select("rep", "fp", F.first(F.struct("rep", "fp")).over(w).alias("a"), F.lag(F.struct("rep", "fp")).over(w).alias("b"))
-    pairs = pairs.select("rep", "fp", F.explode(F.array("a", "b")).alias("o")).where("o is not null and o.rep <> rep").select("rep", "fp", F.col("o.rep").alias("to"), F.col("o.fp").alias("to_fp")).dropDuplicates(["rep", "to"])
-    roots = components(pairs.where(alike("fp", "to_fp") >= least).select(F.col("rep").alias("a"), F.col("to").alias("b")))
-    known = saved(classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("root", "rep").alias("class_id")), "print-known")
+    # Two fingerprints have one smallest id where rows of one id differ: classes are named by a hash of the fingerprint until the end.
+    named = classes.select(F.xxhash64("fp").alias("rep"), "fp")
+    held = saved(named.select("rep", F.explode(banded("fp")).alias("band")).select("rep", F.xxhash64("band").alias("band")), "print-bands")
+    members = [F.count("*").alias("n"), F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x")]
+    groups = held.groupBy("band").agg(*members).where("n > 1").groupBy("n", "s", "x").agg(F.min("band").alias("band"))
+    groups = saved(groups.select("band", F.ceil(F.col("n") / GROUP).cast("int").alias("k")), "print-groups")
+    dealt = held.join(small(groups), "band").withColumn("side", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("k")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("rep", "band", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
+    tiles = dealt.join(named, "rep").select("band", "low", "high", "side", "rep", "fp").repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+    roots = components(tiles.mapInArrow(verified, "a long, b long"))
+    known = classes.withColumn("node", F.xxhash64("fp")).join(roots, "node", "left").select("fp", "rep", F.coalesce("root", "node").alias("root"))
+    known = saved(known, "print-roots")
+    known = saved(known.join(known.groupBy("root").agg(F.min("rep").alias("class_id")), "root").select("fp", "class_id"), "print-known")
     return every.join(small(known), "fp", "left").select(F.col("doc_id").alias(id_col), "class_id")
