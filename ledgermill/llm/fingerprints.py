@@ -27,8 +27,10 @@ SAMPLES = 32
 BLOCK_ROWS, MAX_BLOCKS = 4_000, 20_000
 #: Code points that a task embeds at a time.
 BATCH_CHARS = 3_000_000
-#: Bands of sampled positions, and positions of a band.
+#: Bands of sampled positions for each level of length, and positions of a band.
 BANDS, BAND_WIDTH = 16, 6
+#: Samples between two levels of length.
+LEVEL = 8
 LEAST_LIKENESS = 0.75
 #: Members of a band value that are compared in one block, about.
 GROUP = 512
@@ -117,20 +119,38 @@ def likeness(a: str, b: str) -> float:
     return float(min(1.0, same / every)) if every else 1.0
 
 
-@lru_cache(maxsize=1)
-def _band_positions() -> list[list[int]]:
-    """Positions of a segment's string that each band samples; the first octaves, which all but the shortest texts have."""
-    rng = np.random.default_rng(7)
-    return [sorted(rng.choice(3 * SAMPLES, BAND_WIDTH, replace=False).tolist()) for _ in range(BANDS)]
+@lru_cache(maxsize=None)
+def _band_positions(level: int) -> list[list[int]]:
+    """The samples of each band of a level: from the first LEVEL * level of a segment, by their weights, so from all
+    octaves of a segment of about that length. Bands of short levels are narrower. Level 0 is for fewer samples than
+    LEVEL: of its pairs, one at least is equal in any two texts that are alike."""
+    if level == 0:
+        return [[0, 1], [2, 3], [4, 5]]
+    weights = _walk()[2][: LEVEL * level]
+    rng = np.random.default_rng([7, level])
+    return [sorted(rng.choice(len(weights), min(BAND_WIDTH, 1 + level), replace=False, p=weights / weights.sum()).tolist()) for _ in range(BANDS)]
+
+
+@lru_cache(maxsize=None)
+def _levels(samples: int) -> range:
+    """The levels of a segment of so many samples: from that of the shortest segment that can be alike, to its own."""
+    held = np.cumsum(_walk()[2])
+    shortest = int(np.searchsorted(held, LEAST_LIKENESS * held[samples - 1] * (1 - 1e-9))) + 1
+    return range(shortest // LEVEL, samples // LEVEL + 1)
 
 
 def bands(fingerprint: str) -> list[str]:
-    """The band values of each segment, as 'segment:band:samples'. Empty for texts too short for any band."""
+    """The band values of each segment, as 'segment:level:band:samples'. Empty for an empty text only.
+
+    If two texts are alike, one segment at least is as alike, and has a level in common."""
     out = []
     for s, part in enumerate(fingerprint.split(".")):
-        for b, at in enumerate(_band_positions()):
-            if at[-1] < len(part):
-                out.append(f"{s}:{b}:" + "".join(part[i] for i in at))
+        for level in _levels(len(part)) if part else ():
+            for b, at in enumerate(_band_positions(level)):
+                if at[-1] < len(part):
+                    out.append(f"{s}:{level}:{b}:" + "".join([part[i] for i in at]))
+        if len(part) == 1:
+            out.append(f"{s}:0:0:{part}")
     return out
 
 

@@ -50,3 +50,21 @@ def test_links_connect_what_all_pairs_connect():
         low, high = sorted((root[a], root[b]))
         root = [low if r == high else r for r in root]
     assert dict(enumerate(root)) == brute(rows) and 7 <= len(set(root)) < len(texts)
+
+
+@pytest.mark.parametrize("low, high, turns", [(1, 15, 100), (15, 60, 100), (60, 400, 60), (400, 3000, 60), (3000, 12000, 12)])
+def test_bands_find_texts_edited_at_the_start(low, high, turns):
+    rng = random.Random(low)
+    alike = missed = 0
+    for _ in range(turns):
+        n = rng.randrange(low, high)
+        text = words(rng, n)
+        few = list(text)
+        for _ in range(n // 40 + 1):
+            few[rng.randrange(n)] = "!"
+        first, *rest = fingerprints.fingerprints([text, words(rng, 20) + text, words(rng, n // 8) + text[n // 7 :], text[min(20, n // 8) :], "".join(few)])
+        for other in rest:
+            if fingerprints.likeness(first, other) >= fingerprints.LEAST_LIKENESS:
+                alike += 1
+                missed += not set(fingerprints.bands(first)) & set(fingerprints.bands(other))
+    assert alike >= 10 and missed <= alike / 50
