@@ -4,9 +4,10 @@ Texts are equal when they are identical after replacing each run of [\\x20\\x09-
 distinct (64-bit key, SHA-256) with its count and its first row, combined map-side, so a group of copies of any size is
 a few rows before any shuffle. The directory starts with one bucket; while a bucket holds more entries than it may, it
 is split by one more leading bit of the key, and the directory doubles when the bucket is as deep as the directory.
-Bucket files stand in the shared folder, a folder per bucket. An owner task takes a bucket, that is a key range; for
-keys with more than one row it gets the texts (copies within a map task combined first), chains the different texts of
-a key, and compares bytes. What it finds decides which row stays."""
+Bucket files stand in the shared folder, a folder per bucket. Owner tasks do not follow the buckets: ranges of keys cut
+at samples replace them there, so that a task's size does not depend on the directory. For keys with more than one row
+an owner task gets the texts (copies within a map task combined first), chains the different texts of a key, and compares
+bytes. What it finds decides which row stays."""
 
 from __future__ import annotations
 
