@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
@@ -64,41 +64,55 @@ def folded(text: bytes) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Expression:
-    """names: the licences named, lower-cased, 'x with y' for exceptions. alternatives: the sets that each satisfy it."""
+    """names: the licences named, lower-cased, 'x with y' for exceptions. postfix: names, and 'and' and 'or' after their operands."""
 
     names: frozenset[str] = frozenset()
-    alternatives: frozenset[frozenset[str]] = field(default_factory=frozenset)
+    postfix: tuple[str, ...] = ()
 
     def permitted(self, allowed: Iterable[str]) -> bool:
         have = frozenset(allowed)
-        return any({n.partition(" with ")[0].removesuffix("+") for n in a} <= have for a in self.alternatives)
-
-
-#: An expression with more alternatives than this is refused; nothing that anyone writes comes near.
-MAX_ALTERNATIVES = 1024
+        met: list[bool] = []
+        for x in self.postfix:
+            if x in ("and", "or"):
+                b, a = met.pop(), met.pop()
+                met.append(a and b if x == "and" else a or b)
+            else:
+                met.append(x.partition(" with ")[0].removesuffix("+") in have)
+        return bool(met) and met[0]
+
+    @property
+    def alternatives(self) -> frozenset[frozenset[str]]:
+        """The sets that each satisfy it; they can double with each 'and', and no scan expands them."""
+        sets: list[frozenset[frozenset[str]]] = []
+        for x in self.postfix:
+            if x in ("and", "or"):
+                b, a = sets.pop(), sets.pop()
+                sets.append(frozenset(y | z for y in a for z in b) if x == "and" else a | b)
+            else:
+                sets.append(frozenset({frozenset({x})}))
+        return sets[0] if sets else frozenset()
 
 
 def parse(text: str) -> Expression:
     """Evaluates a licence expression: with binds before and, and before or, parentheses before all; operators in any
     case. Raises ValueError where it isn't well formed."""
-    operands: list[Expression] = []
+    postfix: list[str] = []
+    operands: list[tuple[str | None, int]] = []  # the one name of each, null for several, and its place in postfix
     operators: list[str] = []
 
     def apply(op: str) -> None:
         if len(operands) < 2:
             raise ValueError("an operator lacks an operand")
-        b, a = operands.pop(), operands.pop()
+        (b, _), (a, start) = operands.pop(), operands.pop()
         if op == "with":
-            if any(len(x.names) != 1 or " with " in next(iter(x.names)) for x in (a, b)):
+            if a is None or b is None or " with " in a or " with " in b:
                 raise ValueError("with joins a licence and an exception")
-            name = f"{next(iter(a.names))} with {next(iter(b.names))}"
-            operands.append(Expression(frozenset({name}), frozenset({frozenset({name})})))
-        elif op == "and":
-            operands.append(Expression(a.names | b.names, frozenset(x | y for x in a.alternatives for y in b.alternatives)))
+            name = f"{a} with {b}"
+            postfix[start:] = [name]
+            operands.append((name, start))
         else:
-            operands.append(Expression(a.names | b.names, a.alternatives | b.alternatives))
-        if len(operands[-1].alternatives) > MAX_ALTERNATIVES:
-            raise ValueError("too many alternatives")
+            postfix.append(op)
+            operands.append((a if a == b else None, start))
 
     text, end, wants = text.strip(), 0, True  # wants: an operand comes next
     for m in _TOKEN.finditer(text):
@@ -127,7 +141,8 @@ def parse(text: str) -> Expression:
         else:
             if not wants:
                 raise ValueError("an operator is missing")
-            operands.append(Expression(frozenset({token}), frozenset({frozenset({token})})))
+            operands.append((token, len(postfix)))
+            postfix.append(token)
             wants = False
     if wants or text[end:].strip():
         raise ValueError("an operand is missing" if wants else "an unknown character")
@@ -135,7 +150,7 @@ def parse(text: str) -> Expression:
         if operators[-1] == "(":
             raise ValueError("a parenthesis isn't closed")
         apply(operators.pop())
-    return operands[0]
+    return Expression(frozenset(postfix) - {"and", "or"}, tuple(postfix))
 
 
 def tag_value(line: str) -> str:
