@@ -241,7 +241,7 @@ def _tile_links(sets: list[np.ndarray], ids: np.ndarray, sides: np.ndarray) -> n
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (tile, single, side, rep, shingles) sorted by tile -> (rep, root, single) of the sets linked to a smaller one."""
+    """Rows (tile, single, side, s1, shingles) sorted by tile -> (node, root, single) of the sets linked to one of a smaller name."""
     current, single = None, True
     found: dict[tuple[int, int], np.ndarray] = {}
 
@@ -250,15 +250,15 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sides = np.array([k[0] for k in keys], dtype=np.int64), np.array([k[1] for k in keys])
         root = _tile_links([found[k] for k in keys], ids, sides)
         some = root != ids
-        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(root[some]), pa.array([single] * int(some.sum()), pa.bool_())], names=["rep", "root", "single"])
+        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(root[some]), pa.array([single] * int(some.sum()), pa.bool_())], names=["node", "root", "single"])
 
     for b in rows_of(batches, 256):
-        for tile, one, side, rep, shingles in zip(*(b.column(c).to_pylist() for c in ("tile", "single", "side", "rep", "shingles")), strict=True):
+        for tile, one, side, name, shingles in zip(*(b.column(c).to_pylist() for c in ("tile", "single", "side", "s1", "shingles")), strict=True):
             if tile != current:
                 if len(found) > 1:
                     yield flush()
                 current, single, found = tile, one, {}
-            found[rep, side] = np.frombuffer(shingles, dtype="<u8")
+            found[name, side] = np.frombuffer(shingles, dtype="<u8")
     if len(found) > 1:
         yield flush()
 
@@ -270,6 +270,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null, empty and blank texts have no shingles and are linked with nothing. Rows without an id are grouped with equal
     sets only; component_id is then the smallest id among those, or null. Repeated ids are one document's rows if
     their texts agree, else documents of one name. Other columns aren't read."""
+    return _components(docs, id_col, text_col).select(F.col("doc_id").alias(id_col), "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """ngram_components() with the name of each row's set, (s1, s2). Sets are told apart by s1, not by an id."""
     spark = docs.sparkSession
     slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     first = saved(slim.mapInArrow(_names_and_counts, "doc_id long, n long, s1 long, s2 long, bits binary, counts binary"), "ngram-names")
@@ -355,15 +360,17 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     texts = slim.join(small(groups.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
     sets = texts.mapInArrow(shingled, "s1 long, s2 long, shingles binary").join(small(tiles), ["s1", "s2"])
-    tiled = sets.select("tile", "single", "side", "rep", "shingles").repartition("tile").sortWithinPartitions("tile")
-    links = saved(tiled.mapInArrow(_tiles, "rep long, root long, single boolean"), "ngram-links")
+    tiled = sets.select("tile", "single", "side", "s1", "shingles").repartition("tile").sortWithinPartitions("tile")
+    links = saved(tiled.mapInArrow(_tiles, "node long, root long, single boolean"), "ngram-links")
     # A component that is one tile is done there; links of others are joined.
-    across = components(links.where("not single").select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    roots = links.where("single").select("rep", "root").unionByName(across.select(F.col("node").alias("rep"), "root"))
-    known = reps.join(roots, "rep", "left").where("copies > 1 or root is not null")
-    known = saved(known.select("s1", "s2", F.least(F.coalesce("root", "rep"), "rep").alias("component_id")), "ngram-known")
+    across = components(links.where("not single").select(F.col("node").alias("a"), F.col("root").alias("b")))
+    roots = links.where("single").select("node", "root").unionByName(across.select("node", "root"))
+    members = saved(roots.unionByName(roots.select(F.col("root").alias("node"), "root")).distinct().select(F.col("node").alias("s1"), "root"), "ngram-members")
+    lows = members.join(reps.select("s1", "rep"), "s1").groupBy("root").agg(F.min("rep").alias("low"))
+    known = reps.join(members.join(lows, "root").select("s1", "low"), "s1", "left").where("copies > 1 or low is not null")
+    known = saved(known.select("s1", "s2", F.coalesce("low", "rep").alias("component_id")), "ngram-known")
     out = names.join(small(known), ["s1", "s2"], "left")
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "s1", "s2")
 
 
 def _laid_out(groups: DataFrame) -> DataFrame:
@@ -391,7 +398,22 @@ def _laid_out(groups: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay when of each component the document with the smallest id does; rows without an id stay."""
-    found = ngram_components(docs, id_col, text_col)
-    gone = saved(found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct(), "ngram-gone")
-    return docs.join(small(gone), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """The rows of docs that stay when of each component the document with the smallest id does; rows without an id stay.
+    Of an id with several texts, only the rows whose set belongs to a smaller id go."""
+    found = saved(_components(docs, id_col, text_col).where("doc_id is not null").select(F.col("doc_id").alias("_gone"), (F.col("doc_id") != F.col("component_id")).alias("goes"), "s1", "s2"), "ngram-found")
+    gone = saved(found.where("goes").select("_gone").distinct(), "ngram-gone")
+    rest = docs.join(small(gone), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    mixed = saved(found.where("not goes").select("_gone").distinct().join(small(gone), "_gone", "left_semi"), "ngram-mixed")
+    if mixed.isEmpty():
+        return rest
+
+    @F.arrow_udf("struct<s1:long,s2:long>")
+    def named(texts: pa.Array) -> pa.Array:
+        names = [_name(x) for x in shingle_sets(texts.to_pylist())]
+        _hashes.clear()
+        return pa.StructArray.from_arrays([pa.array([n[k] for n in names], pa.int64()) for k in (0, 1)], names=["s1", "s2"])
+
+    some = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_gone"), F.col(text_col).cast("binary").alias("_text")).join(small(mixed), "_gone", "left_semi")
+    some = some.withColumn("_name", named("_text")).select("_doc", "_gone", F.col("_name.s1").alias("s1"), F.col("_name.s2").alias("s2"))
+    stay = some.join(found.where("goes").select("_gone", "s1", "s2").distinct(), ["_gone", "s1", "s2"], "left_anti")
+    return rest.unionByName(stay.select("_doc.*"))
