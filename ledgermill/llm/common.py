@@ -22,9 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local master, whose executors are the driver
+    itself, gets a folder of our own where that is unset; on a cluster it must be set."""
     found = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.ledgermill.shared", "")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="ledgermill-")
         spark.conf.set("spark.ledgermill.shared", found)
     return found.rstrip("/")
