@@ -154,8 +154,12 @@ def parse(text: str) -> Expression:
 
 
 def tag_value(line: str) -> str:
-    """A tag's line without the comment signs that may close it."""
-    return re.sub(r"\s*(\*/|-->|#+|\*\)|\"+|'+)\s*$", "", line).strip()
+    """A tag's line without the comment sign, or the run of equal quotes or hashes, that may close it. Linear in the line."""
+    line = line.strip()
+    for sign in ("*/", "-->", "*)"):
+        if line.endswith(sign):
+            return line[: -len(sign)].rstrip()
+    return line.rstrip(line[-1]).rstrip() if line[-1:] in ("#", '"', "'") else line
 
 
 class Scanner:
