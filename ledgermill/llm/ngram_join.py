@@ -15,21 +15,22 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import modest_batches, released, rows_of, saved, small
 from .components import components
 
 N = 5
-#: Counters of the frequency table: 4 MB, whatever the corpus.
-SKETCH_BITS = 20
+#: Counters of the frequency table: 16 MB, whatever the corpus. Where many rare shingles fall on a counter, they look common
+#: and rarity is a guess: more sets then meet under common shingles and are compared for nothing.
+SKETCH_BITS = 23
 #: So many sets that meet under a shingle are compared in pairs; more are chained.
 FEW = 8
 #: Postings of a hash range, about.
@@ -37,15 +38,17 @@ RANGE_POSTINGS = 400_000
 #: Postings that a map task packs at a time.
 PACK_POSTINGS = 600_000
 #: A block of a tile holds about so many sets, and so many shingles, at most.
-BLOCK_SETS, BLOCK_SHINGLES = 1_500, 2_000_000
-#: Words whose hashes a Python worker keeps.
-CACHE_WORDS = 200_000
+BLOCK_SETS, BLOCK_SHINGLES = 400, 1_000_000
+#: Words whose hashes a Python worker keeps, and the longest of them in bytes: 20 MB.
+CACHE_WORDS, CACHED_WORD = 100_000, 64
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHED_WORD and len(self) < CACHE_WORDS:
+            self[word] = h
         return h
 
 
@@ -55,7 +58,7 @@ _hashes = _Hashes()
 def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     """The sorted hashes of each text's distinct N-word shingles; words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased. With
     fewer words, the whole sequence is one shingle; without words, none."""
-    if len(_hashes) > CACHE_WORDS:
+    if len(_hashes) >= CACHE_WORDS:
         _hashes.clear()
     words = [(t or b"").lower().split() for t in texts]
     sizes = [len(w) for w in words]
@@ -121,12 +124,20 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.nda
 
 
 _CHUNK = 1 << 14
+_MOST = 0xFFFF
+
+
+def _counted(total: np.ndarray, held: list[np.ndarray]) -> None:
+    """Adds the shingles to their counters, which stop at _MOST."""
+    at, n = np.unique(np.concatenate(held) >> np.uint64(64 - SKETCH_BITS), return_counts=True)
+    at = at.astype(np.int64)
+    total[at] = np.minimum(total[at] + n, _MOST)
 
 
 def _names_and_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document (its set's name and size), then the task's counters in chunks."""
+    """A row per document (its set's name and size), then the task's counters in chunks, without empty ones."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.binary()), ("counts", pa.binary())])
-    total, shift = np.zeros(1 << SKETCH_BITS, dtype=np.int64), np.uint64(64 - SKETCH_BITS)
+    total = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
     held: list[np.ndarray] = []
     size = 0
     for ids, sets in _read(batches):
@@ -134,23 +145,25 @@ def _names_and_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), pa.nulls(len(ids), pa.binary())], schema=schema)
         held += sets
         size += sum(map(len, sets))
-        if size > 1 << SKETCH_BITS:
-            total += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=len(total))
+        if size > 1 << 20:
+            _counted(total, held)
             held, size = [], 0
     if held:
-        total += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=len(total))
-    if total.any():
-        for i in range(0, len(total), _CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([i // _CHUNK], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total[i : i + _CHUNK].tobytes()], pa.binary())], schema=schema)
+        _counted(total, held)
+    press = zstandard.ZstdCompressor(level=1)
+    chunks = total.reshape(-1, _CHUNK)
+    for i in np.flatnonzero(chunks.any(axis=1)).tolist():
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([i], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([press.compress(chunks[i].tobytes())], pa.binary())], schema=schema)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
+    press = zstandard.ZstdDecompressor()
     for b in batches:
         for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            sums[k] = sums.get(k, 0) + np.frombuffer(c, dtype=np.int64)
+            sums[k] = np.minimum(sums.get(k, 0) + np.frombuffer(press.decompress(c), dtype=np.uint16).astype(np.uint32), _MOST)
     for k, c in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([c.tobytes()], pa.binary())], names=["n", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([c.astype(np.uint16).tobytes()], pa.binary())], names=["n", "counts"])
 
 
 def _components_in(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,11 +292,11 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     first = saved(slim.mapInArrow(_names_and_counts, "doc_id long, n long, s1 long, s2 long, bits binary, counts binary"), "ngram-names")
     names = first.where("counts is null").select("doc_id", "n", "s1", "s2")
-    counters = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    counters = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
     chunks = first.where("counts is not null").select("n", "counts").repartition("n").mapInArrow(_summed, "n long, counts binary")
-    for r in chunks.collect():  # SKETCH_BITS bound what comes here: 8 MB
-        counters[r["n"] * _CHUNK : (r["n"] + 1) * _CHUNK] = np.frombuffer(r["counts"], dtype=np.int64)
-    counts = spark.sparkContext.broadcast(np.minimum(counters, 0xFFFFFFFF).astype(np.uint32))
+    for r in chunks.toLocalIterator():  # SKETCH_BITS bound what comes here: 16 MB
+        counters[r["n"] * _CHUNK : (r["n"] + 1) * _CHUNK] = np.frombuffer(r["counts"], dtype=np.uint16)
+    counts = spark.sparkContext.broadcast(counters)
     named = first.where("counts is null and n > 0").groupBy("s1", "s2")
     reps = saved(named.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"), F.first("bits").alias("bits")), "ngram-sets")
     postings = reps.agg(F.sum("n")).first()[0] or 0
@@ -321,7 +334,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sizes.append(len(s))
                 lengths.append(len(rare))
                 held += len(rare)
-            if len(seen) > 1_000_000:
+            if len(seen) > 200_000:
                 seen.clear()
             if held >= PACK_POSTINGS:
                 yield from flush()
@@ -331,22 +344,32 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield from flush()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = defaultdict(list)
-        for b in batches:
-            for r, *arrays in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                held[r].append(arrays)
-        for r in list(held):
-            blobs = held.pop(r)
-            a, b, chained = _meetings(*(np.concatenate([np.frombuffer(x[i], dtype=t) for x in blobs]) for i, t in enumerate((np.uint32, np.int64, np.uint32, np.uint16))))
+        """Rows sorted by range: only one range's postings are held at a time."""
+        current, held = None, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            a, b, chained = _meetings(*(np.concatenate([np.frombuffer(x[i], dtype=t) for x in held]) for i, t in enumerate((np.uint32, np.int64, np.uint32, np.uint16))))
             for i in range(0, len(a), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(x[i : i + (1 << 16)]) for x in (a, b, chained)], names=["a", "b", "chained"])
 
+        for batch in rows_of(batches, 64):
+            for r, *arrays in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if r != current:
+                    if held:
+                        yield from flush()
+                    current, held = r, []
+                held.append(arrays)
+        if held:
+            yield from flush()
+        held.clear()
+        released()
+
     @F.arrow_udf("boolean")
     def may(x: pa.Array, y: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
         return pa.array([may_link(*p) for p in zip(*(c.to_pylist() for c in (x, y, n, m)), strict=True)], pa.bool_())
 
     posted = slim.mapInArrow(post, "range int, keys binary, nodes binary, sizes binary, places binary")
-    met = saved(posted.repartition("range").mapInArrow(meet, "a long, b long, chained boolean").distinct(), "ngram-met")
+    met = saved(posted.repartition(min(ranges, 20_000), "range").sortWithinPartitions("range").mapInArrow(meet, "a long, b long, chained boolean").distinct(), "ngram-met")
     x, y = (reps.select(F.col("s1").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in ("a", "b"))
     pairs = met.where("not chained").select("a", "b").join(x, "a").join(y, "b").where(may("bits_a", "bits_b", "n_a", "n_b"))
     near = components(met.where("chained").select("a", "b").unionByName(pairs.select("a", "b")))
@@ -383,12 +406,12 @@ def _laid_out(groups: DataFrame) -> DataFrame:
     sized = saved(bands.join(whole, "comp").withColumn("single", is_small).withColumn("blocks", F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")), "ngram-bands")
     one = groups.join(small(sized.where("single").select("comp").distinct()), "comp", "left_semi")
     one = one.select("s1", "s2", "rep", F.xxhash64("comp").alias("tile"), F.lit(2).alias("side"), F.lit(True).alias("single"))
-    large = sized.where("not single").select("comp", "band", "blocks")
+    large = saved(sized.where("not single").select("comp", "band", "blocks"), "ngram-large")
     if large.isEmpty():
         return one
-    cut = groups.join(small(saved(large, "ngram-large")), ["comp", "band"]).withColumn("block", F.pmod(F.xxhash64("s2"), F.col("blocks")).cast("int"))
+    cut = groups.join(small(large), ["comp", "band"]).withColumn("block", F.pmod(F.xxhash64("s2"), F.col("blocks")).cast("int"))
     # A set meets the blocks of its own band and of the next; the block pair names the tile.
-    mates = large.select("comp", F.col("band").alias("band2"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block2"))
+    mates = small(large.select("comp", F.col("band").alias("band2"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block2")))
     down = cut.join(mates, "comp").where("band2 = band + 1 or (band2 = band and block2 >= block)").select("*", F.lit(0).alias("at"))
     up = cut.join(mates, "comp").where("band2 = band - 1 or (band2 = band and block2 < block)").select("*", F.lit(1).alias("at"))
     lower, upper = F.struct("band", "block"), F.struct(F.col("band2").alias("band"), F.col("block2").alias("block"))
@@ -399,11 +422,12 @@ def _laid_out(groups: DataFrame) -> DataFrame:
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay when of each component the document with the smallest id does; rows without an id stay.
-    Of an id with several texts, only the rows whose set belongs to a smaller id go."""
-    found = saved(_components(docs, id_col, text_col).where("doc_id is not null").select(F.col("doc_id").alias("_gone"), (F.col("doc_id") != F.col("component_id")).alias("goes"), "s1", "s2"), "ngram-found")
-    gone = saved(found.where("goes").select("_gone").distinct(), "ngram-gone")
-    rest = docs.join(small(gone), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
-    mixed = saved(found.where("not goes").select("_gone").distinct().join(small(gone), "_gone", "left_semi"), "ngram-mixed")
+    Of an id with several texts, only the rows whose set belongs to a smaller id go. Columns of any name are kept."""
+    found = saved(_components(docs, id_col, text_col).where("doc_id is not null").select("doc_id", (F.col("doc_id") != F.col("component_id")).alias("goes"), "s1", "s2"), "ngram-found")
+    gone = saved(found.where("goes").select("doc_id").distinct(), "ngram-gone")
+    whole = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("words"))
+    rest = whole.join(small(gone), "doc_id", "left_anti").select("row.*")
+    mixed = saved(found.where("not goes").select("doc_id").distinct().join(small(gone), "doc_id", "left_semi"), "ngram-mixed")
     if mixed.isEmpty():
         return rest
 
@@ -413,7 +437,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _hashes.clear()
         return pa.StructArray.from_arrays([pa.array([n[k] for n in names], pa.int64()) for k in (0, 1)], names=["s1", "s2"])
 
-    some = docs.select(F.struct("*").alias("_doc"), F.col(id_col).cast("long").alias("_gone"), F.col(text_col).cast("binary").alias("_text")).join(small(mixed), "_gone", "left_semi")
-    some = some.withColumn("_name", named("_text")).select("_doc", "_gone", F.col("_name.s1").alias("s1"), F.col("_name.s2").alias("s2"))
-    stay = some.join(found.where("goes").select("_gone", "s1", "s2").distinct(), ["_gone", "s1", "s2"], "left_anti")
-    return rest.unionByName(stay.select("_doc.*"))
+    some = whole.join(small(mixed), "doc_id", "left_semi").withColumn("name", named("words"))
+    some = some.select("row", "doc_id", F.col("name.s1").alias("s1"), F.col("name.s2").alias("s2"))
+    stay = some.join(found.where("goes").select("doc_id", "s1", "s2").distinct(), ["doc_id", "s1", "s2"], "left_anti")
+    return rest.unionByName(stay.select("row.*"))

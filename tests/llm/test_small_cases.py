@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,15 +12,15 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.llm import chat, components, exact_dedup, fingerprints, langid, licenses, mixing, ngram_join, packing, queries, revisits, token_counts
+from ledgermill.llm import chat, exact_dedup, fingerprints, langid, licenses, mixing, ngram_join, packing, queries, revisits, token_counts
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, doc string, key string, target double, place string, _found string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, doc string, key string, target double, place string, _found string, _gone string, __langid string, row string, words string"
 LONG = " ".join(f"word{i % 977}x{i}" for i in range(30_000))
 
 
 def table(spark, rows):
     """rows: (doc_id, text, source). The extra columns' names clash with those that operators use inside."""
-    return spark.createDataFrame([(i, t, "en" if i and i % 2 else None, s, len(t or ""), 1, "d", "k", 1.0, "p", "f") for i, t, s in rows], SCHEMA)
+    return spark.createDataFrame([(i, t, "en" if i and i % 2 else None, s, len(t or ""), 1, "d", "k", 1.0, "p", "f", "g", "l", "r", "w") for i, t, s in rows], SCHEMA)
 
 
 ODD = [
@@ -92,6 +93,10 @@ def test_license_expressions():
     e = licenses.parse("MIT or GPL-2.0-only with Classpath-exception-2.0 AND (Apache-2.0)")
     assert e.alternatives == {frozenset({"mit"}), frozenset({"gpl-2.0-only with classpath-exception-2.0", "apache-2.0"})}
     assert e.permitted({"mit"}) and not e.permitted({"apache-2.0"}) and licenses.parse("MIT AND ISC").permitted({"mit", "isc"})
+    for line, value in (("MIT */", "MIT"), (" MIT -->", "MIT"), ("MIT ##", "MIT"), ('MIT "" #', 'MIT ""'), ("MIT''", "MIT"), ("MIT *) ", "MIT"), ("", ""), ("#", "")):
+        assert licenses.tag_value(line) == value
+    began = time.perf_counter()
+    assert licenses.Scanner({}).tags(b"SPDX-License-Identifier: MIT" + b" " * 1_000_000 + b"x\n")[:2] == (1, 1) and time.perf_counter() - began < 1
     for bad in ("", "MIT OR", "(MIT", "MIT)", "MIT ISC", "AND", "MIT / ISC", "(MIT OR ISC) WITH x"):
         with pytest.raises(ValueError):
             licenses.parse(bad)
@@ -265,23 +270,6 @@ def test_prefixes_meet():
             assert ngram_join.may_link(ngram_join.bitmap(a).tobytes(), ngram_join.bitmap(b).tobytes(), len(a), len(b))
 
 
-def test_components(spark):
-    rng = random.Random(4)
-    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 430)] + [(7, 7)]
-    parent = list(range(500))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in edges:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-    got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
-
-
 def test_exact_dedup(spark, odd, none):
     def brute(rows):
         groups = defaultdict(list)
