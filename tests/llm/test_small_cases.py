@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -308,6 +309,28 @@ def test_dedup_in_many_buckets(spark):
     index = exact_dedup.build(docs, bucket_entries=10)
     assert len(index.directory.buckets) > 4 and index.entries.agg(F.sum("n")).first()[0] == 200
     assert index.entries.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 10
+    found = exact_dedup.resolved(docs, index).collect()
+    assert sorted((r["keep_id"], r["group_size"]) for r in found) == [(i, 3 if i < 60 else 2) for i in range(70)]
+    # The directory decides who owns a text: with a wrong slot its owner lacks the entry and says so.
+    slots = index.directory.slots
+    slots[:] = slots[1:] + slots[:1]
+    with pytest.raises(Exception, match="has no entry for a text"):
+        exact_dedup.resolved(docs, index)
+
+
+def test_hot_text_is_sent_once_by_a_task(monkeypatch):
+    monkeypatch.setattr(exact_dedup, "COMBINE_BYTES", 20_000)
+    rows = [(1, b"h", b"hot" * 40) if i % 2 else (i, b"s%d" % i, b"text %d" % i) for i in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["key", "sha", "text"])
+    out = [r for b in exact_dedup._combined(exact_dedup.Directory(0, [0], [(0, 0)]))(iter([batch])) for r in b.to_pylist()]
+    assert [r["n"] for r in out if r["key"] == 1] == [2000] and sum(r["n"] for r in out) == 4000
+
+
+def test_dedup_with_many_contested_keys(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "small", lambda df: df)
+    rows = [(i, f"text {i % 70}", "a") for i in range(200)]
+    got = exact_dedup.dedup(table(spark, rows)).collect()
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got} == {(i, i % 70, 3 if i % 70 < 60 else 2, i < 70) for i in range(200)}
 
 
 def brute_chat(rows):
