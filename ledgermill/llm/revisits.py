@@ -49,13 +49,15 @@ def merged_headers(stored: Column, update: Column, permitted=PERMITTED) -> Colum
 
 
 def resolve(records: DataFrame, permitted=PERMITTED) -> DataFrame:
-    """records: record_id long, url, date long (not null), kind ('response' for a full one, 'revisit', others are left
+    """records: record_id long, url, date long, kind ('response' for a full one, 'revisit', others are left
     out), etag, last_modified, digest (strings), headers array<struct<name, value>>.
 
     A row per revisit: record_id, url (canonical), date, status, refers_to, digest, headers. The latest response of the
     URL with an earlier date counts, of equal dates the one with the largest id. status: resolved if the validators
     agree, mismatch if not, orphan if there is none; only resolved ones have refers_to, digest and merged headers.
-    Null URLs equal nothing and are orphans. Repeated records give repeated rows; extra columns aren't read."""
+    Null URLs equal nothing and revisits without one are orphans, as are those without a date; responses without either
+    aren't seen. Repeated records give repeated rows, a null id is the smallest, an empty table gives no rows; extra
+    columns aren't read."""
     slim = records.where(F.col("kind").isin("response", "revisit")).select("record_id", canonical_url(F.col("url")).alias("url"), F.col("date").cast("long").alias("date"), "kind", "etag", "last_modified", "digest", "headers")
     slim = saved(slim, "warc-records")
     n = slim.count()
@@ -63,16 +65,16 @@ def resolve(records: DataFrame, permitted=PERMITTED) -> DataFrame:
     cuts = sorted({int(x) for x in slim.select(F.col("date").cast("double").alias("x")).approxQuantile("x", [i / k for i in range(1, k)], 1 / (4 * k))}) if k > 1 else []
     block = F.size(F.filter(F.array(*(F.lit(c) for c in cuts)).cast("array<bigint>"), lambda c: c <= F.col("date"))) if cuts else F.lit(0)
     response = F.when(F.col("kind") == "response", F.struct("date", "record_id", "etag", "last_modified", "digest", "headers"))
-    # A null URL never meets another, so its records are dealt out by id.
-    key = F.coalesce(F.concat(F.lit("u"), "url"), F.concat(F.lit("r"), F.col("record_id").cast("string"), F.lit(":"), F.col("date").cast("string")))
-    df = slim.withColumns({"block": block, "response": response, "key": key})
-    handed = df.where("response is not null and url is not null").groupBy("key", "block").agg(F.max("response").alias("last"))
+    placed = F.col("url").isNotNull() & F.col("date").isNotNull()
+    df = slim.where(placed).withColumns({"block": block, "response": response})
+    handed = df.where("response is not null").groupBy("url", "block").agg(F.max("response").alias("last"))
     # Blocks that hold a record of the URL, each with the latest response of those before.
-    places = df.where("url is not null").select("key", "block").distinct().join(handed, ["key", "block"], "left")
-    carried = saved(places.withColumn("carried", F.max("last").over(W.partitionBy("key").orderBy("block").rowsBetween(W.unboundedPreceding, -1))).where("carried is not null").select("key", "block", "carried"), "warc-carried")
-    inside = W.partitionBy("key", "block").orderBy("date").rangeBetween(W.unboundedPreceding, -1)
-    df = df.withColumn("found", F.when(F.col("url").isNotNull(), F.max("response").over(inside))).where("kind = 'revisit'")
-    df = df.join(small(carried), ["key", "block"], "left").withColumn("found", F.coalesce("found", "carried"))
+    places = df.select("url", "block").distinct().join(handed, ["url", "block"], "left")
+    carried = saved(places.withColumn("carried", F.max("last").over(W.partitionBy("url").orderBy("block").rowsBetween(W.unboundedPreceding, -1))).where("carried is not null").select("url", "block", "carried"), "warc-carried")
+    inside = W.partitionBy("url", "block").orderBy("date").rangeBetween(W.unboundedPreceding, -1)
+    df = df.withColumn("found", F.max("response").over(inside)).where("kind = 'revisit'")
+    df = df.join(small(carried), ["url", "block"], "left").withColumn("found", F.coalesce("found", "carried")).drop("carried", "block", "response")
+    df = df.unionByName(slim.where(~placed & (F.col("kind") == "revisit")).withColumn("found", F.lit(None).cast(df.schema["found"].dataType)))
     ok = F.col("found").isNotNull() & same_validator(F.struct("etag", "last_modified", "digest"), F.col("found"))
     status = F.when(F.col("found").isNull(), "orphan").when(ok, "resolved").otherwise("mismatch")
     found = lambda c: F.when(ok, c)
