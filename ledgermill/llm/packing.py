@@ -33,8 +33,9 @@ END_ID = 2
 BLOCK_TOKENS = 4_000_000
 #: Holes smaller than this stay padding: no document is cut for them.
 LEAST_HOLE = 16
-#: Cached white-space separated chunks of text per Python worker.
-CACHE_CHUNKS = 300_000
+#: Cached white-space separated chunks of text per Python worker, and the longest of them in bytes: 60 MB at most. Longer
+#: ones are held for 64 texts only.
+CACHE_CHUNKS, CACHED_CHUNK = 250_000, 64
 
 
 class CapacityTree:
@@ -198,9 +199,10 @@ class ChunkTokenizer:
         return True
 
     def learn(self, chunks: set[bytes]) -> None:
-        if len(self.cache) + len(chunks.difference(self.cache)) > CACHE_CHUNKS:
-            self.cache.clear()
         new = list(chunks.difference(self.cache))
+        if len(self.cache) + len(new) > CACHE_CHUNKS:
+            self.cache.clear()
+            new = list(chunks)
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
             texts = [c.decode("utf-8", "replace") for c in some]
@@ -233,6 +235,8 @@ class ChunkTokenizer:
                 self.learn(words)
             get = self.cache.__getitem__
             out += [b"".join(map(get, s)) for s in split]
+            for w in [w for w in words if len(w) > CACHED_CHUNK]:
+                del self.cache[w]
         return out
 
 

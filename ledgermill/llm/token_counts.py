@@ -19,8 +19,9 @@ from .common import modest_batches, rows_of
 #: What stands for the space before a word in the vocabulary.
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Cached words of a Python worker.
-CACHE_WORDS = 700_000
+#: Cached words of a Python worker, and the longest of them in bytes: about 60 MB. In scripts without spaces a word can be
+#: a paragraph; long words hardly come again.
+CACHE_WORDS, CACHED_WORD = 400_000, 64
 
 
 class Counter(dict):
@@ -37,7 +38,11 @@ class Counter(dict):
         self.unknown = least - UNKNOWN_PENALTY
 
     def __missing__(self, word: bytes) -> int:
-        n = self[word] = self.pieces(SPACE + word.decode("utf-8", "replace"))
+        n = self.pieces(SPACE + word.decode("utf-8", "replace"))
+        if len(word) <= CACHED_WORD:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = n
         return n
 
     def pieces(self, text: str) -> int:
@@ -98,8 +103,6 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(vocabulary_path)
         for b in rows_of(batches, 256):
-            if len(c) > CACHE_WORDS:
-                c.clear()
             texts = b.column(1).to_pylist()
             counts = [sum(map(c.__getitem__, words(t or b""))) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len((t or b"").split()) for t in texts], pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "n_words", "n_tokens"])

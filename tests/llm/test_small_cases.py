@@ -1,6 +1,7 @@
 """Each operator on odd tables: nulls, empty and long texts, ties, repeated rows, no rows, clashing extra columns."""
 
 import hashlib
+import pickle
 import random
 import re
 import time
@@ -111,9 +112,15 @@ def test_revisits(spark):
         (1, "http://WWW.e.com/a/?utm_x=1&b=2&a=1#z", 10, "response", "a", None, "d1", h, "", ""), (2, "https://e.com:443/a?a=1&b=2", 20, "revisit", 'W/a', None, None, [("content-length", "0"), ("vary", "y"), ("date", "t")], "", ""),
         (3, "//e.com/a?a=1&b=2", 10, "revisit", "a", None, None, None, "", ""), (4, "https://e.com/a?a=1&b=2", 20, "response", "b", None, "d2", None, "", ""), (5, "https://e.com/a?a=1&b=2", 21, "revisit", "a", None, None, None, "", ""),
         (6, None, 5, "response", "a", None, "d", None, "", ""), (7, None, 6, "revisit", "a", None, None, None, "", ""), (8, "https://e.com/a?b=2&a=1", 30, "revisit", None, None, "d2", None, "", ""), (9, "https://e.com/a?b=2&a=1", 30, "request", None, None, None, None, "", ""),
+        (10, "https://e.com/n", None, "response", "a", None, "d", None, "", ""), (11, "https://e.com/n", None, "revisit", "a", None, None, None, "", ""), (12, "https://e.com/n", 40, "revisit", "a", None, None, None, "", ""),
+        (13, None, None, "revisit", "a", None, None, None, "", ""), (14, "http://r.com/", 5, "response", "t", None, "r", None, "", ""), (14, "http://r.com/", 5, "response", "t", None, "r", None, "", ""),
+        (15, "http://r.com", 6, "revisit", "t", None, None, None, "", ""), (15, "http://r.com", 6, "revisit", "t", None, None, None, "", ""),
     ]
-    got = {r["record_id"]: r for r in revisits.resolve(spark.createDataFrame(rows, schema)).collect()}
-    assert {k: (r["status"], r["refers_to"], r["digest"]) for k, r in got.items()} == {2: ("resolved", 1, "d1"), 3: ("orphan", None, None), 5: ("mismatch", None, None), 7: ("orphan", None, None), 8: ("resolved", 4, "d2")}
+    every = revisits.resolve(spark.createDataFrame(rows, schema)).collect()
+    got = {r["record_id"]: r for r in every}
+    assert len(every) == len(got) + 1  # the repeated one
+    lost = ("orphan", None, None)
+    assert {k: (r["status"], r["refers_to"], r["digest"]) for k, r in got.items()} == {2: ("resolved", 1, "d1"), 3: ("orphan", None, None), 5: ("mismatch", None, None), 7: ("orphan", None, None), 8: ("resolved", 4, "d2"), 11: lost, 12: lost, 13: lost, 15: ("resolved", 14, "r")}
     assert [tuple(x) for x in got[2]["headers"]] == [("content-length", "5"), ("date", "t"), ("etag", "a"), ("vary", "y")] and got[2]["url"] == "e.com/a?a=1&b=2"
     assert revisits.resolve(spark.createDataFrame([], schema)).count() == 0
 
@@ -391,6 +398,24 @@ def test_token_counts(spark, odd, none):
     assert token_counts.token_counts(none, path).count() == 0
 
 
+def test_caches_hold_bounded_bytes(monkeypatch):
+    rng = random.Random(15)
+    spaceless = ["".join(rng.choice("漢字文章列語") for _ in range(400)) for _ in range(50)]
+    c = token_counts.counter(public_tokenizers.path("piece_bpe_32k.model"))
+    c.clear()
+    tokenizer = packing.ChunkTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    first = [c[t.encode()] for t in spaceless], tokenizer.encode([t.encode() for t in spaceless])
+    ngram_join.shingle_sets([t.encode() for t in spaceless])
+    assert not c and not tokenizer.cache and not any(len(w) > ngram_join.CACHED_WORD for w in ngram_join._hashes)
+    assert first == ([c[t.encode()] for t in spaceless], tokenizer.encode([t.encode() for t in spaceless]))
+    monkeypatch.setattr(token_counts, "CACHE_WORDS", 10)
+    assert [c[str(k).encode()] for k in range(100)] and len(c) <= 10
+    monkeypatch.setattr(packing, "CACHE_CHUNKS", 10)
+    few = [b" ".join(b"%d" % k for k in range(i, i + 7)) for i in range(100)]
+    want = [tokenizer.encode([t])[0] for t in few]
+    assert len(tokenizer.cache) <= 20 and want == packing.ChunkTokenizer(public_tokenizers.path("word_bpe_49k.json")).encode(few)
+
+
 def test_ties_keep_the_longest_last_piece():
     c = token_counts.Counter([("▁", -1.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁a", -2.0)])
     assert c.pieces("▁ab") == 2 and c.pieces("▁aé") == 3  # ▁|ab before ▁a|b; é counts two bytes
@@ -451,9 +476,11 @@ def sample_texts(seed, n):
 
 def test_langid(spark, none):
     rows = sample_texts(14, 300) + [(900, None, "aa"), (901, "123 !!", "bb"), (902, "", None), (None, "abc abd", None), (903, LONG, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({"lang_pred": F.lit("old"), "score": F.lit("old")})
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({c: F.lit("old") for c in ("lang_pred", "score", "__langid", "row", "found", "_id")})
     model = langid.learned(docs)
-    got = langid.identify(docs, model).withColumn("held", langid.held_out()).collect()
+    found = langid.identify(docs, model)
+    assert found.columns == ["doc_id", "text", "lang", "__langid", "row", "found", "_id", "lang_pred", "score"]
+    got = found.withColumn("held", langid.held_out()).collect()
     assert len(got) == len(rows) and all(r["lang_pred"] in (*LETTERS, "und") and 0 <= r["score"] <= 1 for r in got)
     for r in got:
         if r["text"] is None or not any(c.isalpha() for c in r["text"]):
@@ -464,6 +491,9 @@ def test_langid(spark, none):
     assert held and sum(r["lang"] == r["lang_pred"] for r in held) >= 0.98 * len(held)
     kept = langid.accepted(docs)
     assert kept.columns == docs.columns and {900, 901, 902}.isdisjoint(r["doc_id"] for r in kept.collect()) and kept.count() >= 300
+    # Repeated ids with other texts, and more languages than the sample has room for, are learned alike in any order.
+    again = docs.unionByName(docs.withColumn("text", F.concat("text", F.lit(" more")))).repartition(5)
+    assert pickle.dumps(langid.learned(again).weights) == pickle.dumps(langid.learned(again.repartition(2)).weights)
     blank = langid.learned(none)
     assert blank.labels == [] and langid.identify(none, blank).count() == 0 and blank.predict("abc") == ("und", 0.0)
     # Held-out rows change nothing.
