@@ -100,11 +100,13 @@ def mix(
     for s in schedules:
         check_schedule(s)
     weights = [_areas(s)[-1] for s in schedules]
-    bits = min(16, max(4, math.ceil(math.log2(max(1, docs.count() / CELL_ROWS)))))
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     sized = docs.select(
         F.struct(*keep).alias("doc"), F.col(source_col).alias("source"), null_key(F.col(source_col)).alias("source_key"), F.col(id_col).alias("_id"), key.alias("_hash"), word_count(F.col(text_col)).alias("size")
     )
+    if "*" not in keep:  # narrow rows are written, so words are counted once
+        sized = saved(sized, "mix-sized")
+    bits = min(16, max(4, math.ceil(math.log2(max(1, sized.select("_hash").count() / CELL_ROWS)))))
     sized = sized.withColumn("cell", F.shiftright(F.conv(F.substring("_hash", 1, 4), 16, 10).cast("int"), 16 - bits))
     cells = saved(sized.groupBy("source_key", "cell").agg(F.first("source").alias("source"), F.sum("size").alias("cell_size")), "mix-cells")
     shares = targets(cells.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("cell_size").alias("source_size")), weights, share, cap)
