@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from .common import modest_batches, released, saved, small
 
 FEATURES = 1 << 14
-#: Bound of the training sample, for each language.
-PER_LANGUAGE = 2_500
-#: Most languages; the most frequent ones are learned.
-MAX_LANGUAGES = 256
+#: Bound of the training sample: documents of a language, and of all languages together (a language of many has an equal
+#: share of that, LEAST at least). All languages are learned.
+PER_LANGUAGE, SAMPLE, LEAST = 2_500, 200_000, 20
+#: N-grams of a text up to which they are sorted; beyond, all features are counted.
+SHORT = 6_000
 UNKNOWN = "und"
 ALPHA, BETA, L1, L2, EPOCHS = 0.6, 1.0, 0.02, 0.01, 2
 _LETTER = regex.compile(r"\p{L}")
@@ -32,8 +33,8 @@ _FOLD = np.arange(0x80, dtype=np.uint32)
 _FOLD[[c for c in range(0x80) if not chr(c).isalpha()]] = 32
 
 
-def counts(text: str) -> np.ndarray:
-    """How often each hashed n-gram occurs in the whole text; ASCII characters other than letters count as spaces."""
+def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed n-grams of the whole text, and how often each occurs; ASCII characters other than letters count as spaces."""
     c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
     c = np.where(c < 0x80, _FOLD[np.minimum(c, 0x7F)], c).astype(np.uint32)
     keep = np.ones(len(c), dtype=bool)
@@ -43,17 +44,21 @@ def counts(text: str) -> np.ndarray:
     grams = [a, a[:-1] * np.uint32(0x85EBCA6B) + c[1:] * np.uint32(0xC2B2AE35) + np.uint32(1)]
     grams.append(grams[1][:-1] * np.uint32(0x27D4EB2F) + c[2:] * np.uint32(0x165667B1) + np.uint32(2))
     shift = np.uint32(32 - FEATURES.bit_length() + 1)
-    out = np.zeros(FEATURES, dtype=np.int64)
-    for g in grams:
-        g ^= g >> np.uint32(15)
-        out += np.bincount((g * np.uint32(0x2C1B3C6D)) >> shift, minlength=FEATURES)
-    return out
+    g = np.concatenate(grams)
+    g ^= g >> np.uint32(15)
+    g = (g * np.uint32(0x2C1B3C6D)) >> shift
+    if len(g) < SHORT:
+        at, n = np.unique(g, return_counts=True)
+        return at.astype(np.int64), n
+    found = np.bincount(g, minlength=FEATURES)
+    at = np.flatnonzero(found)
+    return at, found[at]
 
 
-def vector(found: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def vector(found: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indexes and values of a document's scaled TF-IDF vector."""
-    at = np.flatnonzero(found)
-    v = (1 + np.log(found[at])) * idf[at]
+    at, n = found
+    v = (1 + np.log(n)) * idf[at]
     return at, (v / math.sqrt(float(v @ v) or 1.0)).astype(np.float64)
 
 
@@ -132,7 +137,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     df, n = np.zeros(FEATURES, dtype=np.int64), 0
     for b in batches:
         for t in b.column(0):
-            df += counts(t.as_py() or "") > 0
+            df[counts(t.as_py() or "")[0]] += 1
             n += 1
     if n:
         at = np.flatnonzero(df)
@@ -141,10 +146,13 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Learns from the rows of docs with a language and a text. Rows are its only input: held-out ones must be gone."""
+    """Learns from the rows of docs with a language and a text. Rows are its only input: held-out ones must be gone.
+
+    Repeated rows count in the idf; an id is in the sample once, with its least language and text. Rows of null id are
+    one such id. No rows: a model without labels, which predicts und. Other columns aren't read."""
     known = modest_batches(docs).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).alias("_text"))
-    sizes = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()}
-    labels = sorted(sizes)
+    sizes = saved(known.groupBy("_lang").agg(F.count("*").alias("_size")), "langid-sizes")
+    labels = sorted(r["_lang"] for r in sizes.collect())  # the model has a column of weights for each
     if not labels:
         return Model([], np.ones(FEATURES), np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
     df = {r["feature"]: r["n"] for r in known.select("_text").mapInArrow(_document_counts, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}  # at most FEATURES + 1 rows
@@ -152,20 +160,21 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     seen = np.zeros(FEATURES)
     seen[list(df)] = list(df.values())
     idf = np.log((1 + total) / (1 + seen)) + 1
-    hashed = F.xxhash64("_id", F.lit(10))
+    per = min(per_language, max(LEAST, SAMPLE // len(labels)))
     # Hashes under a bound that twice as many documents as needed are expected to meet: so few rows of a language meet.
-    bound = F.create_map(*(x for label, n in sizes.items() for x in (F.lit(label), F.lit(min((1 << 63) - 1, int((min(1.0, (2 * per_language + 100) / n) * 2 - 1) * 2.0**63))))))
-    lowest = F.row_number().over(W.partitionBy("_lang").orderBy("_hash", "_id"))
-    chosen = known.where(F.col("_lang").isin(labels)).select("_id", "_lang", hashed.alias("_hash")).where(F.col("_hash") <= bound[F.col("_lang")]).withColumn("_n", lowest).where(F.col("_n") <= per_language)
-    chosen = saved(chosen.select("_id", "_lang").dropDuplicates(["_id"]), "langid-sample")
-    sample = known.drop("_lang").join(small(chosen), "_id").dropDuplicates(["_id"]).select("_id", "_lang", "_text")
+    known = known.withColumn("_id", F.coalesce("_id", F.lit(""))).withColumn("_share", F.xxhash64("_id", F.lit(10)) / F.lit(2.0**64) + 0.5)
+    near = known.select("_id", "_lang", "_share").join(small(sizes), "_lang").where(F.col("_share") <= (2 * per + 100) / F.col("_size"))
+    lowest = F.row_number().over(W.partitionBy("_lang").orderBy("_share", "_id"))
+    chosen = near.select("_id", "_lang", "_share").distinct().withColumn("_n", lowest).where(F.col("_n") <= per)
+    chosen = saved(chosen.groupBy("_id").agg(F.min("_lang").alias("_lang")), "langid-sample")
+    sample = known.drop("_share").join(small(chosen), ["_id", "_lang"]).groupBy("_id").agg(F.min(F.struct("_lang", "_text")).alias("r")).select("_id", "r._lang", "r._text")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        rows, place = [], {label: k for k, label in enumerate(labels)}
         for b in batches:
             for i, lang, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 at, v = vector(counts(text), idf)
-                rows.append((i, labels.index(lang), at.astype(np.uint16), v.astype(np.float32)))
+                rows.append((i, place[lang], at.astype(np.uint16), v.astype(np.float32)))
         rows.sort(key=lambda r: r[0])
         aside = [k % 8 == 7 for k in range(len(rows))]
         kept, rest = [r for r, a in zip(rows, aside) if not a], [r for r, a in zip(rows, aside) if a]
@@ -195,8 +204,9 @@ def _model(dumped: bytes) -> Model:
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """docs with lang_pred and score (columns of these names are replaced): the likeliest language and its calibrated
-    probability, from the whole text alone; und and 0 if the text is null or has no letter, or nothing was learned."""
+    """docs with lang_pred and score (columns of these names are replaced, all others kept): the likeliest language and its
+    calibrated probability, from the whole text alone; of equal ones the first by code point. und and 0 if the text is null
+    or has no letter, or nothing was learned. Each row stands for itself: ids aren't read, repeated rows agree."""
     dumped = pickle.dumps(model)
 
     @F.arrow_udf("struct<lang: string, score: double>")
@@ -205,13 +215,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: st
         found = [m.predict(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays([pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=["lang", "score"])
 
-    found = modest_batches(docs).withColumn("__langid", predict(F.col(text_col)))
-    return found.withColumns({lang_out: F.col("__langid.lang"), score_out: F.col("__langid.score")}).drop("__langid")
+    found = modest_batches(docs).select(F.struct("*").alias("row"), predict(F.col(text_col)).alias("found"))
+    kept = [c for c in docs.columns if c.lower() not in (lang_out.lower(), score_out.lower())]
+    return found.select(*(F.col("row")[c].alias(c) for c in kept), F.col("found.lang").alias(lang_out), F.col("found.score").alias(score_out))
 
 
 def accepted(docs: DataFrame, least_score: float = 0.35, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of docs in a language that the model learned from them, with a score of least_score or more; junk
-    without letters and texts that look like no learned language go."""
+    without letters and texts that look like no learned language go. All columns stay, whatever their names."""
     model = learned(docs, id_col, text_col=text_col, lang_col=lang_col)
-    found = identify(docs, model, text_col, "__langid_pred", "__langid_score")
-    return found.where((F.col("__langid_pred") != UNKNOWN) & (F.col("__langid_score") >= least_score)).drop("__langid_pred", "__langid_score")
+    found = identify(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), model, "text", "lang_pred", "score")
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")
