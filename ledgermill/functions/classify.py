@@ -41,6 +41,10 @@ def employment_type(c: Column) -> Column:
     return lookup(F.replace(casefold_key(c), F.lit("_"), F.lit("-")), EMPLOYMENT, F.lit("unknown"))
 
 
+#: What in a description tells the workplace, in order: fixed values.
+WORKPLACE_PATTERNS = {"hybrid": r"\bhybrid\b", "on-site": r"\b(on[- ]site|onsite)\b", "remote": r"\b(remote|work from home)\b"}
+
+
 def workplace(location_type: Column, description: Column) -> Column:
     """(type, inferred): stated remote first, then what the description says."""
     stated, said = casefold_key(location_type), F.lower(F.coalesce(description, F.lit("")))
@@ -48,13 +52,10 @@ def workplace(location_type: Column, description: Column) -> Column:
     def found(kind: str, inferred: bool) -> Column:
         return F.struct(F.lit(kind).alias("type"), F.lit(inferred).alias("inferred"))
 
-    return (
-        F.when(stated.contains("telecommute") | (stated == "remote"), found("remote", False))
-        .when(said.rlike(r"(?U)\bhybrid\b"), found("hybrid", True))
-        .when(said.rlike(r"(?U)\b(on[- ]site|onsite)\b"), found("on-site", True))
-        .when(said.rlike(r"(?U)\b(remote|work from home)\b"), found("remote", True))
-        .otherwise(found("unknown", False))
-    )
+    kind = F.when(stated.contains("telecommute") | (stated == "remote"), found("remote", False))
+    for name, pattern in WORKPLACE_PATTERNS.items():
+        kind = kind.when(said.rlike(f"(?U){pattern}"), found(name, True))
+    return kind.otherwise(found("unknown", False))
 
 
 def display(c: Column, names: dict[str, str]) -> Column:

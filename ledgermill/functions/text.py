@@ -34,8 +34,9 @@ def clean_text(c: Column) -> Column:
 
 
 def casefold_key(c: Column) -> Column:
-    """clean_text() for comparisons without case. lower() stands for full case folding, which differs for a few letters."""
-    return F.lower(clean_text(c))
+    """clean_text() for comparisons without case, by full case folding: 'ß' is 'ss', a closing sigma a sigma. Upper and
+    then lower case gives that but for the dotless i, which is kept apart (and Cherokee, in small letters here)."""
+    return F.translate(F.lower(F.upper(F.translate(clean_text(c), "ı", "\ue000"))), "ς\ue000", "σı")
 
 
 def integer(c: Column) -> Column:
@@ -151,4 +152,6 @@ def decode_json(c: Column) -> Column:
 def hash_token(c: Column) -> Column:
     """How a value counts in content hashes: parsed JSON as such, other text without case and spacing; null is null."""
     t = c.cast("string")
-    return F.when(t.isNull(), F.lit("null")).otherwise(F.coalesce(F.to_json(F.try_parse_json(t)), quoted(casefold_key(t))))
+    fraction = F.when(t.rlike(r"^\s*-?(0|[1-9]\d*)(\.\d+([eE][+-]?\d+)?|[eE][+-]?\d+)\s*$"), F.trim(t).try_cast("double").cast("string"))  # 1.0 isn't 1
+    looks = t.rlike(r'^\s*([\[{"tfn0-9-])')  # all else can't be JSON
+    return F.when(t.isNull(), F.lit("null")).otherwise(F.coalesce(fraction, F.when(looks, F.to_json(F.try_parse_json(t))), quoted(casefold_key(t))))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 
 from .text import text
 
+#: The listing site, and where its ids stand in paths and URNs: fixed values.
 LISTING_SITE = "linkedin.com"
 LISTING_PATH = r"/jobs/view/(?:[^/?#]*-)?(\d+)(?:[/?#]|$)"
 LISTING_URN = r"urn:li:jobPosting:(\d+)"
@@ -109,8 +110,8 @@ EMPLOYMENT_CODES = {"full_time": "F", "part_time": "P", "contract": "C", "tempor
 def search_url(keywords: str, location: str, filters: dict) -> str:
     """A search page's URL; unknown filter values are left out."""
     query = {"keywords": keywords, "location": location}
-    if filters.get("date_posted", "any") != "any":
-        query["f_TPR"] = DATE_CODES[filters["date_posted"]]
+    if code := DATE_CODES.get(filters.get("date_posted", "any")):
+        query["f_TPR"] = code
     for name, field, codes in (("f_E", "experience_levels", EXPERIENCE_CODES), ("f_WT", "workplace_types", WORKPLACE_CODES), ("f_JT", "employment_types", EMPLOYMENT_CODES)):
         if known := [codes[v] for v in filters.get(field, []) if v in codes]:
             query[name] = ",".join(known)

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.text import instant
+from ..shared import running_total
+
 
 def first(c: str | Column, seq: str = "seq", where: Column | None = None) -> Column:
     c = F.col(c) if isinstance(c, str) else c
@@ -32,7 +35,9 @@ def is_complete() -> Column:
 
 def identities(log: DataFrame) -> DataFrame:
     """A row per key. first_seen_at is the first arrival's time, last_seen_at the greatest; the pointers follow arrival,
-    and a partial observation never clears the complete one. job_id: rank by first arrival is left to numbered()."""
+    and a partial observation never clears the complete one. updated_at: when the last arrival was written, if the log says
+    so (written_at). job_id: rank by first arrival is left to numbered()."""
+    written = [last("written_at").alias("updated_at")] if "written_at" in log.columns else []
     return log.groupBy("dedup_key").agg(
         F.min("seq").alias("first_seq"),
         first_known("source").alias("source"),
@@ -44,6 +49,7 @@ def identities(log: DataFrame) -> DataFrame:
         last_known("run_id").alias("last_seen_run_id"),
         last("content_hash").alias("latest_hash"),
         last("content_hash", where=is_complete()).alias("latest_complete_hash"),
+        *written,
     )
 
 
@@ -98,12 +104,17 @@ def newest(versions: DataFrame, key: str = "dedup_key", complete_only: bool = Fa
 
 
 def latest(log: DataFrame) -> DataFrame:
-    """Each key's version to show: the last complete one to arrive, else the last one; with first_seen_at and
-    last_seen_at. One shuffle: versions and folds come from one aggregation."""
-    rest = [c for c in log.columns if c != "dedup_key"]
-    row = F.struct(*rest)
-    found = log.groupBy("dedup_key").agg(F.min("seq").alias("first_seq"), first("captured_at").alias("first_seen_at"), F.max("captured_at").alias("last_seen_at"), F.coalesce(last(row, where=is_complete()), last(row)).alias("v"))
-    return found.select("dedup_key", "first_seq", "first_seen_at", "last_seen_at", "v.*")
+    """Each key's version to show: the content that arrived last complete, else the one that arrived last, as it was first
+    observed (a content seen again keeps its first capture); with first_seq, first_seen_at and last_seen_at. Contents are
+    folded first, then keys: two aggregations that combine map-side."""
+    rest = [c for c in log.columns if c not in ("dedup_key", "content_hash")]
+    contents = log.groupBy("dedup_key", "content_hash").agg(
+        first(F.struct(*rest)).alias("v"), F.min("seq").alias("first_seq"), F.max("seq").alias("at"), F.max(F.when(is_complete(), F.col("seq"))).alias("complete_at"), F.max("captured_at").alias("seen")
+    )
+    row = F.struct("content_hash", "v")
+    shown = F.coalesce(last(row, "complete_at", F.col("complete_at").isNotNull()), last(row, "at"))
+    found = contents.groupBy("dedup_key").agg(F.min("first_seq").alias("first_seq"), first("v.captured_at", "first_seq").alias("first_seen_at"), F.max("seen").alias("last_seen_at"), shown.alias("r"))
+    return found.select("dedup_key", "first_seq", "first_seen_at", "last_seen_at", "r.content_hash", "r.v.*")
 
 
 def latest_by_pointer(jobs: DataFrame, versions: DataFrame) -> DataFrame:
@@ -121,19 +132,17 @@ def full(strict_url: bool = False) -> Column:
 
 def since(c: Column, value: str) -> Column:
     """Whether the instant of an ISO text is at or after value's; unreadable ones aren't."""
-    from ..functions.text import instant
-
     return F.coalesce(instant(c) >= F.lit(value).cast("timestamp"), F.lit(False))
 
 
+def numbers(places: DataFrame, order: str, name: str) -> DataFrame:
+    """(order, name): the distinct values of a narrow table with their ranks from 1. No task sees all rows."""
+    return running_total(places.select(order).where(F.col(order).isNotNull()).distinct().withColumn("_one", F.lit(1)), order, "_one", name).drop("_one")
+
+
 def numbered(df: DataFrame, order: str = "first_seq", name: str = "job_id") -> DataFrame:
-    """A dense number by first arrival, without a single-task window: range partitions are counted, then offset."""
-    n = "_part"
-    parted = df.repartitionByRange(F.col(order)).withColumn(n, F.spark_partition_id())
-    sizes = parted.groupBy(n).count()
-    offsets = sizes.select(n, (F.sum("count").over(W.orderBy(n)) - F.col("count")).alias("_before"))  # a row per partition
-    inside = F.row_number().over(W.partitionBy(n).orderBy(order))
-    return parted.withColumn("_rank", inside).join(F.broadcast(offsets), n).withColumn(name, (F.col("_rank") + F.col("_before")).cast("long")).drop(n, "_rank", "_before")
+    """df with a dense number by first arrival; rows of one place have one number, those without a place none."""
+    return df.join(numbers(df, order, name), order, "left").select(*df.columns, name)
 
 
 def table_counts(**tables: DataFrame) -> DataFrame:
@@ -148,17 +157,27 @@ def growth(observed: DataFrame, key: str, round_col: str) -> DataFrame:
     """Per round: keys first seen in it, and all seen so far."""
     new = observed.groupBy(key).agg(F.min(round_col).alias(round_col)).groupBy(round_col).agg(F.count("*").alias("new_keys"))
     rounds = observed.select(round_col).distinct().join(new, round_col, "left").withColumn("new_keys", F.coalesce("new_keys", F.lit(0)).cast("long"))
-    return rounds.withColumn("seen", F.sum("new_keys").over(W.orderBy(round_col)).cast("long"))
+    return running_total(rounds, round_col, "new_keys", "seen")
+
+
+def stagnation(rounds: DataFrame, session: str, round_col: str, new: str = "new_keys") -> DataFrame:
+    """Rounds of each session with `stagnant`: how many rounds without growth in a row end there (a diagnostic: it stops nothing)."""
+    so_far = W.partitionBy(session).orderBy(round_col).rowsBetween(W.unboundedPreceding, W.currentRow)
+    islands = rounds.withColumn("_island", F.sum((F.col(new) > 0).cast("int")).over(so_far))
+    inside = W.partitionBy(session, "_island").orderBy(round_col).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return islands.withColumn("stagnant", F.sum((F.col(new) <= 0).cast("long")).over(inside)).drop("_island")
 
 
 def resolved_keys(log: DataFrame, default: str = "default_key") -> DataFrame:
     """Old default keys are kept for their records. log has dedup_key, default_key, source, source_job_id, canonical_url
     and seq. Where a record has its default key, and an older one (source:ID or source:http...) of the same source and
     id (or, without id, URL) arrived before any record with the default key, the older key stays. Custom keys never
-    merge. The order of arrival within an identity decides, so a window by identity is the whole fold."""
-    same = W.partitionBy("source", F.coalesce(F.concat(F.lit("i"), "source_job_id"), F.concat(F.lit("u"), "canonical_url")))
+    merge. The order of arrival within an identity decides, so a window by identity is the whole fold. Of equally early
+    ones the row's place decides; a record without id and URL stays as it is."""
+    who = F.coalesce(F.concat(F.lit("i"), "source_job_id"), F.concat(F.lit("u"), "canonical_url"), F.concat(F.lit("k"), "dedup_key"))
+    same = W.partitionBy("source", who)
     own = F.col("dedup_key") == F.col(default)
-    old = ~own & ((F.col("dedup_key") == F.concat("source", F.lit(":"), "source_job_id")) | F.col("dedup_key").rlike("^[^:]*:https?://"))
+    old = ~own & (F.coalesce(F.col("dedup_key") == F.concat("source", F.lit(":"), "source_job_id"), F.lit(False)) | F.col("dedup_key").rlike("^[^:]*:https?://"))
     known = F.min(F.when(old, F.struct("seq", "dedup_key"))).over(same)
     began = F.min(F.when(own, F.col("seq"))).over(same)
     return log.withColumn("dedup_key", F.when(own & (known["seq"] < began), known["dedup_key"]).otherwise(F.col("dedup_key")))

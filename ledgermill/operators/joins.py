@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import urls as U
+from ..shared import saved
 from . import history
 
 
-def known(versions: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
-    """Ids and canonical URLs of a source's complete records."""
-    rows = versions.where(history.full() & (F.col("source") == source.lower()))
-    ids = rows.select(F.nullif(F.trim("source_job_id"), F.lit("")).alias("source_job_id")).where("source_job_id is not null").distinct()
-    return ids, rows.select(U.canonicalize_url(F.col("canonical_url")).alias("canonical_url")).where("canonical_url is not null").distinct()
+def known(log: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
+    """Ids and canonical URLs of a source's complete records: an identity whose complete version names company, title,
+    description and a URL. The identity's URL counts, else the version's own, else its source URL."""
+    fields = ("capture_status", "company", "title", "description", "source_url", "canonical_url")
+    said = lambda c: F.when(F.col(c).isNotNull(), F.struct("seq", c))
+    contents = log.where(F.col("source") == source.lower()).groupBy("dedup_key", "content_hash").agg(
+        history.first(F.struct(*fields)).alias("v"), F.max(F.when(history.is_complete(), F.col("seq"))).alias("at"), F.min(said("source_job_id")).alias("id"), F.max(said("canonical_url")).alias("url")
+    )
+    jobs = contents.groupBy("dedup_key").agg(history.last("v", "at", F.col("at").isNotNull()).alias("v"), F.min("id").alias("id"), F.max("url").alias("url"))
+    rows = jobs.select("v.*", F.col("id.source_job_id").alias("_id"), F.col("url.canonical_url").alias("_url")).where(history.full())
+    ids = rows.select(F.nullif(F.trim("_id"), F.lit("")).alias("source_job_id")).where("source_job_id is not null").distinct()
+    urls = rows.select(U.canonicalize_url(F.coalesce("_url", "canonical_url", "source_url")).alias("canonical_url"))
+    return ids, urls.where("canonical_url is not null").distinct()
 
 
 def unknown(found: DataFrame, ids: DataFrame, urls: DataFrame) -> DataFrame:
@@ -20,20 +29,48 @@ def unknown(found: DataFrame, ids: DataFrame, urls: DataFrame) -> DataFrame:
     return found.join(ids, "source_job_id", "left_anti").join(urls, "canonical_url", "left_anti")
 
 
-def enriched(stubs: DataFrame, details: DataFrame, key: str = "dedup_key", fields=("company", "title", "description", "location")) -> DataFrame:
-    """Stubs with their details: a detail's text wins, then the stub's, then placeholders that make nothing complete."""
-    blank = {"company": "Unknown company", "title": "Unknown role", "description": ""}
-    d = details.select(key, *(F.col(f).alias(f"_{f}") for f in fields))
-    merged = {f: F.coalesce(F.nullif(F.col(f"_{f}"), F.lit("")), F.nullif(F.col(f), F.lit("")), F.lit(blank.get(f))) for f in fields}
-    return stubs.join(d, key, "left").withColumns(merged).drop(*(f"_{f}" for f in fields))
+#: What a record without these is called; no placeholder makes it complete: fixed values.
+PLACEHOLDERS = {"company": "Unknown company", "title": "Unknown role", "description": ""}
 
 
-def merged_cards(cards: DataFrame, fields=("entity_urn", "href", "title", "company", "location", "posted_at", "card_text")) -> DataFrame:
-    """A row per card identity (id, canonical URL, or link): each field's first value that isn't empty, in the order of
-    seq; rank is by first arrival. Cards without a link are left out."""
-    key = F.coalesce(U.extract_listing_id(F.col("entity_urn"), F.col("href")), U.canonicalize_url(F.col("href")), F.col("href"))
-    rows = cards.where(F.coalesce(F.col("href"), F.lit("")) != "").withColumn("identity", key)
-    return rows.groupBy("identity").agg(F.min("seq").alias("first_seq"), *(history.first(f, where=F.coalesce(F.col(f), F.lit("")) != "").alias(f) for f in fields))
+def enriched(stubs: DataFrame, details: DataFrame, key: str = "dedup_key", fields=None) -> DataFrame:
+    """Stubs with their details: a detail's value wins, then the stub's (its id, posting date and run fields too), then
+    placeholders. fields: the details' columns to take, all by default. Columns of either side are kept."""
+    taken = [f for f in (fields or details.columns) if f != key]
+    d = details.select(key, F.struct(*taken).alias("_detail"))
+    have, texts = set(stubs.columns), {f for f, t in details.dtypes if t == "string"}
+
+    def merged(f: str) -> Column:
+        said = lambda c: F.nullif(c, F.lit("")) if f in texts else c
+        found = F.coalesce(said(F.col("_detail")[f]), said(F.col(f))) if f in have else said(F.col("_detail")[f])
+        return F.coalesce(found, F.lit(PLACEHOLDERS[f])) if f in PLACEHOLDERS else found
+
+    return stubs.join(d, key, "left").withColumns({f: merged(f) for f in taken}).drop("_detail")
+
+
+CARD_FIELDS = ("entity_urn", "href", "title", "company", "location", "posted_at", "card_text")
+
+
+def merged_cards(cards: DataFrame, fields=CARD_FIELDS) -> DataFrame:
+    """A row per card identity: the id of its URN or else of its link, the canonical link, or the link. Each field is the
+    first value that isn't empty, in the order of seq; rank is by first arrival, from 1. A card without a link gets one
+    from its URN; one with neither is left out."""
+    blank = lambda c: F.coalesce(c, F.lit("")) == ""
+    urn = F.nullif(F.regexp_extract("entity_urn", U.LISTING_URN, 1), F.lit(""))
+    made = F.when(blank(F.col("href")), U.listing_url(urn, F.lit(None).cast("string"))).otherwise(F.col("href"))
+    rows = cards.withColumn("href", made).where(~blank(F.col("href")))
+    rows = rows.withColumn("identity", F.coalesce(U.extract_listing_id(F.col("entity_urn"), F.col("href")), U.canonicalize_url(F.col("href")), F.col("href")))
+    one = rows.groupBy("identity").agg(F.min("seq").alias("first_seq"), *(history.first(f, where=~blank(F.col(f))).alias(f) for f in fields))
+    return history.numbered(one, "first_seq", "rank")
+
+
+def to_fetch(cards: DataFrame, ids: DataFrame, urls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Discovery before details: every card's stub, and those whose details aren't known yet. Cards are merged and written
+    first, so no detail is asked for before discovery is over."""
+    found = saved(merged_cards(cards), "cards")
+    listing = U.extract_listing_id(F.col("entity_urn"), F.col("href"))
+    stubs = found.withColumns({"source_job_id": listing, "source_url": U.listing_url(listing, F.col("href"))}).withColumn("canonical_url", U.canonicalize_url(F.col("source_url")))
+    return stubs, unknown(stubs, ids, urls)
 
 
 def direct_stubs(urls: DataFrame) -> DataFrame:

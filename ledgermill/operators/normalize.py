@@ -100,6 +100,11 @@ def normalized(records: DataFrame, now: Column | None = None, keep: tuple[str, .
     return out.withColumn("content_hash", content_hash()).drop("_status", "_key")
 
 
+def without_raw(records: DataFrame) -> DataFrame:
+    """Records without their markup, which raw_json would repeat."""
+    return records.drop("raw_html", "description_html")
+
+
 #: Values that enumerated fields may have: fixed values.
 ENUMS = {
     "workplace_type": ("remote", "hybrid", "on-site", "unknown"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import classify, text as T
 from ..operators import history
+from ..shared import file_system, renamed
 
 #: Columns of an export, in order: fixed values.
 EXPORT_FIELDS = (
@@ -61,13 +62,13 @@ def latest_listings(log: DataFrame, since: str | date | datetime | None = None,
     if limit is not None and limit < 0:
         raise ValueError("limit must not be negative")
     rows = history.numbered(history.latest(log))
-    versions = history.numbered(history.snapshots(log, "seq"), "seq", "snapshot_id").select("dedup_key", "content_hash", "snapshot_id")
-    rows = rows.join(versions, ["dedup_key", "content_hash"])
+    contents = log.groupBy("dedup_key", "content_hash").agg(F.min("seq").alias("seq"))
+    rows = rows.join(history.numbers(contents, "seq", "snapshot_id"), "seq")
     if since is not None:
         rows = rows.where(history.since(F.col("last_seen_at"), since_text(since)))
     if complete_only:
         rows = rows.where(history.full(strict_url=True))
-    rows = rows.withColumns({"source_url": F.coalesce("source_url", "canonical_url"), "industries": T.decode_json(F.col("industries_json"))})
+    rows = rows.withColumns({"source_url": F.coalesce("source_url", "canonical_url"), "industries": T.decode_json(F.col("industries_json")), "job_function": T.decode_json(F.col("job_function"))})
     rows = rows.orderBy(F.desc("last_seen_at"), F.desc("captured_at"), F.desc("job_id"))
     if limit is not None:
         rows = rows.limit(limit)
@@ -79,7 +80,7 @@ def json_lines(rows: DataFrame) -> Column:
     def token(c: str) -> Column:
         if c in ("salary_min", "salary_max"):
             return F.coalesce(T.json_number(F.col(c)), F.lit("null"))
-        if c in ("industries", "raw_json"):
+        if c in ("industries", "job_function", "raw_json"):
             return F.coalesce(F.when(F.try_parse_json(c).isNotNull(), F.col(c)), T.quoted(F.col(c)), F.lit("null"))
         if dict(rows.dtypes)[c] != "string":
             return F.coalesce(F.col(c).cast("string"), F.lit("null"))
@@ -124,17 +125,12 @@ def write(rows: DataFrame, output: str, format: str | None = None, inputs: tuple
             _csv(rows.select(*(T.csv_safe_cell(F.col(c)).alias(c) for c in rows.columns)), stage)
         else:
             _csv(tracker(rows, "ru" if kind.endswith("ru") else "en"), stage)
-        jvm, path = spark._jvm, lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
-        fs = path(stage).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs, staged = file_system(spark, stage)
         try:
-            part = next(s.getPath() for s in fs.globStatus(path(f"{stage}/part-*")))
-            if fs.exists(path(output)):
-                old = path(f"{stage}/old")
-                fs.rename(path(output), old)
-            if not fs.rename(part, path(output)):
-                raise OSError("the output couldn't be put in place")
+            part = next(s.getPath() for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{stage}/part-*")))
+            renamed(spark, part.toString(), output)
         finally:
-            fs.delete(path(stage), True)
+            fs.delete(staged, True)
         return n
     finally:
         rows.unpersist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass, field, fields
 from pathlib import Path
@@ -54,6 +55,39 @@ class Profile:
         _within(self.max_results, 1, 5000, "max_results")
 
 
+#: Bounds of a live session's settings, kept for configurations that have them: fixed values.
+SESSION_BOUNDS = {
+    "page_load_timeout": (5, 180), "wait_timeout": (2, 120), "scroll_pause_min": (0.1, 30), "scroll_pause_max": (0.1, 60), "stagnation_limit": (1, 20),
+    "max_scroll_rounds": (1, 5000), "search_deadline_seconds": (10, 7200), "debug_pause_after_first_request_seconds": (0, 3600),
+}
+
+
+@dataclass
+class Session:
+    """Settings of a live search session. The engine reads max_scroll_rounds and stagnation_limit; the rest is checked only."""
+
+    profile_dir: str = ".browser-profile"
+    headless: bool = False
+    incognito: bool = False
+    use_uc: bool = False
+    locale_code: str = "en-US"
+    window_size: str = "1440,1000"
+    page_load_timeout: int = 45
+    wait_timeout: int = 20
+    scroll_pause_min: float = 1.0
+    scroll_pause_max: float = 2.0
+    stagnation_limit: int = 3
+    max_scroll_rounds: int = 250
+    search_deadline_seconds: int = 900
+    debug_pause_after_first_request_seconds: float = 0
+
+    def __post_init__(self):
+        for name, (low, high) in SESSION_BOUNDS.items():
+            _within(getattr(self, name), low, high, name)
+        if self.scroll_pause_max < self.scroll_pause_min:
+            raise ValueError("scroll_pause_max must not be less than scroll_pause_min")
+
+
 @dataclass
 class Config:
     profiles: list[Profile]
@@ -63,6 +97,7 @@ class Config:
     filters: Filters = field(default_factory=Filters)
     database: str = "data/listings"
     refresh_existing: bool = False
+    session: Session = field(default_factory=Session)
 
     def __post_init__(self):
         _within(self.max_results, 1, 5000, "max_results")
@@ -104,7 +139,8 @@ def load(path: str) -> Config:
         if s.get("filters"):
             s["filters"] = Filters(**_only(Filters, s["filters"], "filters"))
         profiles.append(Profile(**s))
-    return Config(profiles, **defaults, **{k: top[k] for k in ("database", "refresh_existing") if k in top})
+    session = Session(**_only(Session, top.get("browser") or {}, "browser"))
+    return Config(profiles, **defaults, session=session, **{k: top[k] for k in ("database", "refresh_existing") if k in top})
 
 
 def boolean(value) -> bool:
@@ -115,3 +151,44 @@ def boolean(value) -> bool:
     if v in ("0", "false", "no", "off"):
         return False
     raise ValueError(f"not a boolean: {value!r}")
+
+
+def resolved_path(value: str, config: str | None = None) -> Path:
+    """A path that a configuration names: absolute as it is; relative to the working folder without a configuration file,
+    to the checkout for one in its config/ folder, else to the file's own folder."""
+    path = Path(value).expanduser()
+    if path.is_absolute():
+        return path
+    if config is None:
+        return (Path.cwd() / path).resolve()
+    folder = Path(config).expanduser().resolve().parent
+    checkout = folder.name == "config" and any((folder.parent / name).is_file() for name in ("pyproject.toml", "bench.py"))
+    return ((folder.parent if checkout else folder) / path).resolve()
+
+
+def first_option(options: dict, *names: str):
+    """The first of the options that is there and not empty."""
+    return next((options[n] for n in names if options.get(n) not in (None, "")), None)
+
+
+#: Names under which a run's options may come, in order: fixed values.
+RUN_OPTIONS = {
+    "source": ("source",), "search_profile_id": ("search_profile_id", "profile_id", "search_id"), "query": ("query", "keywords"), "location": ("location", "search_location"),
+    "search_url": ("search_url", "start_url"), "requested_limit": ("max_jobs", "max_results", "requested_limit", "limit"), "config": ("run_metadata", "run_config", "search_config", "config"), "run_uuid": ("run_id",),
+}
+
+
+def run_options(options: dict) -> dict:
+    """A run's metadata from options under any of their names; the source is 'other' without one."""
+    found = {field: first_option(options, *names) for field, names in RUN_OPTIONS.items()}
+    return found | {"source": found["source"] or "other"}
+
+
+#: Settings by name: environment variable and default.
+SETTINGS = {"store": ("LEDGERMILL_STORE", "data/listings"), "batch_rows": ("LEDGERMILL_BATCH_ROWS", "1000000"), "writer_timeout": ("LEDGERMILL_WRITER_TIMEOUT", "10")}
+
+
+def setting(name: str, given=None, configured=None, environ=None) -> str:
+    """What is given, else the environment's, else the configuration's, else the default."""
+    variable, default = SETTINGS[name]
+    return str(next(v for v in (given, (os.environ if environ is None else environ).get(variable), configured, default) if v not in (None, "")))

@@ -6,7 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as S
 
+from ..functions.text import text
 from ..operators import normalize
+from ..shared import saved, small
 
 FIELDS = sorted({a for names in normalize.ALIASES.values() for a in names} | {"capture_status", "dedup_key", "raw_json", "raw", "source", "search_url", "page_number"})
 SCHEMA = S.StructType([S.StructField(f, S.StringType()) for f in FIELDS])
@@ -31,9 +33,12 @@ class Scan:
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, value): physical line numbers from 1, without blank lines. A file's lines are numbered in its own order, and
-    files in the order of their paths: partitions are counted first, then numbered apart."""
-    text = spark.read.text(path).rdd.zipWithIndex().map(lambda r: (r[1] + 1, r[0][0]))
-    return spark.createDataFrame(text, "line long, value string").where(F.trim("value") != "")
+    files in the order of their paths. The blocks of the files are counted first (a row each), then numbered apart."""
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    blocks = saved(rows.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("at").alias("first")), "jsonl-blocks")
+    before = blocks.withColumn("before", F.sum("n").over(W.orderBy("file", "start")) - F.col("n")).drop("n")
+    numbered = rows.join(small(before), ["file", "start"]).select((F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "value")
+    return numbered.where(text(F.col("value")).isNotNull())
 
 
 def scan(spark: SparkSession, path: str, source: str = "jsonl", profile: str = "local_import", run_id: str = "run", now: Column | None = None, max_results: int | None = None) -> Scan:
@@ -45,7 +50,8 @@ def scan(spark: SparkSession, path: str, source: str = "jsonl", profile: str = "
     parsed = raw.withColumn("r", F.from_json("value", SCHEMA)).withColumn("is_object", F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False)))
     rows = parsed.select("line", "value", "is_object", *(F.col(f"r.{f}").alias(f) for f in FIELDS if f not in ("dedup_key", "source")))
     rows = rows.withColumns({"source": F.lit(source), "capture_status": F.coalesce("capture_status", F.lit("complete"))})
-    rows = rows.withColumn("bad", F.when(~F.col("is_object"), F.lit("not an object")).otherwise(normalize.problem(rows))).persist()
+    rows = rows.withColumn("bad", F.when(~F.col("is_object"), F.lit("not an object")).otherwise(normalize.problem(rows)))
+    rows = saved(rows, "jsonl-rows")  # read twice: for the first bad line, and as records
     first_bad = rows.where("bad is not null").agg(F.min("line")).first()[0]
     good = rows if first_bad is None else rows.where(F.col("line") < first_bad)
     if max_results is not None:  # a limit is the driver's own small number of rows

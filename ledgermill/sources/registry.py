@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import asdict, dataclass, is_dataclass
+from datetime import date
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as S
+
+from ..functions import text as T
 
 _SLUG = re.compile(r"^[a-z0-9][a-z0-9_-]*$")
 
@@ -46,7 +51,40 @@ def load(spark: SparkSession, slug: str, **options) -> DataFrame:
     source = get(slug)
     if source.requires_input and not options.get("path"):
         raise ValueError(f"source {slug!r} needs a path")
-    return source.load(spark, **options)
+    records = source.load(spark, **options)
+    if not isinstance(records, DataFrame) or "source" not in records.columns:
+        raise TypeError(f"source {slug!r} must yield a table of records with their source")
+    claimed = F.coalesce(F.lower(T.text(F.col("source"))), F.lit(""))
+    if not records.where(claimed != slug).isEmpty():
+        raise ValueError(f"source {slug!r} yields records of another source")
+    return records
+
+
+def records_of(spark: SparkSession, items) -> DataFrame:
+    """Items of any kind (mappings, dataclasses, objects with model_dump() or dict(), pairs) as a table of texts; what isn't
+    a text, a number or a boolean becomes JSON."""
+
+    def mapping(item) -> dict:
+        if isinstance(item, Mapping):
+            return dict(item)
+        if is_dataclass(item) and not isinstance(item, type):
+            return asdict(item)
+        for method in ("model_dump", "dict"):
+            if callable(getattr(item, method, None)):
+                return dict(getattr(item, method)())
+        try:
+            return dict(item)
+        except (TypeError, ValueError):
+            raise TypeError(f"not a record: {type(item).__name__}") from None
+
+    def said(value):
+        if value is None or isinstance(value, str):
+            return value
+        return str(value) if isinstance(value, (int, float, Decimal, date)) and not isinstance(value, bool) else json.dumps(value, sort_keys=True, ensure_ascii=False, default=str)
+
+    rows = [mapping(i) for i in items]
+    names = sorted({k for r in rows for k in r} - {"seq"} | {"source"})  # seq is the item's place
+    return spark.createDataFrame([(k + 1, *(said(r.get(n)) for n in names)) for k, r in enumerate(rows)], S.StructType([S.StructField("seq", S.LongType()), *(S.StructField(n, S.StringType()) for n in names)]))
 
 
 def _jsonl(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -8,22 +8,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.normalize import normalized
+from ..plans.store import Store
 
 
-def append_to_log(records: DataFrame, log_path: str, checkpoint: str, keep=("run_id", "seq")):
-    """A started query that normalizes each micro-batch and appends its valid rows to the log under its batch number, so a
-    batch that is run again replaces itself. How rows are batched doesn't show in the log."""
+def append_to_log(records: DataFrame, store_path: str, checkpoint: str, source: str | None = None):
+    """A started query that commits each micro-batch to a store (with seq and run_id) under its number: a reader sees all of
+    a batch or none, rejects are counted and listed, and a batch that is run again replaces itself. How rows are batched
+    doesn't show in the log."""
+    spark = records.sparkSession
 
     def put(batch: DataFrame, number: int) -> None:
-        rows = normalized(batch, keep=keep).where("dedup_key is not null")
-        rows.write.mode("overwrite").parquet(f"{log_path}/batch={number}")
+        Store(spark, store_path).append(batch, f"stream-{number:09d}", source)
 
     return records.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_log(spark, log_path: str) -> DataFrame:
-    return spark.read.parquet(log_path)
+def read_log(spark, store_path: str) -> DataFrame:
+    return Store(spark, store_path).log()
 
 
 def session_chunks(cards: DataFrame, target: int, session_col: str = "session", id_col: str = "identity") -> DataFrame:
