@@ -36,7 +36,8 @@ def clean_text(c: Column) -> Column:
 def casefold_key(c: Column) -> Column:
     """clean_text() for comparisons without case, by full case folding: 'ß' is 'ss', a closing sigma a sigma. Upper and
     then lower case gives that but for the dotless i, which is kept apart (and Cherokee, in small letters here)."""
-    return F.translate(F.lower(F.upper(F.translate(clean_text(c), "ı", "\ue000"))), "ς\ue000", "σı")
+    upper = F.replace(F.upper(F.translate(clean_text(c), "ı", "\ue000")), F.lit("ẞ"), F.lit("SS"))
+    return F.translate(F.lower(upper), "ς\ue000", "σı")
 
 
 def integer(c: Column) -> Column:

@@ -71,15 +71,14 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
 """)
 def latest_complete_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = ["event_id", "event_type", "value", "props"]
-    newest = F.max_by(F.struct(*cols), F.struct("ts", "event_id"))
-    return table(spark, sf_dir, "events").where("event_type <> 'error'").groupBy("user_id").agg(newest.alias("r")).select("user_id", "r.*")
+    rows = table(spark, sf_dir, "events").withColumns({"captured_at": F.col("ts"), "seq": F.col("event_id"), "capture_status": F.when(F.col("event_type") == "error", "partial").otherwise("complete")})
+    return history.newest(rows, "user_id", complete_only=True).select("user_id", "event_id", "event_type", "value", "props")
 
 
 @query("""
-    SELECT dedup_key, min(seq) first_seq, arg_min(captured_at, seq) first_seen_at, max(captured_at) last_seen_at,
-        coalesce(arg_max(seq, seq) FILTER (WHERE capture_status = 'complete'), max(seq)) seq, coalesce(arg_max(event_type, seq) FILTER (WHERE capture_status = 'complete'), arg_max(event_type, seq)) event_type
-    FROM log GROUP BY dedup_key
+    , j AS (SELECT dedup_key, min(seq) first_seq, arg_min(captured_at, seq) first_seen_at, max(captured_at) last_seen_at, coalesce(arg_max(content_hash, seq) FILTER (WHERE capture_status = 'complete'), arg_max(content_hash, seq)) content_hash FROM log GROUP BY 1),
+    s AS (SELECT dedup_key, content_hash, min(seq) seq, arg_min(event_type, seq) event_type FROM log GROUP BY 1, 2)
+    SELECT dedup_key, first_seq, first_seen_at, last_seen_at, seq, event_type FROM j JOIN s USING (dedup_key, content_hash)
 """)
 def latest_any_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.latest(log(spark, sf_dir)).select("dedup_key", "first_seq", "first_seen_at", "last_seen_at", "seq", "event_type")
@@ -124,7 +123,9 @@ def snapshot_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT sha256(text) content_hash, min(doc_id) doc_id, count(*) n FROM documents GROUP BY 1")
 def content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("content_hash")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    rows = table(spark, sf_dir, "documents").select(F.lit("all").alias("dedup_key"), F.sha2("text", 256).alias("content_hash"), F.col("doc_id").alias("seq"))
+    sizes = rows.groupBy("content_hash").agg(F.count("*").alias("n"))
+    return history.snapshots(rows, "seq").select("content_hash", F.col("seq").alias("doc_id")).join(sizes, "content_hash")
 
 
 @query("""
@@ -145,22 +146,12 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.run_counters(history.change_flags(log(spark, sf_dir)))
 
 
-@query("""
-    , r AS (SELECT run_id, sum(greatest(CASE WHEN capture_status = 'partial' THEN 1 ELSE -1 END, 0))::BIGINT errors, CASE WHEN max(seq) % 2 = 0 THEN 'finished' ELSE 'shutdown' END reason FROM log WHERE seq % 50 = 0 GROUP BY run_id)
-    SELECT run_id, errors, CASE WHEN errors > 0 THEN 'failed' WHEN reason = 'finished' THEN 'finished' ELSE 'stopped' END status FROM r
-""")
-def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = log(spark, sf_dir).where("seq % 50 = 0").withColumn("errors", F.when(F.col("capture_status") == "partial", 1).otherwise(-1))
-    reasons = rows.groupBy("run_id").agg(F.when(F.max("seq") % 2 == 0, "finished").otherwise("shutdown").alias("reason"))
-    return history.run_errors(rows).join(reasons, "run_id").select("run_id", "errors", history.run_status(F.col("errors"), F.col("reason")).alias("status"))
-
-
 @query("""
     , r AS (SELECT run_id, count(*) FILTER (WHERE capture_status = 'partial' AND (props::JSON->>'k')::BIGINT > 97)::BIGINT errors, CASE WHEN max(seq) % 2 = 0 THEN 'finished' ELSE 'shutdown' END reason FROM log GROUP BY run_id)
     SELECT run_id, errors, CASE WHEN errors > 0 THEN 'failed' WHEN reason = 'finished' THEN 'finished' ELSE 'stopped' END status FROM r
 """)
-def run_status_every_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """run_status over the whole log; a partial observation is an error only where its k is over 97, so that runs without one remain."""
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over the whole log; a partial observation is an error only where its k is over 97, so that runs without one remain."""
     failing = (F.col("capture_status") == "partial") & (F.try_variant_get(F.try_parse_json("props"), "$.k", "long") > 97)
     rows = log(spark, sf_dir).withColumn("errors", F.when(failing, 1).otherwise(-1))
     reasons = rows.groupBy("run_id").agg(F.when(F.max("seq") % 2 == 0, "finished").otherwise("shutdown").alias("reason"))
@@ -220,10 +211,10 @@ def since_filter_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT d.doc_id, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic = 0 AND length(trim(coalesce(d.text, ''))) > 0 AND length(trim(coalesce(d.source, ''))) > 0 AND l.quality = 1
+    SELECT d.doc_id, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE length(trim(coalesce(d.text, ''))) > 0 AND length(trim(coalesce(d.source, ''))) > 0 AND l.quality = 1
 """)
 def complete_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").where("toxic = 0")
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     rows = rows.withColumns({"capture_status": F.when(F.col("quality") == 1, "complete").otherwise("partial"), "company": F.col("source"), "title": F.col("lang"), "description": F.col("text"), "source_url": F.col("source"), "canonical_url": F.lit(None).cast("string")})
     return rows.where(history.full()).select("doc_id", "quality")
 
@@ -254,7 +245,7 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.clean_text(F.col("text")).alias("cleaned"))
 
 
-@query(r"SELECT doc_id, lower(trim(regexp_replace(text, '\s+', ' ', 'g'))) key FROM documents")
+@query(r"SELECT doc_id, replace(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), 'ß', 'ss') key FROM documents")
 def casefold_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.casefold_key(F.col("text")).alias("key"))
 
@@ -311,20 +302,12 @@ def iso_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", T.iso_value(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+03:00'")).alias("stamp"))
 
 
-@query(r"""
-    SELECT doc_id, CASE WHEN regexp_matches(lower(text), '\bthe of\b') THEN 'hybrid' WHEN regexp_matches(lower(text), '\band\b') THEN 'on-site' ELSE 'unknown' END kind FROM documents WHERE lang = 'en'
-""")
-def workplace_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.when(F.lower("text").rlike(r"(?U)\bthe of\b"), "a Hybrid role").when(F.lower("text").rlike(r"(?U)\band\b"), "work on site").otherwise("hybrids")
-    return table(spark, sf_dir, "documents").where("lang = 'en'").select("doc_id", classify.workplace(F.lit(None).cast("string"), said)["type"].alias("kind"))
-
-
 @query(r"""
     WITH s AS (SELECT doc_id, lower(coalesce(text, '') || CASE doc_id % 5 WHEN 0 THEN ' a Hybrid role' WHEN 1 THEN ' work on site' WHEN 2 THEN ' hybrids' WHEN 3 THEN ' Work from home' ELSE '' END) s FROM documents)
     SELECT doc_id, CASE WHEN regexp_matches(s, '\bhybrid\b') THEN 'hybrid' WHEN regexp_matches(s, '\b(on[- ]site|onsite)\b') THEN 'on-site' WHEN regexp_matches(s, '\b(remote|work from home)\b') THEN 'remote' ELSE 'unknown' END kind FROM s
 """)
-def workplace_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """workplace_classify over the whole text of every document of any language, a phrase after four fifths of them."""
+def workplace_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole text of every document of any language, a phrase after four fifths of them."""
     i = F.col("doc_id") % 5
     phrase = F.when(i == 0, " a Hybrid role").when(i == 1, " work on site").when(i == 2, " hybrids").when(i == 3, " Work from home").otherwise("")
     said = F.concat(F.coalesce("text", F.lit("")), phrase)
@@ -340,16 +323,9 @@ def enum_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", kind.alias("kind"), classify.display(kind, classify.EMPLOYMENT_NAMES["en"]).alias("shown"))
 
 
-@query(r"SELECT doc_id, CASE WHEN regexp_matches(s, '^\s*[=+\-@]|^[\t\r\n]') THEN '''' || s ELSE s END cell FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '=' || substr(text, 1, 40) WHEN doc_id % 3 = 1 THEN '  -' || doc_id ELSE substr(text, 1, 40) END s FROM documents)")
-def csv_safe_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, start = F.col("doc_id"), F.substring("text", 1, 40)
-    said = F.when(i % 3 == 0, F.concat(F.lit("="), start)).when(i % 3 == 1, F.concat(F.lit("  -"), i.cast("string"))).otherwise(start)
-    return table(spark, sf_dir, "documents").select("doc_id", T.csv_safe_cell(said).alias("cell"))
-
-
 @query(r"SELECT doc_id, CASE WHEN regexp_matches(s, '^\s*[=+\-@]|^[\t\r\n]') THEN '''' || s ELSE s END cell FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '=' WHEN doc_id % 3 = 1 THEN '  -' ELSE '' END || coalesce(text, '') s FROM documents)")
-def csv_safe_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """csv_safe_cell over whole texts, two thirds of them made formulas by a sign before the text."""
+def csv_safe_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, two thirds of them made formulas by a sign before the text."""
     i = F.col("doc_id")
     sign = F.when(i % 3 == 0, "=").when(i % 3 == 1, "  -").otherwise("")
     return table(spark, sf_dir, "documents").select("doc_id", T.csv_safe_cell(F.concat(sign, F.coalesce("text", F.lit("")))).alias("cell"))
@@ -395,18 +371,6 @@ def session_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_ranks(log(spark, sf_dir).select(F.col("run_id").alias("session"), F.col("dedup_key").alias("identity"), "seq"), target=25, chunk=10)
 
 
-@query("""
-    , k AS (SELECT *, 'events:id:' || source_job_id d FROM log WHERE source_job_id IS NOT NULL),
-    x AS (SELECT seq, source_job_id, d, CASE WHEN seq % 11 = 0 THEN 'events:' || source_job_id ELSE d END k FROM k),
-    y AS (SELECT *, min(seq) FILTER (WHERE k <> d) OVER (PARTITION BY source_job_id) o, min(seq) FILTER (WHERE k = d) OVER (PARTITION BY source_job_id) w FROM x)
-    SELECT seq, CASE WHEN k = d AND o < w THEN 'events:' || source_job_id ELSE k END dedup_key FROM y
-""")
-def legacy_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = log(spark, sf_dir).where("source_job_id is not null").withColumn("default_key", normalize.default_key(F.col("source"), F.col("source_job_id"), F.col("canonical_url")))
-    rows = rows.withColumn("dedup_key", F.when(F.col("seq") % 11 == 0, F.concat("source", F.lit(":"), "source_job_id")).otherwise(F.col("default_key")))
-    return history.resolved_keys(rows).select("seq", "dedup_key")
-
-
 @query("""
     , j AS (SELECT dedup_key, row_number() OVER (ORDER BY min(seq)) job_id FROM log GROUP BY 1) SELECT dedup_key, job_id FROM j
 """)
@@ -414,19 +378,34 @@ def numbered_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.numbered(history.identities(log(spark, sf_dir))).select("dedup_key", "job_id")
 
 
-@query()
+@query(r"""
+    WITH h AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') h FROM pages)
+    SELECT page_id, array_to_string(list_filter(list_transform(string_split_regex(regexp_replace(h, '<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<noscript[^>]*>.*?</noscript>', '<>', 'gs'), '<[^>]*>'),
+        lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS "text" FROM h
+""")
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", html.html_to_text(F.col("html")).alias("text"))
 
 
-@query()
+@query(r"""
+    WITH h AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) h, trim(regexp_extract(html, '<title>(.*?)</title>', 1, 's')) t FROM (SELECT page_id, replace(replace(replace(html, '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') html FROM pages))
+    SELECT page_id, coalesce(nullif(h, ''), nullif(t, ''), 'Unknown role') title, 'Unknown company' company, '' description, 'unknown' workplace_type, 'partial' capture_status FROM h
+""")
 def page_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.detail import details
 
     return details(table(spark, sf_dir, "pages"), F.lit("2024-03-10").cast("date")).select("page_id", "title", "company", "description", "workplace_type", "capture_status")
 
 
-@query()
+@query(r"""
+    WITH d AS (SELECT doc_id, '"https://example.com/d/' || doc_id || '"' u, CASE WHEN text IS NULL OR regexp_matches(text, '^\s*$') THEN 'partial' ELSE 'complete' END capture_status,
+        replace(lower(trim(regexp_replace(nullif(trim(text, E' \t\n\r'), ''), '\s+', ' ', 'g'))), 'ß', 'ss') description, lower(trim(source)) company, lower(trim(lang)) title FROM documents)
+    SELECT doc_id, 'other:url:https://example.com/d/' || doc_id dedup_key, capture_status, '2024-03-10T00:00:00Z' captured_at, sha256('{' || array_to_string(list_transform([
+        ['applicants', 'null'], ['applicants_count', 'null'], ['apply_url', 'null'], ['canonical_url', u], ['capture_status', '"' || capture_status || '"'], ['company', coalesce(to_json(company)::VARCHAR, 'null')], ['company_logo_url', 'null'], ['company_url', 'null'],
+        ['description', coalesce(to_json(description)::VARCHAR, 'null')], ['description_html', 'null'], ['employment_type', 'null'], ['industries_json', 'null'], ['job_function', 'null'], ['location', 'null'], ['posted_at', 'null'], ['salary_currency', 'null'], ['salary_interval', 'null'],
+        ['salary_max', 'null'], ['salary_min', 'null'], ['salary_text', 'null'], ['seniority_level', 'null'], ['source', '"other"'], ['source_job_id', 'null'], ['source_url', u], ['title', coalesce(to_json(title)::VARCHAR, 'null')], ['valid_through', 'null'], ['workplace_type', 'null']],
+        lambda x: '"' || x[1] || '":' || x[2]), ',') || '}') content_hash FROM d
+""")
 def normalized_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(F.concat(F.lit("https://example.com/d/"), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("description"), F.col("source").alias("company_name"), F.col("lang").alias("job_title"), "doc_id")
     out = normalize.normalized(rows, F.lit("2024-03-10").cast("timestamp"), keep=("doc_id",))

@@ -1,11 +1,13 @@
 """Column functions against expected values."""
 
 import datetime as dt
+import html as entities
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.functions import classify, text as T, urls as U
+from ledgermill.functions import classify, html, text as T, urls as U
 from ledgermill.functions.html import detail_fields, html_text, parse, salary, select
 
 
@@ -85,3 +87,21 @@ def test_html(spark):
     pay = each(spark, lambda c: F.to_json(salary(c)), [got["base_salary"], '{"value":"NaN"}', '{"value":0,"currency":"USD"}', None])
     assert pay[0] == '{"salary_min":1.000000000000000000,"salary_max":2.500000000000000000,"salary_currency":"EUR","salary_interval":"year","salary_text":"1–2.5 EUR/year"}'
     assert pay[1] is None and "0–0 USD" in pay[2] and pay[3] is None
+
+
+def test_case_folding(spark):
+    """Against full case folding of every letter but Cherokee's, which come out small."""
+    letters = [chr(c) for c in range(0x21, 0x2FA1E) if chr(c).isalpha() and not (0x13A0 <= c <= 0x13FD or 0xAB70 <= c <= 0xABBF)]
+    df = spark.createDataFrame([(c,) for c in letters], "c string")
+    odd = [r["c"] for r in df.select("c", T.casefold_key(F.col("c")).alias("f")).collect() if r["f"] != r["c"].casefold()]
+    assert len(odd) <= 40, odd
+    words = ["STRAßE", "ΟΔΟΣ", "ısı", "İ", "ﬁn", "ẞ", "Ünï"]
+    got = spark.createDataFrame([(w,) for w in words], "c string").select(T.casefold_key(F.col("c"))).collect()
+    assert [r[0] for r in got] == [w.casefold() for w in words]
+
+
+def test_visible_text_of_pages_by_plain_splitting(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for r in pages.select("html", html.html_to_text(F.col("html")).alias("t")).collect():
+        bare = re.sub(r"(?s)<!--.*?-->|<(script|style|noscript)\b.*?</\1>", "<>", entities.unescape(r["html"]))
+        assert r["t"] == "\n".join(t for t in (" ".join(x.split()) for x in re.split(r"<[^>]*>", bare)) if t)

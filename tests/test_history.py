@@ -196,3 +196,16 @@ def test_export_shows_the_first_capture_of_a_content(spark):
 def test_stagnation(spark):
     rounds = spark.createDataFrame([("s", i, n) for i, n in enumerate([3, 0, 0, 2, 0, 0, 0])], "session string, round long, new_keys long")
     assert [r["stagnant"] for r in history.stagnation(rounds, "session", "round").orderBy("round").collect()] == [0, 1, 2, 0, 1, 2, 3]
+
+
+def test_session_chunks_keep_state(spark, tmp_path):
+    """New cards of a session over several batches, up to its target, by rank."""
+    from ledgermill.streaming import ingest
+
+    for i, ids in enumerate((["a", "b", "a"], ["b", "c", "d", "e"])):
+        spark.createDataFrame([("s", x) for x in ids] + [("t", "z")], "session string, identity string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("session string, identity string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    run = ingest.session_chunks(stream, 4).writeStream.format("memory").queryName("chunks").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    run.awaitTermination(120)
+    got = {(r["session"], r["identity"]): r["rank"] for r in spark.table("chunks").collect()}
+    assert got.pop(("t", "z")) == 1 and sorted(got.values()) == [1, 2, 3, 4] and len({i for _, i in got}) == 4
