@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: tables, the shared folder, checked broadcasts and Arrow batches."""
+"""Helpers shared by the operators: tables, and what Arrow batches and Python workers hold."""
 
 from __future__ import annotations
 
@@ -6,57 +6,18 @@ import contextlib
 import ctypes
 import gc
 import re
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-#: Most rows of a few fixed-width columns that are ever broadcast (tens of MB at most).
-BROADCAST_ROWS = 500_000
+from ..shared import BROADCAST_ROWS, dropped, saved, shared_dir, small  # noqa: F401  (the operators take them from here)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only a local master, whose executors are the driver
-    itself, gets a folder of our own where that is unset; on a cluster it must be set."""
-    found = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.ledgermill.shared", "")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="ledgermill-")
-        spark.conf.set("spark.ledgermill.shared", found)
-    return found.rstrip("/")
-
-
-def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it back: lineage ends there, and a lost
-    executor costs no recomputation. The folder's owner removes old tables, as with checkpoints."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ledgermill/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("error")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._ledgermill_path = path
-    return out
-
-
-def dropped(*tables: DataFrame) -> None:
-    """Removes tables that saved() wrote and nothing reads any more."""
-    for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._ledgermill_path)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint if df (saved, of narrow rows) has at most so many rows; else df as it is, for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 #: Bytes of a batch between the JVM and Python workers; the engine's own default is many times that on either side.
 BATCH_BYTES = 8 << 20
 
