@@ -295,7 +295,11 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_LIKENESS, id_col: str
     Equal fingerprints are one class from the start. Fingerprints that share a band value are candidates, and all their
     pairs are verified. Band values with the same members (by 128 bits of hashes) are taken once. The members of a large
     one are dealt to blocks of about GROUP, and each pair of blocks is a task's work of its own. Banding can miss a pair,
-    as any sampling can; verification admits none below `least`."""
+    as any sampling can; verification admits none below `least`. It is meant for copies with up to 0.2 % of their characters
+    changed, of which it finds 0.9 or more; with more edits walks part for longer, and fewer reach `least`.
+
+    Null texts are empty and one class; rows without an id have the class of rows with their fingerprint, or null; repeated
+    rows are rows of one class; an empty table gives no rows; other columns aren't read."""
 
     @F.arrow_udf("string")
     def printed(texts: pa.Array) -> pa.Array:

@@ -68,3 +68,41 @@ def test_bands_find_texts_edited_at_the_start(low, high, turns):
                 alike += 1
                 missed += not set(fingerprints.bands(first)) & set(fingerprints.bands(other))
     assert alike >= 10 and missed <= alike / 50
+
+
+def walked(text):
+    """A fingerprint step by step."""
+    moves, at, _, salts = fingerprints._walk()
+    out, salt = [], dict(zip(at.tolist(), salts.tolist()))
+    for start in range(0, len(text), fingerprints.SEGMENT):
+        c, p, row = [*fingerprints._classes(text[start : start + fingerprints.SEGMENT]).tolist(), 0, 0, 0], 0, ""
+        for step in range(3 * (len(c) - 3)):
+            if c[p] == 0:
+                break
+            if step in salt:
+                h = ((c[p] * 65_537 + c[p + 1]) * 65_537 + c[p + 2] + 1) * salt[step] % 2**64
+                row += "%x" % (((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 % 2**64) >> 60)
+            p += int(moves[step][c[p]])
+        out.append(row)
+    return ".".join(out)
+
+
+def test_fingerprints_are_the_walk_step_by_step():
+    rng = random.Random(21)
+    texts = ["", "a", "ab", "é🙂漢", *(words(rng, n) for n in (5, 31, 400, 4095, 4096, 4097, 9000))]
+    assert fingerprints.fingerprints(texts) == [walked(t) for t in texts]
+
+
+def test_recall_at_the_stated_edit_rate():
+    """Of copies with 0.2 % of their characters substituted, inserted or deleted, 0.9 or more are candidates and verified."""
+    rng = random.Random(22)
+    texts = [words(rng, rng.randrange(400, 6000)) for _ in range(200)]
+    found = 0
+    for text in texts:
+        s = list(text)
+        for _ in range(max(1, round(len(s) / 500))):
+            i = rng.randrange(len(s))
+            s[i : i + 1] = rng.choice(([rng.choice("abcd")], [s[i], "x"], []))
+        a, b = fingerprints.fingerprints([text, "".join(s)])
+        found += fingerprints.likeness(a, b) >= fingerprints.LEAST_LIKENESS and bool(set(fingerprints.bands(a)) & set(fingerprints.bands(b)))
+    assert found >= 0.9 * len(texts)
