@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import dropped, modest_batches, null_key, released, rows_of, saved, small
 
 #: Entries of a bucket; a bucket of more is split.
-BUCKET_ENTRIES = 50_000
+BUCKET_ENTRIES = 8_000
 #: Buckets that a driver plans for, about: where entries are so many that there would be more, each may hold more entries.
 #: An owner reads its bucket in order and holds one key's texts, so its memory doesn't depend on that.
 BUCKETS = 1 << 15
