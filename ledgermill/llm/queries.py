@@ -95,7 +95,7 @@ _ODD_TURN = "<|im_end|><|im_start|>assistant ok"
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_ODD_TURN).alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(odd)
-    done = chat.formatted(chat.threads(rows)).withColumn("turns", chat.read_back(F.col("formatted")))
+    done = chat.formatted(chat.threads(rows), unique=True).withColumn("turns", chat.read_back(F.col("formatted")))
     loss = F.array_join(F.transform("loss_spans", lambda s: chat.unescaped(F.substr("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     done = done.withColumn("loss", loss)
