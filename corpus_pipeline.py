@@ -1,4 +1,7 @@
-"""A corpus pipeline of operators from ledgermill.llm, stage by stage over whole tables."""
+"""A corpus pipeline of operators from ledgermill.llm, stage by stage over whole tables.
+
+Stages take tables with nulls in any column, repeated rows and ids, extra columns of any name, or no rows (then none come
+out); all but the last keep the columns. What a stage makes of odd rows stands with it."""
 
 from __future__ import annotations
 
@@ -13,27 +16,31 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without letters, or that look like no learned language, go."""
+    """Language ID: documents without letters (null and empty ones too), or that look like no learned language, go. Rows without
+    an id or a language are judged by their text like all others; repeated rows stay or go together."""
     return langid.accepted(docs)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact dedup: of equal texts the document with the smallest id stays."""
+    """Exact dedup: of equal texts the document with the smallest id stays, null ids last; of rows equal in id too, one."""
     return exact_dedup.deduplicated(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays."""
+    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays. Rows without an id, and texts
+    without words, stay."""
     return ngram_join.representatives(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing sources to target weights: documents in training order, repeated or cut as their source's target asks."""
+    """Mixing sources to target weights: documents in training order, repeated or cut as their source's target asks. A null
+    source is a source, the last; a document without words has no place in the mix. A cut row's n_chars is its own."""
     return mixing.training_rows(mixing.mix(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: the documents' tokens as pieces of training windows, with their ids."""
+    """Packing: the documents' tokens as pieces of training windows, with their ids. Each row is packed for itself, so the copies
+    that mixing makes are too; a null text is empty."""
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
