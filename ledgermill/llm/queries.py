@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, fingerprints, langid, licenses, mixing, ngram_join, packing, revisits, token_counts
+from . import chat, collocations, exact_dedup, fingerprints, langid, licenses, mixing, ngram_join, packing, quality, revisits, token_counts, whitening
 from .common import table
 
 QUERIES = {}
@@ -121,3 +121,34 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = revisits.resolve(revisits.captures(table(spark, sf_dir, "pages")))
     return found.withColumn("headers", F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "; "))
+
+
+@query()
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality.classify(docs, labels, learn_from=~quality.held_out())
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
+@query(r"""
+    WITH d AS (SELECT coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\t]+') words FROM d),
+    totals AS (SELECT lang, sum(len(words))::BIGINT n FROM w GROUP BY lang),
+    s AS (SELECT lang, words, unnest(range(1, len(words) + 1)) i FROM w),
+    g AS (SELECT lang, array_to_string(list_slice(words, i, i + m - 1), ' ') phrase, m FROM s, (SELECT unnest([1, 2, 3, 4, 5]) m) WHERE i + m - 1 <= len(words)),
+    f AS (SELECT lang, phrase, m, count(*) a FROM g GROUP BY ALL HAVING count(*) >= 100),
+    cut AS (SELECT lang, phrase, m, a, string_split(phrase, ' ') ws, unnest(range(1, m)) k FROM f WHERE m > 1),
+    c AS (SELECT cut.*, l.a l, r.a r, n, (1000::HUGEINT * cut.a * n) // (l.a::HUGEINT * r.a) score FROM cut JOIN totals USING (lang)
+        JOIN f l ON l.lang = cut.lang AND l.phrase = array_to_string(ws[1:k], ' ') JOIN f r ON r.lang = cut.lang AND r.phrase = array_to_string(ws[k+1:], ' ')),
+    worst AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    kept AS (SELECT * FROM worst x WHERE NOT EXISTS (SELECT 1 FROM f y WHERE y.lang = x.lang AND y.m > x.m AND y.a >= x.a AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ')))
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) rank, phrase, a, l, r, n, score::BIGINT score FROM kept
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
