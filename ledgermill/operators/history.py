@@ -111,6 +111,12 @@ def latest(log: DataFrame) -> DataFrame:
     contents = log.groupBy("dedup_key", "content_hash").agg(
         first(F.struct(*rest)).alias("v"), F.min("seq").alias("first_seq"), F.max("seq").alias("at"), F.max(F.when(is_complete(), F.col("seq"))).alias("complete_at"), F.max("captured_at").alias("seen")
     )
+    return shown(contents)
+
+
+def shown(contents: DataFrame) -> DataFrame:
+    """The version of each key that latest() shows, from its contents: a row per key and content with v, its first observation,
+    and when it came first, last and last complete."""
     row = F.struct("content_hash", "v")
     shown = F.coalesce(last(row, "complete_at", F.col("complete_at").isNotNull()), last(row, "at"))
     found = contents.groupBy("dedup_key").agg(F.min("first_seq").alias("first_seq"), first("v.captured_at", "first_seq").alias("first_seen_at"), F.max("seen").alias("last_seen_at"), shown.alias("r"))

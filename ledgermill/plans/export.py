@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import classify, text as T
 from ..operators import history
-from ..shared import file_system, renamed
+from ..shared import file_system, renamed, same_place
 
 #: Columns of an export, in order: fixed values.
 EXPORT_FIELDS = (
@@ -56,13 +56,18 @@ def format_of(name: str | None, path: str) -> str:
     return found
 
 
-def latest_listings(log: DataFrame, since: str | date | datetime | None = None, complete_only: bool = False, limit: int | None = None, include_raw: bool = False) -> DataFrame:
-    """The query: each key's version to show, newest first by text order, with EXPORT_FIELDS. Numbers are ranks of first
-    arrival: job_id of keys, snapshot_id of contents."""
+def latest_listings(log: DataFrame, **filters) -> DataFrame:
+    """The query over a log: each key's version to show, see listings()."""
+    contents = log.groupBy("dedup_key", "content_hash").agg(F.min("seq").alias("seq"))
+    return listings(history.latest(log), contents, **filters)
+
+
+def listings(shown: DataFrame, contents: DataFrame, since: str | date | datetime | None = None, complete_only: bool = False, limit: int | None = None, include_raw: bool = False) -> DataFrame:
+    """Each key's version to show (history.shown()), newest first by text order, with EXPORT_FIELDS. Numbers are ranks of first
+    arrival: job_id of keys, snapshot_id of contents (their first places as seq)."""
     if limit is not None and limit < 0:
         raise ValueError("limit must not be negative")
-    rows = history.numbered(history.latest(log))
-    contents = log.groupBy("dedup_key", "content_hash").agg(F.min("seq").alias("seq"))
+    rows = history.numbered(shown)
     rows = rows.join(history.numbers(contents, "seq", "snapshot_id"), "seq")
     if since is not None:
         rows = rows.where(history.since(F.col("last_seen_at"), since_text(since)))
@@ -107,9 +112,9 @@ def _csv(rows: DataFrame, path: str) -> None:
 def write(rows: DataFrame, output: str, format: str | None = None, inputs: tuple[str, ...] = ()) -> int:
     """Writes an export as one file and returns its rows. The file is staged beside the output and renamed once it is
     whole, so a failure leaves an earlier one as it was."""
-    if output in inputs:
-        raise ValueError("the output would overwrite an input")
     kind, spark = format_of(format, output), rows.sparkSession
+    if any(same_place(spark, output, i) for i in inputs):
+        raise ValueError("the output would overwrite an input")
     rows = rows.persist()
     try:
         n = rows.count()

@@ -1,37 +1,40 @@
 """A store of observations on shared files: batches that appear whole or not at all, and a log of runs.
 
-store/log/batch=...   normalized records, a folder for each committed batch
-store/rejects/batch=... records that weren't taken, with the reason and without their values
-store/runs            events of runs: started, errors, finished
+Its tables are listed by versions (see versions.py), each of which appears in one step:
 
-Batches are written beside the log and renamed into it, so a reader sees all of a batch or none. A batch that is written
-again replaces itself. One writer at a time holds the store."""
+log         normalized records
+rejects     records that weren't taken, with the reason and without their values
+runs        events of runs: started, errors, finished
+contents, identities, hits   the folds of the log (see folds.py), which grow with each batch
+
+A batch's records, rejects, figures and folds are one version, so a reader sees all of a batch or none, and an export
+reads the folds and not the log. A batch is stored once: when it is run again nothing changes. One writer at a time
+holds the store, under a lease that runs out if the writer dies."""
 
 from __future__ import annotations
 
-import contextlib
 import json
-import time
 import uuid
-from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as S
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as S
 
 from ..functions import text as T, urls as U
-from ..operators import history, normalize
-from ..shared import dropped, file_system, renamed, saved
+from ..operators import folds, history, normalize
+from ..shared import dropped, file_system, same_place, saved, small
 from ..sources import config, registry
 from . import export
+from .versions import Versions
 
-KEEP = ("seq", "run_id", "profile", "query", "location_searched", "position", "page_number", "search_url")
+#: stream and place: where a record of a stream stands in it.
+KEEP = ("seq", "run_id", "profile", "query", "location_searched", "position", "page_number", "search_url", "stream", "place")
 RUN_EVENTS = "run_id string, at string, kind string, errors long, status string, reason string, source string, search_profile_id string, query string, location string, search_url string, requested_limit long, config string, processed long, rejected long"
 
 
 def log_schema() -> S.StructType:
     texts = [*dict.fromkeys([*normalize.SNAPSHOT_FIELDS, "captured_at", "raw_json", "dedup_key", "content_hash", "written_at"])]
-    longs = ("seq", "position", "page_number", "applicants_count")
+    longs = ("seq", "position", "page_number", "applicants_count", "place")
     return S.StructType([S.StructField(c, S.LongType() if c in longs else S.StringType()) for c in [*KEEP, *(t for t in texts if t not in KEEP)]])
 
 
@@ -39,86 +42,166 @@ def now_text() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
+REJECTS = "seq long, run_id string, reason string, stream string, place long"
+#: How many times smaller a fold's part is than the one before it; larger ones are merged into that.
+TIER = 4
+
+
 @dataclass(frozen=True)
 class Counts:
+    """What a batch brought: records stored and refused, and identities and contents that weren't there before."""
+
     processed: int
     rejected: int
+    new_listings: int = 0
+    new_contents: int = 0
 
 
-class Store:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+def fold_rows(log: DataFrame) -> dict[str, tuple[folds.Fold, DataFrame]]:
+    """The folds that a store keeps, and what each of them is over."""
+    names = [f.name for f in log_schema()]
+    return {"contents": (folds.contents(names), log), "identities": (folds.IDENTITIES, log), "hits": (folds.HITS, hit_rows(log))}
 
-    def _there(self, name: str) -> bool:
-        fs, p = file_system(self.spark, f"{self.path}/{name}")
-        return fs.exists(p) and bool(fs.listStatus(p))
+
+class Store(Versions):
+    """version: reads that version, whatever is written meanwhile; else the latest one at each call."""
+
+    def __init__(self, spark: SparkSession, path: str, version: int | None = None):
+        super().__init__(spark, path)
+        self.version = version
 
     def exists(self) -> bool:
-        return self._there("runs") or self._there("log")
+        return bool(self.state(self.version)["tables"]) or self._earlier_format()
+
+    def _earlier_format(self) -> list[str]:
+        """Folders of a store of the first format, which had no versions."""
+        if self.state()["tables"]:
+            return []
+        fs, p = file_system(self.spark, f"{self.path}/log")
+        return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.getPath().getName().startswith("batch=")) if fs.exists(p) else []
+
+    def table(self, name: str, schema) -> DataFrame:
+        """A table of the version; older parts with fewer columns have nulls."""
+        parts = [p["folder"] if ":" in p["folder"] else f"{self.path}/{p['folder']}" for p in self.state(self.version)["tables"].get(name, [])]
+        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
 
     def log(self) -> DataFrame:
         """All observations of committed batches; none where nothing was stored yet."""
-        schema = log_schema()
-        if not self._there("log"):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/log")
+        found = self._earlier_format() if self.version is None else []
+        return self.spark.read.schema(log_schema()).parquet(*found) if found else self.table("log", log_schema())
 
     def rejects(self) -> DataFrame:
-        schema = "seq long, run_id string, reason string"
-        return self.spark.read.schema(schema).parquet(f"{self.path}/rejects") if self._there("rejects") else self.spark.createDataFrame([], schema)
-
-    @contextlib.contextmanager
-    def writing(self, timeout: float = 10.0) -> Iterator[None]:
-        """Holds the store for one writer; waits for another up to timeout seconds."""
-        fs, p = file_system(self.spark, f"{self.path}/_writer")
-        until = time.monotonic() + timeout
-        while not (fs.mkdirs(p.getParent()) and fs.createNewFile(p)):
-            if time.monotonic() > until:
-                raise TimeoutError("another writer holds the store")
-            time.sleep(0.1)
-        try:
-            yield
-        finally:
-            fs.delete(p, False)
-
-    def _publish(self, df: DataFrame, table: str, batch: str) -> None:
-        stage = f"{self.path}/staged/{uuid.uuid4().hex}"
-        fs, staged = file_system(self.spark, stage)
-        try:
-            df.write.parquet(stage)
-            target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}/batch={batch}")
-            fs.mkdirs(target.getParent())
-            if fs.exists(target):
-                fs.rename(target, self.spark._jvm.org.apache.hadoop.fs.Path(f"{stage}-old"))
-            renamed(self.spark, stage, target.toString())
-            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{stage}-old"), True)
-        finally:
-            fs.delete(staged, True)
-
-    def append(self, records: DataFrame, batch: str, source: str | None = None) -> Counts:
-        """Normalizes a batch of records (with seq and run_id) and commits it. Records of another source than `source`, and
-        those without a valid identity, are counted and listed as rejects; one bad record costs no other. What the records
-        were written at is the batch's time."""
-        have = set(records.columns)
-        other = F.coalesce(F.lower(T.text(F.col("source"))) != source, F.lit(True)) if source and "source" in have else F.lit(False)
-        extra = {c: F.lit(None).cast("string") for c in KEEP if c not in have}
-        rows = normalize.normalized(records.withColumns(extra | {"_other": other}), keep=(*KEEP, "_other"))
-        rows = rows.withColumn("reason", F.when(F.col("_other"), "another source").when(F.col("dedup_key").isNull(), "no valid identity")).withColumn("written_at", F.lit(now_text()))
-        rows = saved(rows, "batch")  # normalized once, then parted
-        kept = rows.where("reason is null").select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in log_schema()))
-        gone = rows.where("reason is not null").select("seq", "run_id", "reason")
-        n_gone = gone.count()
-        if n_gone:
-            self._publish(gone.select(F.col("seq").cast("long").alias("seq"), F.col("run_id").cast("string").alias("run_id"), "reason"), "rejects", batch)
-        self._publish(kept, "log", batch)
-        n = self.spark.read.schema(log_schema()).parquet(f"{self.path}/log/batch={batch}").count()
-        dropped(rows)
-        return Counts(n, n_gone)
+        return self.table("rejects", REJECTS)
+
+    def batches(self) -> DataFrame:
+        """A row per batch: what it brought, and the version that it came with."""
+        rows = [(name, b["version"], b["at"], b["processed"], b["rejected"], b["new_listings"], b["new_contents"]) for name, b in self.state(self.version)["batches"].items()]
+        return self.spark.createDataFrame(rows, "batch string, version long, at string, processed long, rejected long, new_listings long, new_contents long")
+
+    def fold(self, name: str) -> DataFrame:
+        """The state of a fold: a row per key, from its parts and not from the log."""
+        fold, rows = fold_rows(self.spark.createDataFrame([], log_schema()))[name]
+        found = self._earlier_format() if self.version is None else []
+        if found:
+            fold, rows = fold_rows(self.log())[name]
+            return fold.of(rows)
+        return fold.merged(self.table(name, fold.of(rows).schema))
+
+    def _written(self, df: DataFrame, table: str, *figures: Column) -> tuple[dict, dict]:
+        """Writes a folder that no version names yet: how it is to be named, and figures of its rows, from the write itself."""
+        folder, seen = self.new_folder(table), Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *figures).write.parquet(folder)
+        return {"folder": folder.removeprefix(f"{self.path}/"), "rows": seen.get["rows"]}, seen.get
+
+    def _folded(self, state: dict, log: DataFrame, only: tuple[str, ...] = ("contents", "identities", "hits")) -> tuple[dict, dict, dict]:
+        """The parts that a batch adds to the folds, those that they replace, and how many of its keys are new. A part that isn't
+        TIER times smaller than the one before it is merged with that, so there are few, and a row is rewritten few times."""
+        add, remove, new = {}, {}, {}
+        for name, (fold, rows) in fold_rows(log).items():
+            if name not in only:
+                continue
+            part, parts = saved(fold.of(rows), f"fold-{name}"), list(state["tables"].get(name, []))
+            read = lambda found, schema=part.schema: self.spark.read.schema(schema).parquet(*(p["folder"] if ":" in p["folder"] else f"{self.path}/{p['folder']}" for p in found))
+            n = part.count()
+            if not n:
+                dropped(part)
+                continue
+            if name != "hits":
+                keys = [*fold.keys]
+                there = read(parts).select(*keys).join(small(part.select(*keys)), keys, "left_semi").distinct().count() if parts else 0
+                new[name] = n - there
+            merged, size = [], n
+            while parts and parts[-1]["rows"] < TIER * size:
+                merged.append(parts.pop())
+                size += merged[-1]["rows"]
+            whole = fold.merged(part.unionByName(read(merged))) if merged else part
+            add[name] = [self._written(whole, name)[0]]
+            remove[name] = [p["folder"] for p in merged]
+            dropped(part)
+        return add, remove, new
+
+    def adopted(self) -> None:
+        """Brings a store of the first format under versions, as its first one: its folders stay where they are."""
+        found = self._earlier_format()
+        with self._held():
+            if found and not self.state()["tables"]:
+                log = self.spark.read.schema(log_schema()).parquet(*found)
+                add, remove, _ = self._folded(self.state(), log)
+                rows = {r["folder"]: (r["rows"], r["last"]) for r in log.groupBy(F.regexp_extract(F.input_file_name(), "(batch=[^/]*)/[^/]*$", 1).alias("folder")).agg(F.count("*").alias("rows"), F.max("seq").alias("last")).collect()}
+                size = lambda f: rows.get(f.rsplit("/", 1)[-1], (0, None))[0]
+                fs, p = file_system(self.spark, self.path)
+                rest = {}
+                for name in ("rejects", "runs"):
+                    at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+                    if fs.exists(at):
+                        rest[name] = [{"folder": s.getPath().toString(), "rows": 0} for s in fs.listStatus(at) if s.isDirectory()] if name == "rejects" else [{"folder": fs.makeQualified(at).toString(), "rows": 0}]
+                last = max((v[1] for v in rows.values() if v[1] is not None), default=-1)
+                self._commit({"add": add | rest | {"log": [{"folder": f, "rows": size(f)} for f in found]}, "remove": remove, "next_seq": last + 1})
+
+    def append(self, records: DataFrame, batch: str, source: str | None = None, mark: dict | None = None) -> Counts:
+        """Normalizes a batch of records (with seq and run_id) and commits it as one version, with `mark`, if any, noted in it.
+        Records of another source than `source`, and those without a valid identity, are counted and listed as rejects; one bad
+        record costs no other. What the records were written at is the batch's time. Their order is seq; where it doesn't go on from
+        earlier batches it is moved behind them. Records without seq are taken in the order of their partitions."""
+        with self._held():
+            self.adopted()
+            state = self.state()
+            done = state["batches"].get(batch)
+            if done is not None:
+                return Counts(done["processed"], done["rejected"], done["new_listings"], done["new_contents"])
+            have = set(records.columns)
+            other = F.coalesce(F.lower(T.text(F.col("source"))) != source, F.lit(True)) if source and "source" in have else F.lit(False)
+            extra = {c: F.lit(None).cast("string") for c in KEEP if c not in have} | ({} if "seq" in have else {"seq": F.monotonically_increasing_id()})
+            rows = normalize.normalized(records.withColumns(extra | {"_other": other}), keep=(*KEEP, "_other"))
+            rows = rows.withColumn("reason", F.when(F.col("_other"), "another source").when(F.col("dedup_key").isNull(), "no valid identity"))
+            rows = rows.withColumns({"written_at": F.lit(now_text()), "seq": F.col("seq").cast("long")})
+            seen = Observation()
+            of = [F.count("reason").alias("rejected"), F.count(F.lit(1)).alias("rows"), F.min("seq").alias("first"), F.max("seq").alias("last")]
+            rows = saved(rows.observe(seen, *of), "batch")  # normalized once, then parted
+            figures = seen.get
+            shift = max(0, state["next_seq"] - (figures["first"] or 0))
+            rows_moved = rows.withColumn("seq", F.col("seq") + F.lit(shift))
+            add, remove, new, processed = {}, {}, {}, figures["rows"] - figures["rejected"]
+            if figures["rejected"]:
+                gone = rows_moved.where("reason is not null").select("seq", F.col("run_id").cast("string").alias("run_id"), "reason", F.col("stream").cast("string").alias("stream"), F.col("place").cast("long").alias("place"))
+                add["rejects"] = [self._written(gone, "rejects")[0]]
+            if processed:
+                kept = rows_moved.where("reason is null").select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in log_schema()))
+                part, _ = self._written(kept, "log")
+                more, remove, new = self._folded(state, self.spark.read.schema(log_schema()).parquet(f"{self.path}/{part['folder']}"))
+                add |= {"log": [part]} | more
+            counts = Counts(processed, figures["rejected"], new.get("identities", 0), new.get("contents", 0))
+            note = {"version": state["version"] + 1, "at": now_text(), "processed": counts.processed, "rejected": counts.rejected, "new_listings": counts.new_listings, "new_contents": counts.new_contents}
+            self._commit({"add": add, "remove": remove, "batches": {batch: note}, "marks": mark or {}, "next_seq": (figures["last"] or 0) + shift + 1 if figures["rows"] else 0})
+            dropped(rows)
+            return counts
 
     def _event(self, run_id: str, kind: str, **values) -> None:
         row = {"run_id": run_id, "at": now_text(), "kind": kind} | values
         schema = self.spark.createDataFrame([], RUN_EVENTS).schema
-        self.spark.createDataFrame([tuple(row.get(f.name) for f in schema)], schema).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+        event = self.spark.createDataFrame([tuple(row.get(f.name) for f in schema)], schema).coalesce(1)
+        with self._held():
+            self._commit({"add": {"runs": [self._written(event, "runs")[0]]}})
 
     def start_run(self, options: dict) -> str:
         """Options under any of their names (config.run_options); returns the run's id."""
@@ -136,14 +219,26 @@ class Store:
 
     def runs(self) -> DataFrame:
         """A row per run: what it was asked, when it began and ended, its errors and status (running until it has ended)."""
-        if not self._there("runs"):
-            return run_table(self.spark.createDataFrame([], RUN_EVENTS))
-        return run_table(self.spark.read.schema(self.spark.createDataFrame([], RUN_EVENTS).schema).parquet(f"{self.path}/runs"))
+        return run_table(self.table("runs", RUN_EVENTS))
+
+    def latest(self) -> DataFrame:
+        """Each key's version to show, as history.latest() of the log, from the folds."""
+        return folds.latest(self.fold("contents"), [f.name for f in log_schema()])
+
+    def listings(self, **filters) -> DataFrame:
+        """The export query, from the folds."""
+        contents = self.fold("contents").select(F.col("first_seq").alias("seq"))
+        return export.listings(self.latest(), contents, **filters)
+
+    def identities(self) -> DataFrame:
+        return folds.IDENTITIES.values(self.fold("identities"))
+
+    def hits(self) -> DataFrame:
+        return folds.hit_values(self.fold("hits")).where("run_id is not null")
 
     def stats(self) -> DataFrame:
         """Rows of identities, contents, runs and hits."""
-        log = self.log()
-        return history.table_counts(unique_jobs=log.select("dedup_key").distinct(), snapshots=log.select("dedup_key", "content_hash").distinct(), search_runs=self.runs(), search_hits=hits_of(log))
+        return history.table_counts(unique_jobs=self.fold("identities"), snapshots=self.fold("contents"), search_runs=self.runs(), search_hits=self.hits())
 
 
 def run_table(events: DataFrame) -> DataFrame:
@@ -157,9 +252,8 @@ def run_table(events: DataFrame) -> DataFrame:
     return rows.withColumns({"status": status, "search_url": U.canonicalize_url(F.col("search_url"))})
 
 
-def hits_of(log: DataFrame) -> DataFrame:
-    rows = log.where("run_id is not null").withColumns({"location": F.col("location_searched"), "hit_url": F.col("source_url"), "metadata": F.lit("{}"), "discovered_at": F.col("captured_at")})
-    return history.hits(rows)
+def hit_rows(log: DataFrame) -> DataFrame:
+    return log.withColumns({"location": F.col("location_searched"), "hit_url": F.col("source_url"), "metadata": F.lit("{}"), "discovered_at": F.col("captured_at")})
 
 
 @dataclass(frozen=True)
@@ -184,7 +278,6 @@ def run_import(spark: SparkSession, source: str, store_path: str, path: str | No
     store = Store(spark, store_path)
     with store.writing(float(config.setting("writer_timeout"))):
         run_id = store.start_run(options | {"source": source, "max_results": max_results})
-        base = (store.runs().count()) << 40  # runs in their order, then records in theirs
         failure, reason, counts = None, "finished", Counts(0, 0)
         try:
             if source == "jsonl":
@@ -199,8 +292,7 @@ def run_import(spark: SparkSession, source: str, store_path: str, path: str | No
                 records = registry.load(spark, source, run_id=run_id, **({"path": path} if path else {}))
                 if max_results is not None:
                     records = records.orderBy("seq").limit(max_results)
-            records = records.withColumns({"seq": F.col("seq") + F.lit(base), "run_id": F.lit(run_id)})
-            counts = store.append(records, run_id, source)
+            counts = store.append(records.withColumn("run_id", F.lit(run_id)), run_id, source)
         except Exception as error:
             failure, reason = error, "failed"
             store.record_error(run_id)
@@ -214,12 +306,10 @@ def run_import(spark: SparkSession, source: str, store_path: str, path: str | No
 
 def export_store(spark: SparkSession, store_path: str, output: str, format: str | None = None, **filters) -> int:
     """Writes the newest complete version of each identity of a store; returns the rows."""
-    if output.rstrip("/") == store_path.rstrip("/"):
-        raise ValueError("the output would overwrite the store")
     store = Store(spark, store_path)
     if not store.exists():
         raise FileNotFoundError(f"no store at {store_path}")
-    return export.write(export.latest_listings(store.log(), **filters), output, format, (store_path,))
+    return export.write(store.listings(**filters), output, format, (store_path,))
 
 
 @dataclass(frozen=True)
@@ -230,7 +320,7 @@ class DemoResult:
 
 def run_demo(spark: SparkSession, store_path: str, output: str) -> DemoResult:
     """The made-up records through a store into a JSON export."""
-    if store_path.rstrip("/") == output.rstrip("/"):
+    if same_place(spark, output, store_path):
         raise ValueError("the demo's store and export need different paths")
     done = run_import(spark, "demo", store_path)
     return DemoResult(done.processed, export_store(spark, store_path, output, "json"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -61,6 +62,16 @@ def renamed(spark: SparkSession, source: str, target: str) -> None:
     spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(a), b, options)
 
 
+def same_place(spark: SparkSession, a: str, b: str) -> bool:
+    """Whether two paths, however they are written, name one file or folder, or the first lies inside the second."""
+    def resolved(path: str) -> str:
+        fs, p = file_system(spark, path)
+        whole = fs.makeQualified(p)
+        return os.path.realpath(whole.toUri().getPath()) if fs.getUri().getScheme() == "file" else whole.toString().rstrip("/")
+
+    return f"{resolved(a)}/".startswith(f"{resolved(b)}/")
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint if df (saved, of narrow rows) has at most so many rows; else df as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -9,16 +10,75 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..plans.store import Store
-
-
-def append_to_log(records: DataFrame, store_path: str, checkpoint: str, source: str | None = None):
-    """A started query that commits each micro-batch to a store (with seq and run_id) under its number: a reader sees all of
-    a batch or none, rejects are counted and listed, and a batch that is run again replaces itself. How rows are batched
-    doesn't show in the log."""
-    spark = records.sparkSession
-
-    def put(batch: DataFrame, number: int) -> None:
-        Store(spark, store_path).append(batch, f"stream-{number:09d}", source)
+from ..plans.versions import Folder
+from ..shared import dropped, running_total, saved
+
+
+def query_id(spark, checkpoint: str) -> str:
+    """The id of a streaming query, which its checkpoint keeps over restarts."""
+    return json.loads(Folder(spark, checkpoint).read("metadata"))["id"]
+
+
+class Sink:
+    """Commits the micro-batches of a stream to a store, each record once.
+
+    The store's versions note, under the stream's name, the query and its last whole epoch. An epoch that is run again changes
+    nothing. Where an epoch may have been stored in part, or the stream has been read by another query (a new checkpoint), its
+    records are known by their place (seq as the source gave it), and only those that aren't there are stored."""
+
+    def __init__(self, spark, path: str, name: str, query: str, source: str | None = None, commit_items: int | None = None):
+        if commit_items is not None and commit_items < 1:
+            raise ValueError("commit_items must be positive")
+        self.store, self.name, self.query, self.source, self.commit_items = Store(spark, path), name, query, source, commit_items
+
+    def put(self, batch: DataFrame, epoch: int) -> None:
+        """Waits for the lease, so that writers of one store take turns."""
+        with self.store.writing(600):
+            mark = self.store.state()["marks"].get(self.name)
+            same = bool(mark) and mark["query"] == self.query
+            if same and epoch <= mark["epoch"]:
+                return
+            shared = bool(mark) and (mark["shared"] or not same)
+            note = {"query": self.query, "epoch": epoch - 1, "shared": shared, "open": epoch}
+            rows = batch.withColumns({"stream": F.lit(self.name), "place": F.col("seq").cast("long")})
+            if shared or (same and mark["open"] == epoch):
+                there = self.store.log().where(F.col("stream") == self.name).select("place").unionByName(self._refused())
+                rows = rows.join(there.distinct(), "place", "left_anti")
+            done = note | {"epoch": epoch, "open": None}
+            if self.commit_items is None:
+                self._append(rows, f"{epoch}", done)
+                return
+            rows = saved(rows, "stream-epoch")
+            places = running_total(rows.select("place").where("place is not null").distinct().withColumn("_one", F.lit(1)), "place", "_one", "_rank")
+            ranked = saved(rows.join(places.drop("_one"), "place", "left").withColumn("_part", F.floor((F.coalesce("_rank", F.lit(1)) - 1) / self.commit_items).cast("long")), "stream-parts")
+            last = ranked.agg(F.max("_part")).first()[0] or 0
+            for k in range(last + 1):  # a commit for each commit_items records
+                self._append(ranked.where(F.col("_part") == k).drop("_part", "_rank"), f"{epoch}.{k}", note if k < last else done)
+            dropped(rows, ranked)
+
+    def _refused(self) -> DataFrame:
+        """Places of records that were refused: they aren't in the log, and needn't be counted again."""
+        return self.store.rejects().where(F.col("stream") == self.name).select("place")
+
+    def _append(self, rows: DataFrame, part: str, mark: dict) -> None:
+        """The mark says what is stored, so a batch's name need only be its own: the version that it is made on is part of it."""
+        self.store.append(rows, f"stream {self.name} {part} on {self.store.newest()}", self.source, {self.name: mark})
+
+
+def append_to_log(records: DataFrame, store_path: str, checkpoint: str, source: str | None = None, name: str | None = None, commit_items: int | None = None):
+    """A started query that commits each micro-batch to a store, or a part of it for each commit_items records: a reader sees all
+    of a commit or none, rejects are counted and listed, and no record is stored twice, whatever stops and goes on. seq goes on
+    behind what is stored. A stream with a name is one stream under any checkpoint: records with the same seq as stored ones are
+    known. Without a name each checkpoint is a stream of its own."""
+    spark, sinks = records.sparkSession, {}
+    if name is not None and "seq" not in records.columns:
+        raise ValueError("the records of a named stream need seq, their place in it")
+
+    def put(batch: DataFrame, epoch: int) -> None:
+        if not sinks:
+            query = query_id(spark, checkpoint)
+            sinks[0] = Sink(spark, store_path, name or query, query, source, commit_items)
+        sinks[0].put(batch if "seq" in batch.columns else batch.withColumn("seq", F.monotonically_increasing_id()), epoch)
 
     return records.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

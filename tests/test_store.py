@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ledgermill import __main__ as commands
 from ledgermill.plans import store as stores
-from ledgermill.shared import file_system
 from ledgermill.sources import config, registry
 
 GOOD = {"source_url": "https://example.com/1", "company": "A", "title": "T", "description": "D", "source_job_id": "1"}
