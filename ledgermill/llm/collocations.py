@@ -28,7 +28,9 @@ ROUNDS = ((1, 2), (3, 4, 5))
 #: a bit of each: 2 rows x 2^27 bits for a length at most, and less than 80 MB for all.
 ROWS, LEAST_BITS, MOST_BITS, SLICE_BITS, FEWER_BITS = 2, 19, 27, 16, 3
 #: Words, and bytes of text, that a task holds at a time; a longer text is taken in runs of so many words.
-BLOCK, BLOCK_BYTES = 1 << 21, 12 << 20
+BLOCK, BLOCK_BYTES = 1 << 21, 8 << 20
+#: Counted phrases that a task holds before it hands them on, and slices that they are added up in.
+HELD, SLICES = 1 << 20, 256
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[32, 9]] = 1
 _KIND[[ord(c) for c in ".,;:!?\n\v\f\r"]] = 2
@@ -226,14 +228,30 @@ def _numbered(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return first, own, n
 
 
+def _sliced(total: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+    """Counts as a row per slice of their phrases' hashes, sorted and compressed."""
+    slices: dict[int, list[bytes]] = {}
+    for key in total:
+        slices.setdefault(xxhash.xxh3_64_intdigest(key) % SLICES, []).append(key)
+    blobs = []
+    for keys in slices.values():
+        keys.sort()
+        lengths = np.array([len(k) for k in keys], dtype=np.int32).tobytes()
+        blobs.append(np.array([total[k] for k in keys], dtype=np.int64).tobytes() + lengths + b"".join(keys))
+    packed = [pa.compress(b, codec="zstd", asbytes=True) for b in blobs]
+    yield pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array([len(k) for k in slices.values()], pa.int32()), pa.array([len(b) for b in blobs], pa.int32()), pa.array(packed, pa.binary())], names=["slice", "phrases", "size", "counts"])
+
+
 def _counted(longest: int, shared):
-    """A task's rows -> (lang, length, phrase, n): its exact counts of surviving phrases, and of all words as length 0."""
-    names = ["lang", "length", "phrase", "n"]
+    """A task's rows -> its exact counts of surviving phrases, and of all words, by slices. A key is language, 0xFF (which no text
+    has), phrase."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[bytes, int] = {}
         for phrases, until, vocabulary, langs in runs(batches, longest):
-            all_words = np.bincount(phrases.lang[:until], minlength=len(langs))
-            yield pa.RecordBatch.from_arrays([langs.cast(pa.string()), pa.array(np.zeros(len(langs)), pa.int32()), pa.array([b""] * len(langs), pa.binary()), pa.array(all_words, pa.int64())], names=names)
+            names = langs.cast(pa.binary())
+            for lang, n in zip(names.to_pylist(), np.bincount(phrases.lang[:until], minlength=len(langs)).tolist(), strict=True):
+                total[lang + b"\xff"] = total.get(lang + b"\xff", 0) + n
             number = np.zeros(len(phrases.ids) + 1, dtype=np.int64)  # of the phrase of the last length that starts at a word
             for n, starts, _ in phrases.lengths(longest, shared.value):  # past `until` too: what begins there is counted later
                 if n == 1:
@@ -246,12 +264,51 @@ def _counted(longest: int, shared):
                 if len(at):
                     texts = [vocabulary.take(pa.array(phrases.ids[at + k])) for k in range(n)]
                     joined = pc.binary_join_element_wise(*texts, pa.scalar(b" ", pa.binary())) if n > 1 else texts[0]
-                    yield pa.RecordBatch.from_arrays([langs.take(pa.array(phrases.lang[at])), pa.array(np.full(len(at), n), pa.int32()), joined, pa.array(many[many > 0], pa.int64())], names=names)
+                    keys = pc.binary_join_element_wise(names.take(pa.array(phrases.lang[at])), joined, pa.scalar(b"\xff", pa.binary()))
+                    for key, m in zip(keys.to_pylist(), many[many > 0].tolist(), strict=True):
+                        total[key] = total.get(key, 0) + m
+            if len(total) > HELD:
+                yield from _sliced(total)
+                total.clear()
+        if total:
+            yield from _sliced(total)
+        total.clear()
         released()
 
     return count
 
 
+def _summed(threshold: int):
+    """Counts sorted by slice -> (lang, length, phrase, n) of the phrases that reach the threshold, and the languages' words."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, total = None, {}
+
+        def done() -> pa.RecordBatch:
+            kept = [(*k.split(b"\xff", 1), n) for k, n in total.items() if n >= threshold or k.find(b"\xff") == len(k) - 1]
+            lengths = [p.count(b" ") + 1 if p else 0 for _, p, _ in kept]
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in kept], pa.binary()), pa.array(lengths, pa.int32()), pa.array([k[1] for k in kept], pa.binary()), pa.array([k[2] for k in kept], pa.int64())], names=["lang", "length", "phrase", "n"])
+
+        for b in batches:
+            for part, phrases, size, counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if part != current:
+                    if total:
+                        yield done()
+                    current, total = part, {}
+                raw = pa.decompress(counts, decompressed_size=size, codec="zstd", asbytes=True)
+                at = 12 * phrases
+                for n, length in zip(np.frombuffer(raw, dtype=np.int64, count=phrases).tolist(), np.frombuffer(raw, dtype=np.int32, count=phrases, offset=8 * phrases).tolist(), strict=True):
+                    key = raw[at : at + length]
+                    total[key] = total.get(key, 0) + n
+                    at += length
+        if total:
+            yield done()
+        total.clear()
+        released()
+
+    return add
+
+
 def frequent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", threshold: int = THRESHOLD, longest: int = LONGEST, bits: int | None = None) -> DataFrame:
     """(lang, length, phrase, n): every phrase of up to `longest` words with a count of threshold or more in its language,
     exactly counted, and a row of length 0 with the language's number of words.
@@ -267,9 +324,9 @@ def frequent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", th
         size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
         bits = min(MOST_BITS, max(LEAST_BITS, (size // 96).bit_length()))
     shared = survivors(rows, bits, threshold, longest)
-    counts = rows.mapInArrow(_counted(longest, shared), "lang string, length int, phrase binary, n long").withColumn("phrase", F.col("phrase").cast("string"))
-    whole = counts.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n"))
-    return saved(whole.where((F.col("n") >= threshold) | (F.col("length") == 0)), "collocation-counts")
+    counts = rows.mapInArrow(_counted(longest, shared), "slice int, phrases int, size int, counts binary")
+    whole = counts.repartition("slice").sortWithinPartitions("slice").mapInArrow(_summed(threshold), "lang binary, length int, phrase binary, n long")
+    return saved(whole.select(F.col("lang").cast("string").alias("lang"), "length", F.col("phrase").cast("string").alias("phrase"), "n"), "collocation-counts")
 
 
 def _part(first: Column | int, n: Column | int) -> Column:

@@ -109,12 +109,19 @@ def test_blocks_of_one_long_text_join_up(spark, monkeypatch):
     class Shared:
         value = staticmethod(lambda n, h: None)
 
-    got = Counter()
-    for b in collocations._counted(5, Shared)(iter([batch])):
-        for lang, length, phrase, n in zip(*(c.to_pylist() for c in b.columns)):
-            got[lang, tuple(phrase.decode().split(" ")) if length else ()] += n
-    f, n = plain_counts(rows)
-    assert {k: v for k, v in got.items() if k[1]} == dict(f) and got["en", ()] == n["en"] and got["und", ()] == 0
+    for held in (1 << 20, 3):  # handed on at the end, or after each block
+        monkeypatch.setattr(collocations, "HELD", held)
+        parts = list(collocations._counted(5, Shared)(iter([batch])))
+        rows_of = sorted((r for b in parts for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[0])
+        again = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows_of), parts[0].schema)], schema=parts[0].schema)
+        got = {}
+        for b in collocations._summed(1)(iter([again])):
+            for lang, length, phrase, n in zip(*(c.to_pylist() for c in b.columns)):
+                key = lang.decode(), tuple(phrase.decode().split(" ")) if length else ()
+                assert length == len(key[1]) and key not in got
+                got[key] = n
+        f, n = plain_counts(rows)
+        assert {k: v for k, v in got.items() if k[1]} == dict(f) and got["en", ()] == n["en"] and got.get(("und", ()), 0) == 0
 
 
 def test_subsumed_by_dropped_ones_and_ties(spark):
