@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .canonical import canonical_json
+
 BLANKS = r"[\s\u001c-\u001f\u0085   -     　]"
 ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
@@ -142,17 +144,16 @@ def quoted(c: Column) -> Column:
 def json_text(c: Column) -> Column:
     """Canonical JSON: parsed text with sorted keys, else the text as a JSON string; blank null."""
     t = text(c)
-    return F.when(t.isNotNull(), F.coalesce(F.to_json(F.try_parse_json(t)), quoted(t)))
+    return F.when(t.isNotNull(), F.coalesce(canonical_json(t), quoted(t)))
 
 
 def decode_json(c: Column) -> Column:
     """JSON text as canonical text; blank null; anything else as it is."""
-    return F.when(first_value(c).isNotNull(), F.coalesce(F.to_json(F.try_parse_json(c)), c))
+    return F.when(first_value(c).isNotNull(), F.coalesce(canonical_json(c), c))
 
 
 def hash_token(c: Column) -> Column:
     """How a value counts in content hashes: parsed JSON as such, other text without case and spacing; null is null."""
     t = c.cast("string")
-    fraction = F.when(t.rlike(r"^\s*-?(0|[1-9]\d*)(\.\d+([eE][+-]?\d+)?|[eE][+-]?\d+)\s*$"), F.trim(t).try_cast("double").cast("string"))  # 1.0 isn't 1
-    looks = t.rlike(r'^\s*([\[{"tfn0-9-])')  # all else can't be JSON
-    return F.when(t.isNull(), F.lit("null")).otherwise(F.coalesce(fraction, F.when(looks, F.to_json(F.try_parse_json(t))), quoted(casefold_key(t))))
+    looks = t.rlike(r'^\s*([\[{"tfnNI0-9-])')  # all else can't be JSON
+    return F.when(t.isNull(), F.lit("null")).otherwise(F.coalesce(canonical_json(F.when(looks, t)), quoted(casefold_key(t))))

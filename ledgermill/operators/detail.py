@@ -11,7 +11,9 @@ from .joins import PLACEHOLDERS
 def details(pages: DataFrame, today: Column | None = None, url_col: str = "url", html_col: str = "html", loaded: Column | None = None, stub: str | None = None) -> DataFrame:
     """A record per page. A page is complete if its description was loaded and it names description, company and title
     itself; placeholders for missing ones don't count. stub: the name of a struct column with the search card's record, whose
-    id, posting date, company, title, description and location stand in for what the page lacks; its run fields stay in it."""
+    id, posting date, company, title, description and location stand in for what the page lacks; its run fields stay in it. The date
+    is the posting's, if that can be read, else the page's, whether or not that can be read, and the stub's only where the page says
+    none."""
     df = pages.withColumn("_p", html.extracted(F.col(html_col), F.col(url_col)))
     p = lambda c: F.col(f"_p.{c}")
     title = F.coalesce(F.nullif(p("title"), F.lit("")), F.nullif(T.clean_text(F.split_part(p("page_title"), F.lit(" | "), F.lit(1))), F.lit("")), F.lit(""))
@@ -37,7 +39,7 @@ def details(pages: DataFrame, today: Column | None = None, url_col: str = "url",
         place["type"].alias("workplace_type"),
         place["inferred"].alias("workplace_type_inferred"),
         classify.employment_type(p("employment_raw")).alias("employment_type"),
-        F.coalesce(T.parse_date(p("posted_raw"), today), T.parse_date(of_stub("posted_at"), today)).alias("posted_at"),
+        F.coalesce(T.parse_date(p("posted_json"), today), T.parse_date(F.coalesce(F.nullif(p("posted_raw"), F.lit("")), of_stub("posted_at")), today)).alias("posted_at"),
         *(p(c).alias(c) for c in ("valid_through", "applicants", "seniority_level", "job_function", "industries")),
         *(pay[c].alias(c) for c in ("salary_min", "salary_max", "salary_currency", "salary_interval", "salary_text")),
         F.when(complete, "complete").otherwise("partial").alias("capture_status"),

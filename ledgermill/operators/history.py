@@ -172,18 +172,3 @@ def stagnation(rounds: DataFrame, session: str, round_col: str, new: str = "new_
     islands = rounds.withColumn("_island", F.sum((F.col(new) > 0).cast("int")).over(so_far))
     inside = W.partitionBy(session, "_island").orderBy(round_col).rowsBetween(W.unboundedPreceding, W.currentRow)
     return islands.withColumn("stagnant", F.sum((F.col(new) <= 0).cast("long")).over(inside)).drop("_island")
-
-
-def resolved_keys(log: DataFrame, default: str = "default_key") -> DataFrame:
-    """Old default keys are kept for their records. log has dedup_key, default_key, source, source_job_id, canonical_url
-    and seq. Where a record has its default key, and an older one (source:ID or source:http...) of the same source and
-    id (or, without id, URL) arrived before any record with the default key, the older key stays. Custom keys never
-    merge. The order of arrival within an identity decides, so a window by identity is the whole fold. Of equally early
-    ones the row's place decides; a record without id and URL stays as it is."""
-    who = F.coalesce(F.concat(F.lit("i"), "source_job_id"), F.concat(F.lit("u"), "canonical_url"), F.concat(F.lit("k"), "dedup_key"))
-    same = W.partitionBy("source", who)
-    own = F.col("dedup_key") == F.col(default)
-    old = ~own & (F.coalesce(F.col("dedup_key") == F.concat("source", F.lit(":"), "source_job_id"), F.lit(False)) | F.col("dedup_key").rlike("^[^:]*:https?://"))
-    known = F.min(F.when(old, F.struct("seq", "dedup_key"))).over(same)
-    began = F.min(F.when(own, F.col("seq"))).over(same)
-    return log.withColumn("dedup_key", F.when(own & (known["seq"] < began), known["dedup_key"]).otherwise(F.col("dedup_key")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T, urls as U
+from ..functions.canonical import canonical_json, content_hash
 
 #: Names under which a field may come, in order: fixed values.
 ALIASES = {
@@ -63,15 +64,10 @@ def dedup_key(source: Column, explicit: Column, source_job_id: Column, canonical
     return F.when(e.isNotNull(), F.when(e.startswith(F.concat(source, F.lit(":"))), e)).otherwise(default_key(source, source_job_id, canonical_url))
 
 
-def content_hash(fields=SNAPSHOT_FIELDS) -> Column:
-    """SHA-256 over sorted fields; spacing and case of text don't count, capture and search metadata neither."""
-    parts = [F.concat(F.lit(f'"{f}":'), T.hash_token(F.col(f))) for f in sorted(fields)]
-    return F.sha2(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")), 256)
-
-
-def normalized(records: DataFrame, now: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def normalized(records: DataFrame, now: Column | None = None, keep: tuple[str, ...] = (), include_raw: bool = True) -> DataFrame:
     """The snapshot columns, captured_at, raw_json, dedup_key (null: invalid) and content_hash, with the columns in keep.
-    Without a status a record is complete if it has a description. now: captured_at where there is none."""
+    Without a status a record is complete if it has a description. now: captured_at where there is none. include_raw: whether a
+    raw_json that is made of the record repeats its markup."""
     have = set(records.columns)
 
     def of(field: str) -> Column:
@@ -83,9 +79,9 @@ def normalized(records: DataFrame, now: Column | None = None, keep: tuple[str, .
 
     fields = {f: _MAKE.get(f, T.text)(of(f)) for f in ALIASES}
     source = F.lower(F.coalesce(T.text(col("source")), F.lit("other")))
-    extras = F.to_json(F.struct(*(F.col(c) for c in sorted(have))))
+    extras = F.to_json(F.struct(*(F.col(c) for c in sorted((records if include_raw else without_raw(records)).columns))))
     raw = T.first_value(col("raw_json"), col("raw"))
-    raw_json = F.when(raw.isNull(), extras).otherwise(F.coalesce(F.to_json(F.try_parse_json(raw)), F.concat(F.lit('{"value":'), T.quoted(raw), F.lit("}"))))
+    raw_json = F.when(raw.isNull(), extras).otherwise(F.coalesce(canonical_json(raw), F.concat(F.lit('{"value":'), T.quoted(raw), F.lit("}"))))
     out = records.select(*keep, source.alias("source"), *(c.alias(f) for f, c in fields.items()), T.text(col("capture_status")).alias("_status"), col("dedup_key").alias("_key"), raw_json.alias("raw_json"))
     site_id = U.extract_source_job_id(F.coalesce("canonical_url", "source_url"))
     stamp = F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -97,7 +93,7 @@ def normalized(records: DataFrame, now: Column | None = None, keep: tuple[str, .
         }
     )
     out = out.withColumn("dedup_key", dedup_key(F.col("source"), F.col("_key"), F.col("source_job_id"), F.col("canonical_url")))
-    return out.withColumn("content_hash", content_hash()).drop("_status", "_key")
+    return out.withColumn("content_hash", content_hash(SNAPSHOT_FIELDS)).drop("_status", "_key")
 
 
 def without_raw(records: DataFrame) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import html, text as T, urls as U
-from ..operators import detail, history, joins, normalize
-from ..shared import new_path
+from ..operators import detail, folds, history, identity, joins, normalize
+from ..shared import new_path, saved
 from ..sources import config, jsonl, registry
 from . import export, store as stores
 from .catalog import log, query, table
@@ -376,6 +376,38 @@ def store_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.table_counts(kept=store.log()).unionByName(gone).unionByName(keys)
 
 
+@query("""
+    , r AS (SELECT *, CASE WHEN seq < 200 THEN 1 WHEN seq < 500 THEN 2 ELSE 3 END b, row_number() OVER (PARTITION BY dedup_key ORDER BY seq) n, row_number() OVER (PARTITION BY dedup_key, event_type ORDER BY seq) m FROM log)
+    SELECT b::INT AS batch, count(*) processed, count(*) FILTER (WHERE n = 1) new_listings, count(*) FILTER (WHERE m = 1) new_contents, min(seq) first_seq, max(seq) last_seq FROM r GROUP BY 1
+""")
+def store_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of events as three batches of two writers, in the order of arrival, one of them sent again by the other writer: what
+    each batch brought, by its own figures and by the log."""
+    path = new_path(spark, "store")
+    writers = stores.Store(spark, path), stores.Store(spark, path)
+    number = F.when(F.col("seq") < 200, 1).when(F.col("seq") < 500, 2).otherwise(3)
+    rows = log(spark, sf_dir).select("seq", "run_id", F.col("dedup_key").alias("source_job_id"), F.col("event_type").alias("title"), F.lit("events").alias("source"), number.alias("batch"))
+    for writer, k in ((0, 1), (1, 2), (0, 2), (1, 3)):
+        writers[writer].append(rows.where(F.col("batch") == k).drop("batch"), str(k))
+    seen = writers[0].log().groupBy(number.alias("batch")).agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.count("*").alias("stored"))
+    figures = writers[0].batches().withColumn("batch", F.col("batch").cast("int"))
+    return figures.join(seen, "batch").where(F.col("processed") == F.col("stored")).select("batch", "processed", "new_listings", "new_contents", "first_seq", "last_seq")
+
+
+@query(_CONTENTS + " SELECT " + ", ".join(SHOWN) + " FROM j WHERE n = 1")
+def store_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export from folds that grew over three batches, of one, three and many events."""
+    rows, fold = observations(spark, sf_dir), None
+    names = [f.name for f in stores.log_schema()]
+    rows = rows.withColumns({c: none() for c in names if c not in rows.columns}).select(*names)
+    contents = folds.contents(names)
+    for low, high in ((None, 300), (300, 900), (900, None)):
+        part = rows.where((F.col("seq") >= low if low else F.lit(True)) & (F.col("seq") < high if high else F.lit(True)))
+        state = contents.of(part)
+        fold = saved(state if fold is None else contents.merged(fold.unionByName(state)), "fold")
+    return export.listings(folds.latest(fold, names), fold.select(F.col("first_seq").alias("seq"))).select(*SHOWN)
+
+
 @query("""
     , e AS (SELECT run_id, min(captured_at) started_at, max(captured_at) FILTER (WHERE event_type = 'purchase') finished_at, sum(CASE WHEN event_type = 'error' THEN CASE WHEN seq % 2 = 0 THEN 1 ELSE -1 END ELSE 0 END) x, count(*) FILTER (WHERE event_type = 'error' AND seq % 2 = 0) error_count FROM log GROUP BY 1)
     SELECT run_id, started_at, finished_at, error_count, CASE WHEN finished_at IS NULL THEN 'running' WHEN error_count > 0 THEN 'failed' ELSE 'finished' END status FROM e
@@ -411,7 +443,7 @@ def legacy_identity_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """legacy_identity over every record: by id, by URL without one, and without either."""
     rows = log(spark, sf_dir).withColumn("default_key", normalize.default_key(F.col("source"), F.col("source_job_id"), F.col("canonical_url")))
     old = F.concat("source", F.lit(":"), F.coalesce("source_job_id", "canonical_url", F.col("seq").cast("string")))
-    return history.resolved_keys(rows.withColumn("dedup_key", F.when(F.col("seq") % 11 == 0, old).otherwise(F.col("default_key")))).select("seq", "dedup_key")
+    return identity.resolved_keys(rows.withColumn("dedup_key", F.when(F.col("seq") % 11 == 0, old).otherwise(F.col("default_key")))).select("seq", "dedup_key")
 
 
 @query("""

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from ..functions import text as T, urls as U
 from ..operators import folds, history, normalize
-from ..shared import dropped, file_system, same_place, saved, small
+from ..shared import BROADCAST_ROWS, dropped, file_system, same_place, saved
 from ..sources import config, registry
 from . import export
 from .versions import Versions
@@ -113,31 +113,27 @@ class Store(Versions):
         df.observe(seen, F.count(F.lit(1)).alias("rows"), *figures).write.parquet(folder)
         return {"folder": folder.removeprefix(f"{self.path}/"), "rows": seen.get["rows"]}, seen.get
 
-    def _folded(self, state: dict, log: DataFrame, only: tuple[str, ...] = ("contents", "identities", "hits")) -> tuple[dict, dict, dict]:
+    def _folded(self, state: dict, log: DataFrame) -> tuple[dict, dict, dict]:
         """The parts that a batch adds to the folds, those that they replace, and how many of its keys are new. A part that isn't
         TIER times smaller than the one before it is merged with that, so there are few, and a row is rewritten few times."""
         add, remove, new = {}, {}, {}
         for name, (fold, rows) in fold_rows(log).items():
-            if name not in only:
-                continue
-            part, parts = saved(fold.of(rows), f"fold-{name}"), list(state["tables"].get(name, []))
-            read = lambda found, schema=part.schema: self.spark.read.schema(schema).parquet(*(p["folder"] if ":" in p["folder"] else f"{self.path}/{p['folder']}" for p in found))
-            n = part.count()
-            if not n:
-                dropped(part)
+            schema, parts = fold.of(rows).schema, list(state["tables"].get(name, []))
+            read = lambda found, schema=schema: self.spark.read.schema(schema).parquet(*(p["folder"] if ":" in p["folder"] else f"{self.path}/{p['folder']}" for p in found))
+            part, _ = self._written(fold.of(rows), name)
+            if not part["rows"]:
                 continue
             if name != "hits":
                 keys = [*fold.keys]
-                there = read(parts).select(*keys).join(small(part.select(*keys)), keys, "left_semi").distinct().count() if parts else 0
-                new[name] = n - there
-            merged, size = [], n
+                fresh = read([part]).select(*keys)
+                there = read(parts).select(*keys).join(F.broadcast(fresh) if part["rows"] <= BROADCAST_ROWS else fresh, keys, "left_semi").distinct().count() if parts else 0
+                new[name] = part["rows"] - there
+            merged, size = [], part["rows"]
             while parts and parts[-1]["rows"] < TIER * size:
                 merged.append(parts.pop())
                 size += merged[-1]["rows"]
-            whole = fold.merged(part.unionByName(read(merged))) if merged else part
-            add[name] = [self._written(whole, name)[0]]
+            add[name] = [self._written(fold.merged(read([part, *merged])), name)[0] if merged else part]
             remove[name] = [p["folder"] for p in merged]
-            dropped(part)
         return add, remove, new
 
     def adopted(self) -> None:
@@ -162,7 +158,8 @@ class Store(Versions):
         """Normalizes a batch of records (with seq and run_id) and commits it as one version, with `mark`, if any, noted in it.
         Records of another source than `source`, and those without a valid identity, are counted and listed as rejects; one bad
         record costs no other. What the records were written at is the batch's time. Their order is seq; where it doesn't go on from
-        earlier batches it is moved behind them. Records without seq are taken in the order of their partitions."""
+        earlier batches it is moved behind them. Records without seq are taken in the order of their partitions. Markup isn't
+        repeated in raw_json."""
         with self._held():
             self.adopted()
             state = self.state()
@@ -172,7 +169,7 @@ class Store(Versions):
             have = set(records.columns)
             other = F.coalesce(F.lower(T.text(F.col("source"))) != source, F.lit(True)) if source and "source" in have else F.lit(False)
             extra = {c: F.lit(None).cast("string") for c in KEEP if c not in have} | ({} if "seq" in have else {"seq": F.monotonically_increasing_id()})
-            rows = normalize.normalized(records.withColumns(extra | {"_other": other}), keep=(*KEEP, "_other"))
+            rows = normalize.normalized(records.withColumns(extra | {"_other": other}), keep=(*KEEP, "_other"), include_raw=False)
             rows = rows.withColumn("reason", F.when(F.col("_other"), "another source").when(F.col("dedup_key").isNull(), "no valid identity"))
             rows = rows.withColumns({"written_at": F.lit(now_text()), "seq": F.col("seq").cast("long")})
             seen = Observation()

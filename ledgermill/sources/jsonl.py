@@ -33,8 +33,11 @@ class Scan:
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, value): physical line numbers from 1, without blank lines. A file's lines are numbered in its own order, and
-    files in the order of their paths. The blocks of the files are counted first (a row each), then numbered apart."""
-    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    files in the order of their paths. The files are read once, and written with each line's place in its block; the blocks
+    (a row each) are then numbered apart. How files are cut depends on the task slots of the moment, so a second scan could
+    cut them otherwise."""
+    read = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    rows = saved(read, "jsonl-lines")
     blocks = saved(rows.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("at").alias("first")), "jsonl-blocks")
     before = blocks.withColumn("before", F.sum("n").over(W.orderBy("file", "start")) - F.col("n")).drop("n")
     numbered = rows.join(small(before), ["file", "start"]).select((F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "value")

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermill.operators import history, joins, normalize
+from ledgermill.operators import history, identity, joins, normalize
 from ledgermill.plans import export
 from ledgermill.shared import saved
 from ledgermill.sources import config, jsonl, registry
@@ -62,7 +62,7 @@ def test_hits(spark):
 def test_legacy_keys(spark):
     rows = [(1, "s", "s:1", "s:id:1", "1"), (2, "s", "s:id:1", "s:id:1", "1"), (3, "s", "s:id:2", "s:id:2", "2"), (4, "s", "s:2", "s:id:2", "2"), (5, "s", "s:id:2", "s:id:2", "2"), (6, "s", "s:mine", "s:id:3", "3"), (7, "s", "s:id:3", "s:id:3", "3")]
     df = spark.createDataFrame(rows, "seq long, source string, dedup_key string, default_key string, source_job_id string").withColumn("canonical_url", F.lit(None).cast("string"))
-    assert [r["dedup_key"] for r in history.resolved_keys(df).orderBy("seq").collect()] == ["s:1", "s:1", "s:id:2", "s:2", "s:id:2", "s:mine", "s:id:3"]
+    assert [r["dedup_key"] for r in identity.resolved_keys(df).orderBy("seq").collect()] == ["s:1", "s:1", "s:id:2", "s:2", "s:id:2", "s:mine", "s:id:3"]
 
 
 def test_export(spark, tmp_path):

@@ -48,7 +48,7 @@ def test_batches_are_whole_and_rejects_counted(spark, tmp_path):
     store = stores.Store(spark, str(tmp_path / "store"))
     rows = [GOOD | {"source": "x"}, GOOD | {"source": "y"}, {"source": "x", "source_job_id": None, "source_url": None}]
     batch = registry.records_of(spark, rows).withColumn("run_id", F.lit("r"))
-    assert store.append(batch, "1", "x") == stores.Counts(1, 2)
+    assert store.append(batch, "1", "x") == stores.Counts(1, 2, 1, 1)
     assert sorted(r["reason"] for r in store.rejects().collect()) == ["another source", "no valid identity"]
     failing = batch.withColumn("title", F.raise_error(F.lit("broken")))
     with pytest.raises(Exception, match="broken"):
