@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as T, urls as U
@@ -68,10 +71,21 @@ def normalized(records: DataFrame, now: Column | None = None, keep: tuple[str, .
     """The snapshot columns, captured_at, raw_json, dedup_key (null: invalid) and content_hash, with the columns in keep.
     Without a status a record is complete if it has a description. now: captured_at where there is none. include_raw: whether a
     raw_json that is made of the record repeats its markup."""
-    have = set(records.columns)
+    kinds = tuple((f.name, f.dataType.typeName() in ("array", "struct", "map")) for f in records.schema)
+    first, second, third = _columns(id(SparkContext._gateway), kinds, include_raw)
+    stamp = F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    out = records.select(*keep, *first).withColumns(second | {"captured_at": F.coalesce("captured_at", stamp)})
+    return out.withColumn("dedup_key", third).withColumn("content_hash", content_hash(SNAPSHOT_FIELDS)).drop("_status", "_key")
+
+
+@lru_cache(maxsize=32)
+def _columns(gateway: int, kinds: tuple[tuple[str, bool], ...], include_raw: bool) -> tuple[list[Column], dict[str, Column], Column]:
+    """The expressions of normalized() for records of these columns (name, whether it is nested). Writing them takes thousands of
+    calls of the JVM behind `gateway`, so those for one kind of records are written once."""
+    have = {name for name, _ in kinds}
 
     def of(field: str) -> Column:
-        cols = [F.to_json(F.col(a)) if records.schema[a].dataType.typeName() in ("array", "struct", "map") else F.col(a) for a in ALIASES[field] if a in have]
+        cols = [F.to_json(F.col(a)) if dict(kinds)[a] else F.col(a) for a in ALIASES[field] if a in have]
         return T.first_value(*cols)
 
     def col(name: str) -> Column:
@@ -79,26 +93,25 @@ def normalized(records: DataFrame, now: Column | None = None, keep: tuple[str, .
 
     fields = {f: _MAKE.get(f, T.text)(of(f)) for f in ALIASES}
     source = F.lower(F.coalesce(T.text(col("source")), F.lit("other")))
-    extras = F.to_json(F.struct(*(F.col(c) for c in sorted((records if include_raw else without_raw(records)).columns))))
+    extras = F.to_json(F.struct(*(F.col(c) for c in sorted(have) if include_raw or c not in MARKUP)))
     raw = T.first_value(col("raw_json"), col("raw"))
     raw_json = F.when(raw.isNull(), extras).otherwise(F.coalesce(canonical_json(raw), F.concat(F.lit('{"value":'), T.quoted(raw), F.lit("}"))))
-    out = records.select(*keep, source.alias("source"), *(c.alias(f) for f, c in fields.items()), T.text(col("capture_status")).alias("_status"), col("dedup_key").alias("_key"), raw_json.alias("raw_json"))
+    first = [source.alias("source"), *(c.alias(f) for f, c in fields.items()), T.text(col("capture_status")).alias("_status"), col("dedup_key").alias("_key"), raw_json.alias("raw_json")]
     site_id = U.extract_source_job_id(F.coalesce("canonical_url", "source_url"))
-    stamp = F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    out = out.withColumns(
-        {
-            "source_job_id": F.coalesce("source_job_id", F.when(F.col("source") == "linkedin", site_id)),
-            "capture_status": F.coalesce("_status", F.when(F.col("description").isNotNull(), "complete").otherwise("partial")),
-            "captured_at": F.coalesce("captured_at", stamp),
-        }
-    )
-    out = out.withColumn("dedup_key", dedup_key(F.col("source"), F.col("_key"), F.col("source_job_id"), F.col("canonical_url")))
-    return out.withColumn("content_hash", content_hash(SNAPSHOT_FIELDS)).drop("_status", "_key")
+    second = {
+        "source_job_id": F.coalesce("source_job_id", F.when(F.col("source") == "linkedin", site_id)),
+        "capture_status": F.coalesce("_status", F.when(F.col("description").isNotNull(), "complete").otherwise("partial")),
+    }
+    return first, second, dedup_key(F.col("source"), F.col("_key"), F.col("source_job_id"), F.col("canonical_url"))
+
+
+#: Columns of markup.
+MARKUP = ("raw_html", "description_html")
 
 
 def without_raw(records: DataFrame) -> DataFrame:
     """Records without their markup, which raw_json would repeat."""
-    return records.drop("raw_html", "description_html")
+    return records.drop(*MARKUP)
 
 
 #: Values that enumerated fields may have: fixed values.

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from functools import lru_cache
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as S
@@ -57,10 +58,14 @@ class Counts:
     new_contents: int = 0
 
 
+@lru_cache(maxsize=1)
+def log_columns() -> tuple[str, ...]:
+    return tuple(f.name for f in log_schema())
+
+
 def fold_rows(log: DataFrame) -> dict[str, tuple[folds.Fold, DataFrame]]:
     """The folds that a store keeps, and what each of them is over."""
-    names = [f.name for f in log_schema()]
-    return {"contents": (folds.contents(names), log), "identities": (folds.IDENTITIES, log), "hits": (folds.HITS, hit_rows(log))}
+    return {"contents": (folds.contents([*log_columns()]), log), "identities": (folds.IDENTITIES, log), "hits": (folds.HITS, hit_rows(log))}
 
 
 class Store(Versions):
@@ -220,7 +225,7 @@ class Store(Versions):
 
     def latest(self) -> DataFrame:
         """Each key's version to show, as history.latest() of the log, from the folds."""
-        return folds.latest(self.fold("contents"), [f.name for f in log_schema()])
+        return folds.latest(self.fold("contents"), [*log_columns()])
 
     def listings(self, **filters) -> DataFrame:
         """The export query, from the folds."""

@@ -59,8 +59,8 @@ def test_batches_are_whole_and_rejects_counted(spark, tmp_path):
     with store.writing(0), pytest.raises(TimeoutError):
         with store.writing(0.2):
             pass
-    fs, p = file_system(spark, f"{store.path}/_writer")
-    assert not fs.exists(p)
+    with store.writing(0):  # given back
+        pass
 
 
 def test_record_kinds(spark):
