@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import classify, html, text as T, urls as U
 from ..operators import history, joins, normalize
-from ..streaming.ingest import session_ranks
+from ..streaming.ingest import session_ranks, session_results
 from . import export
 
 QUERIES = {}
@@ -371,6 +371,26 @@ def session_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_ranks(log(spark, sf_dir).select(F.col("run_id").alias("session"), F.col("dedup_key").alias("identity"), "seq"), target=25, chunk=10)
 
 
+@query("""
+    , c AS (SELECT run_id AS session, substr(captured_at, 12, 2)::BIGINT AS round, seq, CASE WHEN capture_status = 'complete' AND NOT (run_id LIKE '%7' AND substr(captured_at, 12, 2) = '00') THEN dedup_key END AS identity FROM log WHERE substr(captured_at, 12, 2)::INT <= 6),
+    f AS (SELECT session, identity, min(round * 1000000000 + seq) place FROM c WHERE identity IS NOT NULL GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY place) rank FROM f),
+    s AS (SELECT session, max(round) last, min(round) = 0 AND count(identity) FILTER (WHERE round = 0) = 0 gone FROM c GROUP BY 1),
+    t AS (SELECT s.*, CASE WHEN gone THEN 0 ELSE coalesce((SELECT place // 1000000000 FROM r WHERE r.session = s.session AND rank = 12), last) END done, EXISTS (SELECT 1 FROM r WHERE r.session = s.session AND rank = 12) enough FROM s),
+    u AS (SELECT t.*, CASE WHEN gone THEN 0 ELSE (SELECT count(*) FROM r WHERE r.session = t.session AND place // 1000000000 <= done) END n FROM t)
+    SELECT session, n::BIGINT total_unique, least(n, 12)::BIGINT returned_total, done::BIGINT scrolls_completed, CASE WHEN gone THEN 'empty_search' WHEN enough THEN 'max_results' WHEN last >= 6 THEN 'max_scroll_rounds' END stop_reason,
+        NOT gone AND NOT enough AND last < 6 can_continue, (SELECT string_agg(identity, ',' ORDER BY rank) FROM r WHERE r.session = u.session AND rank <= 12 AND NOT gone) cards FROM u
+""")
+def search_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days as search sessions and hours as their rounds: the cards of each, and why it stops."""
+    none = F.lit(None).cast("string")
+    nothing = F.col("run_id").endswith("7") & (F.substring("captured_at", 12, 2) == "00")
+    cards = log(spark, sf_dir).select(F.col("run_id").alias("session"), F.substring("captured_at", 12, 2).cast("int").alias("round"), "seq", F.when((F.col("capture_status") == "complete") & ~nothing, F.col("dedup_key")).otherwise(none).alias("identity"))
+    found, sessions = session_results(cards, target=12, max_rounds=6, chunk=5)
+    lists = found.groupBy("session").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "identity"))), lambda c: c["identity"]), ",").alias("cards"))  # 12 at most
+    return sessions.join(lists, "session", "left")
+
+
 @query("""
     , j AS (SELECT dedup_key, row_number() OVER (ORDER BY min(seq)) job_id FROM log GROUP BY 1) SELECT dedup_key, job_id FROM j
 """)

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..plans.store import Store
 from ..plans.versions import Folder
@@ -105,6 +106,97 @@ def session_chunks(cards: DataFrame, target: int, session_col: str = "session",
     return cards.groupBy(session_col).applyInPandasWithState(step, f"{session_col} string, {id_col} string, rank long", "ids array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
+#: Why a search session ends: fixed values.
+EMPTY, ENOUGH, ROUNDS = "empty_search", "max_results", "max_scroll_rounds"
+SESSION_ROWS = "session string, identity string, rank long, chunk long, total_unique long, returned_total long, scrolls_completed long, stop_reason string"
+
+
+class Session(StatefulProcessor):
+    """A search session's cards over any number of batches: which are new, and why it stops. Its state is its ids (at most those of
+    the round in which it reaches its target, so the target and a page bound it), the last round and the reason."""
+
+    def __init__(self, target: int, max_rounds: int, chunk: int):
+        self.target, self.max_rounds, self.chunk = target, max_rounds, chunk
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.ids = handle.getListState("ids", "identity string")
+        self.at = handle.getValueState("at", "round long, reason string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        last, reason = self.at.get() if self.at.exists() else (-1, None)
+        if reason:
+            return
+        seen = dict.fromkeys(r[0] for r in self.ids.get()) if self.ids.exists() else {}
+        before, out = len(seen), []
+        cards = pd.concat(list(rows)).sort_values(["round", "seq"], kind="stable")
+        for number, page in cards.groupby("round", sort=True):
+            if number > self.max_rounds:
+                break
+            found = [i for i in page["identity"] if isinstance(i, str)]
+            last = max(last, int(number))
+            if last == 0 and not found and not seen:
+                reason = EMPTY
+                break
+            for i in found:
+                if i not in seen:
+                    seen[i] = None
+                    if len(seen) <= self.target:
+                        out.append((key[0], i, len(seen), (len(seen) - 1) // self.chunk, None, None, None, None))
+            if len(seen) >= self.target:
+                reason = ENOUGH
+                break
+        if not reason and last >= self.max_rounds:
+            reason = ROUNDS
+        new = list(seen)[before:]
+        if new:
+            self.ids.appendList([(i,) for i in new])
+        self.at.update((last, reason))
+        if reason:
+            out.append((key[0], None, None, None, len(seen), min(len(seen), self.target), last, reason))
+        yield pd.DataFrame(out, columns=["session", "identity", "rank", "chunk", "total_unique", "returned_total", "scrolls_completed", "stop_reason"]).astype({c: "Int64" for c in ("rank", "chunk", "total_unique", "returned_total", "scrolls_completed")})
+
+    def close(self) -> None:
+        pass
+
+
+def _checked(target: int, max_rounds: int, chunk: int) -> None:
+    if not (1 <= max_rounds <= 5000 and target >= 1 and chunk >= 1):
+        raise ValueError("max_rounds is 1 to 5000; target and chunk are positive")
+
+
+def sessions(cards: DataFrame, target: int, max_rounds: int = 250, chunk: int = 50) -> DataFrame:
+    """A stream of (session, round, seq, identity) as SESSION_ROWS: each card that is new in its session, up to target, with its rank
+    and chunk; and a row without identity when the session stops, with its figures and the reason: its first page was empty
+    (a row without identity in round 0), it has target cards, or it has been through max_rounds rounds. What comes after
+    isn't looked at. A round's rows belong in one batch; rounds come in order."""
+    _checked(target, max_rounds, chunk)
+    return cards.groupBy("session").transformWithStateInPandas(Session(target, max_rounds, chunk), SESSION_ROWS, "append", "none")
+
+
+def session_results(cards: DataFrame, target: int, max_rounds: int = 250, chunk: int = 50) -> tuple[DataFrame, DataFrame]:
+    """The same over a table: (session, identity, rank, chunk) of the cards, and a row a session with its figures, the reason (null:
+    it hasn't stopped), and whether it can go on."""
+    from pyspark.sql import Window as W
+
+    _checked(target, max_rounds, chunk)
+    rows = cards.where(F.col("round") <= max_rounds)
+    firsts = rows.where("identity is not null").groupBy("session", "identity").agg(F.min(F.struct("round", "seq")).alias("at"))
+    ranked = firsts.withColumn("rank", F.row_number().over(W.partitionBy("session").orderBy("at")).cast("long"))
+    found = ranked.where(F.col("rank") <= target).select("session", "identity", "rank", F.floor((F.col("rank") - 1) / chunk).cast("long").alias("chunk"))
+    reached = ranked.where(F.col("rank") == target).select("session", F.col("at.round").alias("reached"))
+    seen = ranked.select("session", F.col("at.round").alias("round")).groupBy("session", "round").agg(F.count("*").alias("new"))
+    rounds = rows.groupBy("session").agg(F.max("round").alias("last"), F.min("round").alias("began"), F.count(F.when(F.col("round") == 0, F.col("identity"))).alias("at_first"))
+    known = rounds.join(reached, "session", "left")
+    empty = (F.col("began") == 0) & (F.col("at_first") == 0)
+    reason = F.when(empty, EMPTY).when(F.col("reached").isNotNull(), ENOUGH).when(F.col("last") >= max_rounds, ROUNDS)
+    known = known.withColumn("stop_reason", reason).withColumn("scrolls_completed", F.when(empty, 0).otherwise(F.coalesce("reached", "last")).cast("long"))
+    total = known.select("session", "scrolls_completed").join(seen, "session").where(F.col("round") <= F.col("scrolls_completed")).groupBy("session").agg(F.sum("new").alias("total_unique"))
+    out = known.join(total, "session", "left").withColumn("total_unique", F.when(empty, 0).otherwise(F.coalesce("total_unique", F.lit(0))).cast("long"))
+    out = out.withColumns({"returned_total": F.least("total_unique", F.lit(target)).cast("long"), "can_continue": F.col("stop_reason").isNull()})
+    stopped = out.where(F.col("stop_reason") == EMPTY).select("session")
+    return found.join(stopped, "session", "left_anti"), out.select("session", "total_unique", "returned_total", "scrolls_completed", "stop_reason", "can_continue")
+
+
 def session_ranks(cards: DataFrame, target: int, chunk: int, session_col: str = "session", id_col: str = "identity", order: str = "seq") -> DataFrame:
     """The same over a table: first arrivals by rank up to target, with the chunk that each comes in."""
     from pyspark.sql import Window as W
