@@ -44,3 +44,11 @@ def details(pages: DataFrame, today: Column | None = None, url_col: str = "url",
         *(pay[c].alias(c) for c in ("salary_min", "salary_max", "salary_currency", "salary_interval", "salary_text")),
         F.when(complete, "complete").otherwise("partial").alias("capture_status"),
     )
+
+
+def search_cards(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """A row per card of each landed search page: the page's columns but its markup, the card's place in it (from 0), and what it says
+    (html.CARD). Pages without cards have none."""
+    kept = [c for c in pages.columns if c != html_col]
+    rows = pages.select(*kept, F.posexplode(html.cards_in(F.col(html_col), F.col(url_col))).alias("place", "card"))
+    return rows.select(*kept, F.col("place").cast("long").alias("place"), *(F.col(f"card.{f}").alias(f) for f in html.CARD))

@@ -78,3 +78,20 @@ def direct_stubs(urls: DataFrame) -> DataFrame:
     rows = urls.withColumn("source_job_id", U.extract_listing_id(F.col("url"))).withColumn("source_url", U.listing_url(F.col("source_job_id"), F.col("url")))
     one = rows.groupBy(F.coalesce("source_job_id", "source_url").alias("identity")).agg(F.min("rank").alias("search_rank"), F.min_by(F.struct("source_job_id", "source_url"), "rank").alias("r"))
     return one.select("r.source_job_id", "r.source_url", F.col("r.source_url").alias("canonical_url"), F.lit("Unknown company").alias("company"), F.lit("Unknown role").alias("title"), F.lit("").alias("description"), F.lit("partial").alias("capture_status"), "search_rank")
+
+
+def due_requests(stubs: DataFrame, attempts: DataFrame, sessions: DataFrame, ids: DataFrame, urls: DataFrame, retries: int = 1) -> DataFrame:
+    """The detail requests to make now: identity, its least rank, and the number of the attempt.
+
+    stubs: (session, identity, rank, source_job_id, canonical_url), in as many sessions as found it; attempts: (identity, ok), a row
+    for each request made; sessions: (session, stop_reason). A listing is due once every session that found it has stopped looking,
+    if its details aren't known, no attempt was a success, and it has failed at most `retries` times. An attempt without an answer
+    (ok is null) has failed. Each listing is asked for once at a time, whatever found it."""
+    if retries < 0:
+        raise ValueError("retries must not be negative")
+    made = attempts.groupBy("identity").agg(F.count("*").alias("made"), F.coalesce(F.bool_or("ok"), F.lit(False)).alias("ok"))
+    open_ones = sessions.where("stop_reason is null").select("session", F.lit(True).alias("_open"))
+    found = unknown(stubs, ids, urls).join(open_ones, "session", "left")
+    one = found.groupBy("identity").agg(F.min("rank").alias("rank"), F.coalesce(F.bool_or("_open"), F.lit(False)).alias("open")).where(~F.col("open"))
+    rows = one.join(made, "identity", "left").where(~F.coalesce("ok", F.lit(False)) & (F.coalesce("made", F.lit(0)) <= retries))
+    return rows.select("identity", "rank", (F.coalesce("made", F.lit(0)) + 1).alias("attempt"))

@@ -311,6 +311,42 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce("source_job_id", F.lit("")).alias("id"), "company", "title", "description", "location", "workplace_type", "employment_type", "posted_at", "seniority_level", "apply_url", "salary_text", "capture_status")
 
 
+@query(r"""
+    SELECT page_id, k::BIGINT place, CASE WHEN k = 1 THEN '' ELSE 'urn:li:jobPosting:' || page_id || k END entity_urn, 'https://www.linkedin.com/jobs/view/' || page_id || k || '?x=1' href, 'Lead ' || k title, 'Org ' || page_id company, 'Oslo' AS location,
+        CASE k WHEN 0 THEN '2024-02-03' ELSE '2 days ago' END posted_at FROM pages, (SELECT unnest([0, 2]) k) WHERE page_id % 3 = 0
+    UNION ALL SELECT page_id, k, '', 'https://www.linkedin.com/jobs/view/' || page_id || k, CASE k WHEN 0 THEN 'Only link' ELSE '' END, '', '', '' FROM pages, (SELECT unnest([0, 1]) k) WHERE page_id % 3 = 1
+""".replace("k::BIGINT place", "(k // 2)::BIGINT place"))
+def search_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search pages over the raw pages: cards with URNs (a link beside them is none), links only, and no cards."""
+    k = F.col("page_id").cast("string")
+    card = lambda i, time: F.concat(
+        F.lit('<li><div class="base-card" data-entity-urn="urn:li:jobPosting:'), k, F.lit(f'{i}"><a class="base-card__full-link" href="/jobs/view/'), k, F.lit(f'{i}?x=1"> <span class="sr-only">Other</span></a><h3 class="base-search-card__title"> Lead\n {i} </h3><h4>Org '), k, F.lit(f'</h4><span class="job-search-card__location">Oslo</span>{time}</div></li>')
+    )
+    named = F.concat(F.lit("<ul>"), card(0, '<time datetime="2024-02-03">x</time>'), F.lit('<li><a href="/jobs/view/999">beside</a></li>'), card(2, "<time> 2 days\n ago</time>"), F.lit("</ul>"))
+    links = F.concat(F.lit('<ul><li class="x"><h3>Only link</h3><a href="/jobs/view/'), k, F.lit('0">a</a></li></ul><div><a href="https://www.linkedin.com/jobs/view/'), k, F.lit('1">b</a></div><a href="/jobs/search">no</a>'))
+    made = F.when(F.col("page_id") % 3 == 0, named).when(F.col("page_id") % 3 == 1, links).otherwise(F.lit(""))
+    pages = table(spark, sf_dir, "pages").select("page_id", F.lit("https://www.linkedin.com/jobs/search?q=1").alias("url"), F.concat(made, F.lit("\n"), F.coalesce("html", F.lit(""))).alias("html"))
+    return detail.search_cards(pages).drop("url", "card_text")
+
+
+@query("""
+    , c AS (SELECT DISTINCT run_id AS session, dedup_key AS identity FROM log), f AS (SELECT run_id AS session, dedup_key AS identity, min(seq) rank FROM log GROUP BY ALL),
+    a AS (SELECT dedup_key AS identity, count(*) made, bool_or(event_type = 'purchase') ok FROM log WHERE seq % 17 = 0 GROUP BY 1)
+    SELECT identity, min(rank) rank, (coalesce(any_value(made), 0) + 1)::BIGINT attempt FROM f LEFT JOIN a USING (identity) WHERE identity::INT % 9 <> 0 GROUP BY identity
+    HAVING NOT bool_or(session > '2024-01-29' AND identity::INT % 5 = 0) AND NOT coalesce(any_value(ok), false) AND coalesce(any_value(made), 0) <= 1
+""")
+def due_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail requests that are due: found by sessions that have stopped, not known, without success, failed once at most."""
+    rows = log(spark, sf_dir)
+    stubs = rows.groupBy(F.col("run_id").alias("session"), F.col("dedup_key").alias("identity")).agg(F.min("seq").alias("rank")).withColumns({"source_job_id": F.col("identity"), "canonical_url": none()})
+    last = (F.col("session") > "2024-01-29") & (F.col("identity").cast("int") % 5 == 0)
+    stubs = stubs.withColumn("session", F.when(last, F.concat("session", F.lit(" open"))).otherwise(F.col("session")))
+    sessions = stubs.select("session").distinct().withColumn("stop_reason", F.when(~F.col("session").endswith("open"), "max_results"))
+    attempts = rows.where(F.col("seq") % 17 == 0).select(F.col("dedup_key").alias("identity"), (F.col("event_type") == "purchase").alias("ok"))
+    known = rows.where(F.col("dedup_key").cast("int") % 9 == 0).select(F.col("dedup_key").alias("source_job_id")).distinct()
+    return joins.due_requests(stubs, attempts, sessions, known, known.select(F.col("source_job_id").alias("canonical_url")))
+
+
 @query(r"SELECT doc_id, array_to_string(list_filter(['Head ' || doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')), '© tail'], lambda x: x <> ''), chr(10)) shown FROM documents")
 def html_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as pages, with scripts, styles, comments and entities around them."""

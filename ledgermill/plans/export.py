@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import uuid
 from datetime import date, datetime, timezone
 from pathlib import PurePosixPath
@@ -105,37 +107,66 @@ def tracker(rows: DataFrame, language: str = "en") -> DataFrame:
     return rows.select(*(T.csv_safe_cell(values.get(en, F.lit(""))).alias(ru if language == "ru" else en) for en, ru in TRACKER.items()))
 
 
-def _csv(rows: DataFrame, path: str) -> None:
-    rows.coalesce(1).write.options(header=True, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n").csv(path)
+def _csv(rows: DataFrame, path: str) -> str:
+    """Writes the cells of rows as part files; the header line."""
+    cells = rows.select(*(T.csv_safe_cell(F.col(c)).alias(c) for c in rows.columns))
+    cells.write.options(header=False, escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, lineSep="\n").csv(path)
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(rows.columns)
+    return header.getvalue()
+
+
+def joined(spark: SparkSession, head: str, folder: str, output: str) -> None:
+    """One file of a first text and the part files of a folder in their order, put in the place of output at once. The parts are
+    joined by the file system where it can (no byte is moved), else they are copied one behind the other, in blocks."""
+    jvm = spark._jvm
+    fs, stage = file_system(spark, f"{folder}/joined")
+    parts = sorted((s.getPath() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*"))), key=lambda p: p.getName())
+    out = fs.create(stage, True)
+    try:
+        out.write(bytearray(head.encode()))
+        if fs.getUri().getScheme() != "hdfs":
+            for part in parts:
+                source = fs.open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+                finally:
+                    source.close()
+    finally:
+        out.close()
+    if fs.getUri().getScheme() == "hdfs" and parts:
+        full = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(parts))
+        for i, part in enumerate(parts):
+            full[i] = part
+        fs.concat(stage, full)
+    renamed(spark, stage.toString(), output)
 
 
 def write(rows: DataFrame, output: str, format: str | None = None, inputs: tuple[str, ...] = ()) -> int:
-    """Writes an export as one file and returns its rows. The file is staged beside the output and renamed once it is
-    whole, so a failure leaves an earlier one as it was."""
+    """Writes an export as one file and returns its rows. Every task writes its part of the rows, in their order; the parts are then
+    joined beside the output and put in its place, so a failure leaves an earlier one as it was."""
     kind, spark = format_of(format, output), rows.sparkSession
     if any(same_place(spark, output, i) for i in inputs):
         raise ValueError("the output would overwrite an input")
     rows = rows.persist()
+    stage = f"{output.rpartition('/')[0] or '.'}/.staged-{uuid.uuid4().hex}"
+    fs, staged = file_system(spark, stage)
     try:
-        n = rows.count()
-        stage = f"{output.rpartition('/')[0] or '.'}/.staged-{uuid.uuid4().hex}"
+        place = F.monotonically_increasing_id()
+        n, last = rows.select(place.alias("i")).agg(F.count("*"), F.max("i")).first()
         if kind in ("jsonl", "json"):
             lines = rows.select(json_lines(rows).alias("value"))
             if kind == "json":
-                ordered = lines.coalesce(1).withColumn("i", F.monotonically_increasing_id())
-                first, last = F.col("i") == 0, F.col("i") == n - 1
-                lines = ordered.orderBy("i").coalesce(1).select(F.concat(F.when(first, "[\n").otherwise(""), "value", F.when(last, "\n]").otherwise(",")).alias("value")) if n else spark.createDataFrame([("[\n\n]",)], "value string")
-            lines.coalesce(1).write.text(stage)
+                end = F.when(F.col("i") == last, "\n]").otherwise(",") if n else F.lit("")
+                lines = lines.withColumn("i", place).select(F.concat("value", end).alias("value"))
+            lines.write.text(stage)
+            head = "" if kind == "jsonl" else "[\n" if n else "[\n\n]\n"
         elif kind == "csv":
-            _csv(rows.select(*(T.csv_safe_cell(F.col(c)).alias(c) for c in rows.columns)), stage)
+            head = _csv(rows, stage)
         else:
-            _csv(tracker(rows, "ru" if kind.endswith("ru") else "en"), stage)
-        fs, staged = file_system(spark, stage)
-        try:
-            part = next(s.getPath() for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{stage}/part-*")))
-            renamed(spark, part.toString(), output)
-        finally:
-            fs.delete(staged, True)
+            head = _csv(tracker(rows, "ru" if kind.endswith("ru") else "en"), stage)
+        joined(spark, head, stage, output)
         return n
     finally:
+        fs.delete(staged, True)
         rows.unpersist()
