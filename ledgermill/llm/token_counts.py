@@ -8,7 +8,9 @@ words are cached."""
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -22,6 +24,9 @@ UNKNOWN_PENALTY = 10.0
 #: Cached words of a Python worker, and the longest of them in bytes: about 60 MB. In scripts without spaces a word can be
 #: a paragraph; long words hardly come again.
 CACHE_WORDS, CACHED_WORD = 400_000, 64
+#: Bytes of a word up to which all its places are held; a longer one is read in slices of so many, and of its places only as
+#: many are held as the longest piece has characters.
+LONG_WORD = 1 << 16
 
 
 class Counter(dict):
@@ -29,16 +34,17 @@ class Counter(dict):
 
     def __init__(self, pieces: Iterable[tuple[str, float]]):
         super().__init__()
-        self.automaton, least = ahocorasick.Automaton(), 0.0
+        self.automaton, least, self.longest = ahocorasick.Automaton(), 0.0, 1
         for piece, score in pieces:
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
+                self.longest = max(self.longest, len(piece))
             least = min(least, score)
         self.automaton.make_automaton()
         self.unknown = least - UNKNOWN_PENALTY
 
     def __missing__(self, word: bytes) -> int:
-        n = self.pieces(SPACE + word.decode("utf-8", "replace"))
+        n = self.pieces(SPACE + word.decode("utf-8", "replace")) if len(word) <= LONG_WORD else self.pieces_of_slices(word, LONG_WORD)
         if len(word) <= CACHED_WORD:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -74,6 +80,43 @@ class Counter(dict):
         return count[-1]
 
 
+    def pieces_of_slices(self, word: bytes, size: int) -> int:
+        """pieces() of SPACE + word, in memory that doesn't grow with it: best and count are rings over the last places, of which only
+        the one after `done` has been looked at. A slice is searched with what stands before it, as far as a piece may reach back;
+        matches that end there have been seen."""
+        unknown, mask, back = self.unknown, (1 << self.longest.bit_length()) - 1, self.longest - 1
+        best: list[float | None] = [None] * (mask + 1)
+        count = [0] * (mask + 1)
+        best[0] = 0.0
+        done = single = begin = 0  # text[0] stands at place `begin`
+        decoder, text = codecs.getincrementaldecoder("utf-8")("replace"), SPACE
+        for i in range(0, len(word), size):
+            known = len(text) if i else 0
+            text += decoder.decode(word[i : i + size], i + size >= len(word))
+            for at, (length, score) in chain(self.automaton.iter(text), [(len(text), (0, 0.0))]):  # at last a match of nothing, which closes the slice
+                if at < known:
+                    continue
+                while done < begin + at:
+                    done += 1
+                    here = done & mask
+                    if single != done:
+                        alone = best[(done - 1) & mask] + unknown
+                        if best[here] is None or alone > best[here]:
+                            best[here], count[here] = alone, count[(done - 1) & mask] + len(text[done - 1 - begin].encode("utf-8", "surrogatepass"))
+                    best[(done + 1) & mask] = None
+                if length:
+                    end = begin + at + 1
+                    here, start = end & mask, (end - length) & mask
+                    score += best[start]
+                    if best[here] is None or score > best[here]:
+                        best[here], count[here] = score, count[start] + 1
+                    if length == 1:
+                        single = end
+            begin += max(0, len(text) - back)
+            text = text[max(0, len(text) - back) :]
+        return count[done & mask]
+
+
 def words(text: bytes) -> list[bytes]:
     """What the spaces of a text part; the sign for a space is one."""
     return text.replace(SPACE.encode(), b" ").split()
