@@ -8,8 +8,10 @@
    sizes and the shingle's places allow a link, and kept if their bitmap signatures do: the bits in which two differ
    bound their overlap from above. Where more meet, they are joined in a chain by size, never in all pairs. The
    components of pairs and chains hold every link.
-3. Each component is laid out as tiles. A small one is one tile; a large one is cut into blocks by size band, and a
-   tile is a pair of blocks whose bands can link. In a tile, bitmaps as wide as its largest set asks bound the overlap
+3. Each component is laid out as tiles. A small one is one tile. A large one is cut into blocks by size band, and each block
+   first meets some pivots, sets of its own and the next bands: the near copies of one text are connected by these, in rows
+   that grow with their number. Of what isn't connected then, a tile is a pair of blocks whose bands can link; pairs within the
+   largest group that is connected already are left out. In a tile, bitmaps as wide as its largest set asks bound the overlap
    again, and only pairs that pass and aren't connected yet are intersected as sorted arrays.
 4. Links found in tiles are joined to components."""
 
@@ -22,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import modest_batches, released, rows_of, saved, small
 from .components import components
@@ -39,6 +41,8 @@ RANGE_POSTINGS = 400_000
 PACK_POSTINGS = 600_000
 #: A block of a tile holds about so many sets, and so many shingles, at most.
 BLOCK_SETS, BLOCK_SHINGLES = 400, 1_000_000
+#: Sets of a size band of a large component that its blocks meet first, about.
+PIVOTS = 32
 #: Words whose hashes a Python worker keeps, and the longest of them in bytes: 20 MB.
 CACHE_WORDS, CACHED_WORD = 100_000, 64
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -374,17 +378,26 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     pairs = met.where("not chained").select("a", "b").join(x, "a").join(y, "b").where(may("bits_a", "bits_b", "n_a", "n_b"))
     near = components(met.where("chained").select("a", "b").unionByName(pairs.select("a", "b")))
     groups = saved(reps.where("rep is not null").join(near.select(F.col("node").alias("s1"), F.col("root").alias("comp")), "s1").select("s1", "s2", "rep", "n", "comp"), "ngram-groups")
-    tiles = saved(_laid_out(groups), "ngram-tiles")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _read(batches):
             names = [_name(s) for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["s1", "s2", "shingles"])
 
-    texts = slim.join(small(groups.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
-    sets = texts.mapInArrow(shingled, "s1 long, s2 long, shingles binary").join(small(tiles), ["s1", "s2"])
-    tiled = sets.select("tile", "single", "side", "s1", "shingles").repartition("tile").sortWithinPartitions("tile")
-    links = saved(tiled.mapInArrow(_tiles, "node long, root long, single boolean"), "ngram-links")
+    def linked_in(laid: DataFrame) -> DataFrame:
+        tiles = saved(laid, "ngram-tiles")
+        texts = slim.join(small(tiles.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
+        sets = texts.mapInArrow(shingled, "s1 long, s2 long, shingles binary").join(small(tiles), ["s1", "s2"])
+        tiled = sets.select("tile", "single", "side", "s1", "shingles").repartition("tile").sortWithinPartitions("tile")
+        return saved(tiled.mapInArrow(_tiles, "node long, root long, single boolean"), "ngram-links")
+
+    first_tiles, large = _laid_out(groups)
+    links = linked_in(first_tiles)
+    if large is not None:
+        clusters = components(links.where("not single").select(F.col("node").alias("a"), F.col("root").alias("b")))
+        rest = _rest_laid_out(large, clusters)
+        if rest is not None:
+            links = saved(links.unionByName(linked_in(rest)), "ngram-links")
     # A component that is one tile is done there; links of others are joined.
     across = components(links.where("not single").select(F.col("node").alias("a"), F.col("root").alias("b")))
     roots = links.where("single").select("node", "root").unionByName(across.select("node", "root"))
@@ -396,28 +409,51 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "s1", "s2")
 
 
-def _laid_out(groups: DataFrame) -> DataFrame:
-    """(s1, s2, rep, tile, side, single): each set with every tile that it stands in."""
+def _blocks(sets: Column, shingles: Column) -> Column:
+    return F.ceil(F.greatest(sets / BLOCK_SETS, shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _laid_out(groups: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The first tiles, (s1, s2, rep, tile, side, single): small components whole, and each block of a large one with its pivots;
+    and the sets of large components (None: there are none)."""
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(4 / 3))).cast("int")  # linked sets' bands differ by 1 at most
     groups = groups.withColumn("band", band)
     bands = groups.groupBy("comp", "band").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
     whole = bands.groupBy("comp").agg(F.sum("sets").alias("all_sets"), F.sum("shingles").alias("all_shingles"))
     is_small = (F.col("all_sets") <= BLOCK_SETS) & (F.col("all_shingles") <= BLOCK_SHINGLES)
-    sized = saved(bands.join(whole, "comp").withColumn("single", is_small).withColumn("blocks", F.ceil(F.greatest(F.col("sets") / BLOCK_SETS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")), "ngram-bands")
+    sized = saved(bands.join(whole, "comp").withColumn("single", is_small).withColumn("blocks", _blocks(F.col("sets"), F.col("shingles"))), "ngram-bands")
     one = groups.join(small(sized.where("single").select("comp").distinct()), "comp", "left_semi")
     one = one.select("s1", "s2", "rep", F.xxhash64("comp").alias("tile"), F.lit(2).alias("side"), F.lit(True).alias("single"))
-    large = saved(sized.where("not single").select("comp", "band", "blocks"), "ngram-large")
+    share = F.least(F.lit(PIVOTS) / F.col("sets"), F.lit(BLOCK_SHINGLES / 4) / F.col("shingles"))  # of a band's sets that are pivots
+    large = saved(sized.where("not single").select("comp", "band", "blocks", share.alias("share")), "ngram-large")
     if large.isEmpty():
-        return one
-    cut = groups.join(small(large), ["comp", "band"]).withColumn("block", F.pmod(F.xxhash64("s2"), F.col("blocks")).cast("int"))
-    # A set meets the blocks of its own band and of the next; the block pair names the tile.
-    mates = small(large.select("comp", F.col("band").alias("band2"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block2")))
-    down = cut.join(mates, "comp").where("band2 = band + 1 or (band2 = band and block2 >= block)").select("*", F.lit(0).alias("at"))
-    up = cut.join(mates, "comp").where("band2 = band - 1 or (band2 = band and block2 < block)").select("*", F.lit(1).alias("at"))
-    lower, upper = F.struct("band", "block"), F.struct(F.col("band2").alias("band"), F.col("block2").alias("block"))
-    many = down.select("s1", "s2", "rep", "comp", lower.alias("x"), upper.alias("y"), "at").unionByName(up.select("s1", "s2", "rep", "comp", upper.alias("x"), lower.alias("y"), "at"))
-    side = F.when(F.col("x") == F.col("y"), F.lit(2)).otherwise(F.col("at"))
-    return one.unionByName(many.select("s1", "s2", "rep", F.xxhash64("comp", "x", "y").alias("tile"), side.alias("side"), F.lit(False).alias("single")))
+        return one, None
+    cut = saved(groups.join(small(large), ["comp", "band"]).withColumn("block", F.pmod(F.xxhash64("s2"), F.col("blocks")).cast("int")), "ngram-cut")
+    pivots = cut.where(F.xxhash64("s1", "s2", F.lit(5)) / F.lit(2.0**64) + 0.5 < F.col("share")).select("s1", "s2", "rep", "comp", "band")
+    near = small(large.select("comp", F.col("band").alias("band2"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block2")))
+    tile = lambda band, block: F.xxhash64("comp", band, block, F.lit("pivots")).alias("tile")
+    members = cut.select("s1", "s2", "rep", tile("band", "block"), F.lit(0).alias("side"), F.lit(False).alias("single"))
+    meet = pivots.join(near, "comp").where("abs(band2 - band) <= 1").select("s1", "s2", "rep", tile("band2", "block2"), F.lit(1).alias("side"), F.lit(False).alias("single"))
+    return one.unionByName(members).unionByName(meet), cut.select("s1", "s2", "rep", "n", "comp", "band")
+
+
+def _rest_laid_out(large: DataFrame, clusters: DataFrame) -> DataFrame | None:
+    """The tiles of what the pivots left: pairs of blocks whose bands can link, but none within a component's largest cluster.
+    None: nothing is left."""
+    known = large.join(clusters.select(F.col("node").alias("s1"), "root"), "s1", "left").withColumn("root", F.coalesce("root", "s1"))
+    sizes = saved(known.groupBy("comp", "root").agg(F.count("*").alias("sets")), "ngram-clusters")
+    most = saved(sizes.groupBy("comp").agg(F.max(F.struct("sets", "root"))["root"].alias("largest"), F.count("*").alias("clusters")).where("clusters > 1"), "ngram-largest")
+    if most.isEmpty():
+        return None
+    left = saved(known.join(small(most.drop("clusters")), "comp").withColumn("apart", (F.col("root") != F.col("largest")).cast("int")).drop("root", "largest"), "ngram-left")
+    parts = saved(left.groupBy("comp", "band", "apart").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks")), "ngram-parts")
+    cut = left.join(small(parts), ["comp", "band", "apart"]).withColumn("me", F.struct("band", "apart", F.pmod(F.xxhash64("s2"), F.col("blocks")).cast("int").alias("block")))
+    mates = parts.select("comp", "band", "apart", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).select("comp", F.struct("band", "apart", "block").alias("other"))
+    pairs = cut.join(small(saved(mates, "ngram-mates")), "comp").where((F.abs(F.col("me.band") - F.col("other.band")) <= 1) & (F.col("me.apart") + F.col("other.apart") > 0))
+    first = F.col("me") < F.col("other")
+    low, high = F.when(first, F.col("me")).otherwise(F.col("other")), F.when(first, F.col("other")).otherwise(F.col("me"))
+    side = F.when(F.col("me") == F.col("other"), 2).when(first, 0).otherwise(1)
+    return pairs.select("s1", "s2", "rep", F.xxhash64("comp", low, high).alias("tile"), side.alias("side"), F.lit(False).alias("single"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
