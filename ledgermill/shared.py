@@ -77,10 +77,18 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Rows of a narrow table that one task may sort: a few MB.
+ONE_TASK_ROWS = 100_000
+
+
 def running_total(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
-    """df (narrow rows of different `order`) with the sum of value up to each row. Range partitions are written once with
-    their numbers and summed, then each takes its start from those before: no task sees all rows."""
-    parted = saved(df.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id()), "ranges")
+    """df (narrow rows of different `order`) with the sum of value up to each row. A table of at most ONE_TASK_ROWS is one window.
+    Of a larger one, range partitions are written once with their numbers and summed, then each takes its start from those
+    before: no task sees all rows."""
+    rows = saved(df, "running")
+    if rows.count() <= ONE_TASK_ROWS:
+        return rows.withColumn(name, F.sum(value).over(W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)).cast("long"))
+    parted = saved(rows.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id()), "ranges")
     sums = parted.groupBy("_part").agg(F.sum(value).alias("_sum"))  # a row per partition
     starts = sums.select("_part", (F.sum("_sum").over(W.orderBy("_part")) - F.col("_sum")).alias("_start"))
     inside = F.sum(value).over(W.partitionBy("_part").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow))
