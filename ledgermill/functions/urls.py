@@ -117,3 +117,9 @@ def search_url(keywords: str, location: str, filters: dict) -> str:
             query[name] = ",".join(known)
     query["sortBy"] = "DD" if filters.get("sort_by", "recent") == "recent" else "R"
     return f"https://www.{LISTING_SITE}/jobs/search/?{urlencode(query)}"
+
+
+def search_url_of(keywords: Column, location: Column, filters: dict) -> Column:
+    """search_url() for columns of keywords and locations under the same filters; null where either is."""
+    rest = search_url("", "", filters).partition("&location=")[2]
+    return F.concat(F.lit(f"https://www.{LISTING_SITE}/jobs/search/?keywords="), form_encoded(keywords), F.lit("&location="), form_encoded(location), F.lit(rest))

@@ -363,38 +363,46 @@ def longest_description(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'listed' AS what, 'demo' AS shown UNION ALL SELECT 'listed', 'jsonl' UNION ALL SELECT 'url', 'https://www.linkedin.com/jobs/search/?keywords=a+%22b%22&location=Worldwide&f_TPR=r604800&f_E=4&f_WT=2&f_JT=F%2CC&sortBy=DD'
-    UNION ALL SELECT 'url', 'https://www.linkedin.com/jobs/search/?keywords=x&location=Oslo&f_E=2&sortBy=R' UNION ALL SELECT 'limit', '7' UNION ALL SELECT 'limit', '500' UNION ALL SELECT 'format', 'tracker-csv' UNION ALL SELECT 'format', 'csv' UNION ALL SELECT 'format', 'jsonl'
-    UNION ALL SELECT 'query', 'k' UNION ALL SELECT 'store', 'configured' UNION ALL SELECT 'path', '/a/b' UNION ALL SELECT 'yes', 'True' UNION ALL SELECT 'disabled', 'refused' UNION ALL SELECT 'twice', 'refused' UNION ALL SELECT 'bounds', 'refused' UNION ALL SELECT 'overwrite', 'refused'
+    SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN 'https://www.linkedin.com/jobs/search/?keywords=' || replace(url_encode(s_name || ' "x" *~'), '%20', '+') || '&location=' || replace(url_encode(n_name), '%20', '+')
+        || CASE WHEN s_suppkey % 2 = 0 THEN '&f_TPR=r604800&f_E=4&f_WT=2&f_JT=F%2CC&sortBy=DD' ELSE '&f_E=2&sortBy=R' END END url,
+        CASE WHEN s_suppkey % 5 <> 0 THEN CASE WHEN s_suppkey % 2 = 0 THEN 500 ELSE 7 END END::INT max_results, CASE s_suppkey % 3 WHEN 0 THEN 'tracker-csv' WHEN 1 THEN 'csv' ELSE 'jsonl' END format
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """)
 def driver_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What sources, profiles, formats and settings come to: driver work, shown as rows."""
-
-    def refused(f) -> str:
+    """Suppliers as searches under three profiles, one of them disabled: what each asks for, and the format of its export."""
+    c = config.Config([config.Profile("even", "k"), config.Profile("odd", "k", "Oslo", 7), config.Profile("off", "k", "Oslo", 7, False)])
+    filters = {"even": vars(c.filters), "odd": {"date_posted": "someday", "experience_levels": ["entry", "wizard"], "sort_by": "relevant"}}
+    key = F.col("s_suppkey")
+    profile = F.when(key % 5 == 0, "off").when(key % 2 == 0, "even").otherwise("odd")
+    rows = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")).withColumn("profile", profile)  # nations: 25 rows at any scale
+    words, url, most = F.concat("s_name", F.lit(' "x" *~')), none(), F.lit(None).cast("int")
+    for name in ("even", "odd", "off"):
         try:
-            f()
-        except (ValueError, TypeError):
-            return "refused"
-        return "taken"
-
-    c = config.Config([config.Profile("a", ' a "b" '), config.Profile("b", "x", "Oslo", 7, False)])
-    other = {"date_posted": "someday", "experience_levels": ["entry", "wizard"], "sort_by": "relevant"}
-    rows = [("listed", s.slug) for s in registry.listed() if s.slug in ("demo", "jsonl")]
-    rows += [("url", U.search_url(c.resolved("a")["keywords"], c.resolved("a")["location"], vars(c.filters))), ("url", U.search_url("x", "Oslo", other))]
-    rows += [("limit", str(c.resolved("a", max_results=7)["max_results"])), ("limit", str(c.resolved("a")["max_results"]))] + [("format", export.format_of(*x)) for x in ((" Sheet", "a"), (None, "b.CSV"), (None, "c"))]
-    rows += [("query", config.run_options({"query": "", "keywords": "k"})["query"]), ("store", config.setting("store", None, "configured", {})), ("path", str(config.resolved_path("/a/b"))), ("yes", str(config.boolean("ON")))]
-    rows += [("disabled", refused(lambda: c.profile("b"))), ("twice", refused(lambda: registry.register(registry.Source("demo", "", lambda s: None)))), ("bounds", refused(lambda: config.Session(wait_timeout=1))), ("overwrite", refused(lambda: export.write(spark.range(1), "a", inputs=("a",))))]
-    return spark.createDataFrame(rows, "what string, shown string")
-
-
-@query("SELECT 'unique_jobs' AS \"table\", 3::BIGINT AS rows UNION ALL SELECT 'snapshots', 3 UNION ALL SELECT 'search_runs', 2 UNION ALL SELECT 'search_hits', 6 UNION ALL SELECT 'missing', 0")
+            asked = c.resolved(name)
+        except ValueError:  # a disabled profile asks for nothing
+            continue
+        url = F.when(F.col("profile") == name, U.search_url_of(words, F.col("n_name"), filters[name])).otherwise(url)
+        most = F.when(F.col("profile") == name, F.lit(int(asked["max_results"]))).otherwise(most)
+    formats = [export.format_of(*x) for x in ((" Sheet", "a"), (None, "b.CSV"), (None, "c"))]
+    return rows.select("s_suppkey", url.alias("url"), most.alias("max_results"), F.element_at(F.array(*map(F.lit, formats)), (key % 3 + 1).cast("int")).alias("format"))
+
+
+@query("""
+    SELECT 'unique_jobs' AS "table", count(*) AS rows FROM part UNION ALL SELECT 'snapshots', count(*) FROM part UNION ALL SELECT 'search_runs', 2 UNION ALL SELECT 'search_hits', 2 * count(*) FROM part
+    UNION ALL SELECT 'missing', 0 UNION ALL SELECT 'new in the second run', 0
+""")
 def demo_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The made-up records stored by two runs: new runs and hits, no new listings or contents; and a store that isn't there."""
-    path = new_path(spark, "demo-store")
+    """Parts as listings in JSON Lines, imported by two runs: new runs and hits, no new listings or contents; and a store that isn't
+    there."""
+    path, lines, k = new_path(spark, "parts-store"), new_path(spark, "parts-jsonl"), F.col("p_partkey").cast("string")
+    said = F.struct(k.alias("source_job_id"), F.concat(F.lit("https://example.com/p/"), k).alias("source_url"), F.col("p_brand").alias("company"), F.col("p_name").alias("title"), F.col("p_type").alias("description"))
+    table(spark, sf_dir, "part").select(F.to_json(said).alias("value")).write.text(lines)
     missing = stores.Store(spark, path).log()
     for _ in range(2):
-        stores.run_import(spark, "demo", path)
-    return stores.Store(spark, path).stats().unionByName(history.table_counts(missing=missing))
+        stores.run_import(spark, "jsonl", path, path=lines)
+    store = stores.Store(spark, path)
+    again = store.batches().orderBy(F.desc("version")).limit(1).select(F.lit("new in the second run").alias("table"), (F.col("new_listings") + F.col("new_contents")).alias("rows"))
+    return store.stats().unionByName(history.table_counts(missing=missing)).unionByName(again)
 
 
 @query("""
