@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import html, text as T, urls as U
 from ..operators import detail, folds, history, identity, joins, normalize
 from ..shared import new_path, saved
-from ..sources import config, jsonl, registry
+from ..sources import config, jsonl
 from . import export, store as stores
 from .catalog import log, query, table
 
