@@ -2,42 +2,18 @@
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
-import gc
-import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..shared import BROADCAST_ROWS, dropped, saved, shared_dir, small  # noqa: F401  (the operators take them from here)
+from ..shared import BROADCAST_ROWS, dropped, modest_batches, released, saved, shared_dir, small  # noqa: F401  (the operators take them from here)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Bytes of a batch between the JVM and Python workers; the engine's own default is many times that on either side.
-BATCH_BYTES = 8 << 20
-
-
-def modest_batches(df: DataFrame) -> DataFrame:
-    """df, whose session from now on exchanges Arrow batches of BATCH_BYTES at most: memory, not results, depends on it."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(re.sub(r"\D", "", conf.get(key)) or 0) > BATCH_BYTES:
-        conf.set(key, str(BATCH_BYTES))
-    return df
-
-
-def released() -> None:
-    """Gives memory that a finished task's objects held back to the system; Python workers live on between tasks."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL("libc.so.6").malloc_trim(0)
-
-
 def null_key(c: Column) -> Column:
     """A string that equals another's exactly when both are null or both are the same value."""
     return F.when(c.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), c.cast("string")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import classify, html, text as T, urls as U
+from ..shared import modest_batches
 from .joins import PLACEHOLDERS
 
 
@@ -14,7 +15,7 @@ def details(pages: DataFrame, today: Column | None = None, url_col: str = "url",
     id, posting date, company, title, description and location stand in for what the page lacks; its run fields stay in it. The date
     is the posting's, if that can be read, else the page's, whether or not that can be read, and the stub's only where the page says
     none."""
-    df = pages.withColumn("_p", html.extracted(F.col(html_col), F.col(url_col)))
+    df = modest_batches(pages).withColumn("_p", html.extracted(F.col(html_col), F.col(url_col)))
     p = lambda c: F.col(f"_p.{c}")
     title = F.coalesce(F.nullif(p("title"), F.lit("")), F.nullif(T.clean_text(F.split_part(p("page_title"), F.lit(" | "), F.lit(1))), F.lit("")), F.lit(""))
     known = set(pages.schema[stub].dataType.names) if stub else set()
@@ -50,5 +51,5 @@ def search_cards(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     """A row per card of each landed search page: the page's columns but its markup, the card's place in it (from 0), and what it says
     (html.CARD). Pages without cards have none."""
     kept = [c for c in pages.columns if c != html_col]
-    rows = pages.select(*kept, F.posexplode(html.cards_in(F.col(html_col), F.col(url_col))).alias("place", "card"))
+    rows = modest_batches(pages).select(*kept, F.posexplode(html.cards_in(F.col(html_col), F.col(url_col))).alias("place", "card"))
     return rows.select(*kept, F.col("place").cast("long").alias("place"), *(F.col(f"card.{f}").alias(f) for f in html.CARD))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import html, text as T, urls as U
 from ..operators import detail, folds, history, identity, joins, normalize
-from ..shared import new_path, saved
+from ..shared import modest_batches, new_path, saved
 from ..sources import config, jsonl
 from . import export, store as stores
 from .catalog import log, query, table
@@ -352,14 +352,14 @@ def html_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts as pages, with scripts, styles, comments and entities around them."""
     body = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;amp;")), F.lit("<"), F.lit("&amp;lt;")), F.lit(">"), F.lit("&amp;gt;"))
     page = F.concat(F.lit("<h1>Head "), F.col("doc_id").cast("string"), F.lit("</h1><style>p{}</style><script>var t='</p>';</script><p> "), body, F.lit("<br></p><!-- c --><noscript>no</noscript>\n<i>&copy; tail</i>"))
-    return table(spark, sf_dir, "documents").select("doc_id", html.html_to_text(page).alias("shown"))
+    return modest_batches(table(spark, sf_dir, "documents")).select("doc_id", html.html_to_text(page).alias("shown"))
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '<div id=\"job-details\">' || repeat('b', 90 + (doc_id % 7)::INT) || '</div>' END block FROM documents")
 def longest_description(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("doc_id")
     page = F.concat(F.lit('<div class="jobs-description__content">'), F.repeat(F.lit("a"), F.lit(85)), F.lit('</div><div id="job-details">'), F.repeat(F.lit("b"), (F.lit(90) + n % 7).cast("int")), F.lit("</div>"))
-    return table(spark, sf_dir, "documents").select(n, html.longest_description(F.when(n % 2 == 0, page).otherwise('<div id="job-details">short</div>')).alias("block"))
+    return modest_batches(table(spark, sf_dir, "documents")).select(n, html.longest_description(F.when(n % 2 == 0, page).otherwise('<div id="job-details">short</div>')).alias("block"))
 
 
 @query("""

@@ -105,3 +105,11 @@ def test_visible_text_of_pages_by_plain_splitting(spark):
     for r in pages.select("html", html.html_to_text(F.col("html")).alias("t")).collect():
         bare = re.sub(r"(?s)<!--.*?-->|<(script|style|noscript)\b.*?</\1>", "<>", entities.unescape(r["html"]))
         assert r["t"] == "\n".join(t for t in (" ".join(x.split()) for x in re.split(r"<[^>]*>", bare)) if t)
+
+
+def test_visible_text_without_a_tree():
+    """Strings are gathered as they come: deep pages have no limit, trees of whole batches aren't kept, and texts are as the tree's."""
+    pages = ["<p>a<b>b</p>c</b>d</p><script>x<p></script>e<style/>f<noscript>g<p>h</noscript>i</p>j<br>k<img/>l", "<noscript><i>a</noscript>b</i><noscript>c", "<style>a</style></style>b<noscript/>c<title>d<b>e</b></title>f &amp; &lt;g", "", "<p", "a</p>b<!-- c -->d"]
+    for page in pages:
+        assert html.shown(page) == list(html.parse(page).strings(hidden=False)), page
+    assert html.html_text("<div>" * 5_000 + "deep" + "</div>" * 5_000 + "end") == "deep\nend"
