@@ -130,7 +130,7 @@ def json_array_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _listing_rows(spark, sf_dir)
     export.write(rows.limit(3), path)
     export.write(rows, path)
-    return spark.read.schema("job_id long, company string, title string, description string, salary_min string, industries string").json(path, multiLine=True)
+    return export.read_json(spark, path, "job_id long, company string, title string, description string, salary_min string, industries string")
 
 
 _SAFE = r"CASE WHEN regexp_matches({0}, '^\s*[=+\-@]|^[\t\r\n]') THEN '''' || {0} ELSE {0} END"

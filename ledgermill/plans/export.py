@@ -8,11 +8,11 @@ import uuid
 from datetime import date, datetime, timezone
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ..functions import classify, text as T
 from ..operators import history
-from ..shared import file_system, renamed, same_place
+from ..shared import file_system, renamed, same_place, saved, small
 
 #: Columns of an export, in order: fixed values.
 EXPORT_FIELDS = (
@@ -170,3 +170,34 @@ def write(rows: DataFrame, output: str, format: str | None = None, inputs: tuple
     finally:
         fs.delete(staged, True)
         rows.unpersist()
+
+
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a JSON export. It has an object a line, so all tasks read it, where a multi-line reader is one task; a line that is
+    neither a row nor a bracket is an error."""
+    lines = spark.read.option("lineSep", "\n").text(path).where("value NOT IN ('[', ']', '')")
+    row = F.when(F.endswith("value", F.lit(",")), F.substring("value", F.lit(1), F.length("value") - 1)).otherwise(F.col("value"))
+    return lines.select(F.from_json(row, schema, {"mode": "FAILFAST"}).alias("row")).select("row.*")
+
+
+def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The rows of a CSV export as text, by its columns. A multi-line reader is one task for a file; here each task puts the records of
+    its block of the file together, whose cells may hold line ends: a line goes on with a record if the quotes before it are odd in
+    number. Quotes are counted by block first. Only records that go over the edge of a block are joined across tasks."""
+    read = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    odd = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    rows = saved(read.withColumn("quotes", odd), "csv-lines")  # read once: a second scan could cut the file otherwise
+    blocks = saved(rows.groupBy("start").agg(F.sum("quotes").alias("all")), "csv-blocks")  # a row per block
+    before = blocks.select("start", (F.sum("all").over(W.orderBy("start")) - F.col("all")).alias("before"))
+    block = W.partitionBy("start").orderBy("at")
+    lines = rows.join(small(before), "start").withColumn("inside", (F.col("before") + F.sum("quotes").over(block.rowsBetween(W.unboundedPreceding, 0)) - F.col("quotes")) % 2)
+    lines = lines.withColumn("record", F.sum(1 - F.col("inside")).over(block.rowsBetween(W.unboundedPreceding, 0)))  # 0: begun before
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda line: line["value"])
+    pieces = lines.groupBy("start", "record").agg(F.array_join(texts, "\n").alias("text"))
+    pieces = saved(pieces.withColumn("edge", F.col("record").isin(0, 1) | (F.col("record") == F.max("record").over(W.partitionBy("start")))), "csv-pieces")
+    edges = pieces.where("edge").withColumn("n", F.sum(F.when(F.col("record") > 0, 1).otherwise(0)).over(W.orderBy("start", "record")))  # three a block at most
+    joined_up = edges.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("start", "record", "text"))).alias("of")).where("n > 1")  # 1: the header
+    joined_up = joined_up.select(F.array_join(F.transform("of", lambda piece: piece["text"]), "\n").alias("text"))
+    options = {"mode": "FAILFAST", "multiLine": "true", "escape": '"', "lineSep": "\n", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    found = pieces.where("NOT edge").select("text").unionByName(joined_up)
+    return found.select(F.from_csv("text", ", ".join(f"`{c}` string" for c in columns), options).alias("row")).select("row.*")

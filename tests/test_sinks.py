@@ -88,3 +88,28 @@ def test_due_requests(spark):
     later = attempts.unionByName(spark.createDataFrame([("b", False), ("c", True)], "identity string, ok boolean"))
     assert due(later) == set() and due(later, retries=2) == {("b", 1, 3), ("e", 4, 3)}
     assert due(attempts, retries=0) == {("c", 3, 1)}
+
+
+@pytest.mark.parametrize("n", [0, 1, 400])
+def test_exports_are_read_by_many_tasks(spark, tmp_path, n):
+    """Blocks of a few kilobytes: cells with line ends, quotes and long texts go over their edges."""
+    said = ["plain", "", None, "two\nlines", 'a "quoted" one', '"', '""\n"', "\r\n", "\n\n", "x,\ny", "end,", "long \n" * 900, "=1", " \tpad "]
+    df = spark.createDataFrame([(i, said[i % len(said)], said[(i * 5 + i // 14) % len(said)]) for i in range(n)], "job_id long, company string, description string").repartition(3)
+    keys = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1k"}
+    export.write(df, f"{tmp_path}/a.csv")
+    export.write(df, f"{tmp_path}/a.json")
+    with open(f"{tmp_path}/a.csv", newline="") as f:
+        want = sorted(csv.reader(f))
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        back = export.read_csv(spark, f"{tmp_path}/a.csv", df.columns)
+        got = sorted([["" if v is None else v for v in r] for r in back.collect()] + [df.columns])
+        assert got == want
+        rows = export.read_json(spark, f"{tmp_path}/a.json", "job_id long, company string, description string")
+        assert sorted(map(repr, rows.collect())) == sorted(map(repr, df.collect()))
+        assert n < 400 or rows.rdd.getNumPartitions() > 10
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
