@@ -141,8 +141,7 @@ def csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "sink") + ".csv"
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("job_id"), F.col("source").alias("company"), F.concat(F.when(F.col("doc_id") % 4 == 0, "=").otherwise(""), "text").alias("description"))
     export.write(rows, path)
-    back = spark.read.options(header=True, multiLine=True, escape='"', lineSep="\n", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    return back.select("job_id", *(F.coalesce(c, F.lit("")).alias(c) for c in ("company", "description")))
+    return export.read_csv(spark, path, rows.columns).select("job_id", *(F.coalesce(c, F.lit("")).alias(c) for c in ("company", "description")))
 
 
 def _tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
