@@ -83,12 +83,13 @@ def direct_url_stubs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> str:
-    """The orders as JSON Lines in one file, a blank line after each seventh, and a list where the key is 5,001."""
+    """The orders as JSON Lines in files that follow one another by name, written by all tasks; a blank line after each seventh, and a
+    list where the key is 1,001."""
     path, k = new_path(spark, "orders-jsonl"), F.col("o_orderkey").cast("string")
     row = F.to_json(F.struct(F.concat(F.lit("https://e.com/"), k).alias("url"), F.concat(F.lit("https://e.com/"), k).alias("source_url"), k.alias("source_job_id"), F.lit("Acme").alias("company"), F.col("o_orderpriority").alias("title"), F.when(F.col("o_orderkey") % 5 == 0, " ").otherwise("text").alias("description"), F.lit("other").alias("source"), F.lit("x:1").alias("dedup_key")))
     said = F.when(F.col("o_orderkey") == 1001, "[1, 2]").otherwise(row)
     rows = table(spark, sf_dir, "orders").orderBy("o_orderkey").select(F.when(F.col("o_orderkey") % 7 == 0, F.concat(said, F.lit("\n "))).otherwise(said).alias("value"))
-    rows.coalesce(1).write.text(path)
+    rows.write.text(path)
     return path
 
 

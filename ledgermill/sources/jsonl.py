@@ -44,12 +44,8 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return numbered.where(text(F.col("value")).isNotNull())
 
 
-def scan(spark: SparkSession, path: str, source: str = "jsonl", profile: str = "local_import", run_id: str = "run", now: Column | None = None, max_results: int | None = None) -> Scan:
-    """Records of a file as the source's own: identities and hashes in them don't count, run and rank are set. Lines after
-    the first bad one, or after max_results valid ones, aren't looked at."""
-    if max_results is not None and max_results < 1:
-        raise ValueError("max_results must be positive")
-    raw = lines(spark, path)
+def _valid(raw: DataFrame, source: str, max_results: int | None) -> tuple[DataFrame, DataFrame, int | None]:
+    """The lines parsed; the valid ones up to the first bad one or the limit (all: the same table); the bad one's number."""
     parsed = raw.withColumn("r", F.from_json("value", SCHEMA)).withColumn("is_object", F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False)))
     rows = parsed.select("line", "value", "is_object", *(F.col(f"r.{f}").alias(f) for f in FIELDS if f not in ("dedup_key", "source")))
     rows = rows.withColumns({"source": F.lit(source), "capture_status": F.coalesce("capture_status", F.lit("complete"))})
@@ -60,7 +56,24 @@ def scan(spark: SparkSession, path: str, source: str = "jsonl", profile: str = "
     if max_results is not None:  # a limit is the driver's own small number of rows
         last = good.orderBy("line").limit(max_results).agg(F.max("line"), F.count("*")).first()
         if last[1] == max_results:
-            good, first_bad = rows.where(F.col("line") <= last[0]), None
+            return rows, rows.where(F.col("line") <= last[0]), None
+    return rows, good, first_bad
+
+
+#: Lines that a scan parses first: where it stops among them, the others aren't parsed.
+HEAD_LINES = 10_000
+
+
+def scan(spark: SparkSession, path: str, source: str = "jsonl", profile: str = "local_import", run_id: str = "run", now: Column | None = None, max_results: int | None = None) -> Scan:
+    """Records of a file as the source's own: identities and hashes in them don't count, run and rank are set. Lines after
+    the first bad one, or after max_results valid ones, aren't looked at."""
+    if max_results is not None and max_results < 1:
+        raise ValueError("max_results must be positive")
+    raw = lines(spark, path)
+    head = raw.where(F.col("line") <= HEAD_LINES)
+    rows, good, first_bad = _valid(head, source, max_results)
+    if first_bad is None and good is rows:  # neither a bad line nor the limit: on to the rest
+        rows, good, first_bad = _valid(raw, source, max_results)
     ranked = good.withColumn("seq", F.col("line")).withColumn("search_rank", F.row_number().over(W.partitionBy(F.lit(1)).orderBy("line"))) if max_results is not None else good.withColumn("seq", F.col("line")).withColumn("search_rank", F.col("line"))
     out = ranked.drop("bad", "is_object", "line").withColumns({"raw": F.col("value"), "run_id": F.lit(run_id), "search_profile_id": F.lit(profile), "captured_at": F.date_format(F.current_timestamp() if now is None else now, "yyyy-MM-dd'T'HH:mm:ss'Z'")}).drop("value")
     return Scan(normalize.downgraded(out), first_bad)

@@ -50,3 +50,21 @@ def test_an_amount_that_is_said_to_be_null(spark):
     got = shown(spark, *(posting(baseSalary=p) for p in pay))
     said = [tuple(None if r[c] is None else float(r[c]) for c in ("salary_min", "salary_max")) for r in got]
     assert said == [(None, 5), (None, 7), (5, 5), (5, 5), (None, None), (None, 5), (None, None)]
+
+
+def test_a_scan_parses_no_more_than_it_must(spark, tmp_path, monkeypatch):
+    """A bad line or the limit among the first lines: the others aren't parsed. Neither: all lines are."""
+    monkeypatch.setattr(jsonl, "HEAD_LINES", 10)
+    line = lambda i: json.dumps({"url": f"https://e.com/{i}", "source_url": f"https://e.com/{i}", "source_job_id": str(i), "company": "c", "title": "t", "description": "d"})
+    for part in range(2):
+        (tmp_path / f"{part}.jsonl").write_text("".join(("[1]" if i in (4, 30) else line(i)) + "\n" for i in range(part * 20, part * 20 + 20)))
+    parsed, kept = [], jsonl.saved
+    monkeypatch.setattr(jsonl, "saved", lambda df, name: parsed.append(kept(df, name)) or parsed[-1])
+    found = jsonl.scan(spark, str(tmp_path))
+    assert found.bad_line == 5 and found.records.count() == 4 and parsed[-1].count() == 10
+    assert jsonl.scan(spark, str(tmp_path), max_results=4).records.count() == 4 and parsed[-1].count() == 10
+    (tmp_path / "0.jsonl").write_text("".join(line(i) + "\n" for i in range(20)))
+    found = jsonl.scan(spark, str(tmp_path))
+    assert found.bad_line == 31 and found.records.count() == 30 and parsed[-1].count() == 40
+    found = jsonl.scan(spark, str(tmp_path), max_results=25)
+    assert found.bad_line is None and [r["search_rank"] for r in found.records.orderBy("seq").collect()] == list(range(1, 26))
