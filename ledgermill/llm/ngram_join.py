@@ -2,8 +2,10 @@
 
 1. Each text becomes a sorted array of 64-bit hashes of its distinct shingles. Equal sets are one node from here on,
    named by a 128-bit hash, so groups of copies of any size are combined in the map tasks that read them.
-2. A table of SKETCH counters, filled from all documents, orders shingles from rare to common. Two sets with Jaccard
-   0.75 or more share a shingle among the first quarter of either in any such order, so each set posts only those.
+2. The documents of each shingle are counted, by 32 bits of its hash, in slices of the hashes that tasks own. A table of levels
+   (powers of two of these counts) orders shingles from rare to common. Two sets with Jaccard
+   0.75 or more share a shingle among the first quarter of either in any such order, so each set posts only those, and none that
+   occurs once.
    Postings travel as packed arrays by hash range. Where at most FEW sets meet under a shingle, their pairs are taken if
    sizes and the shingle's places allow a link, and kept if their bitmap signatures do: the bits in which two differ
    bound their overlap from above. Where more meet, they are joined in a chain by size, never in all pairs. The
@@ -30,9 +32,14 @@ from .common import modest_batches, released, rows_of, saved, small
 from .components import components
 
 N = 5
-#: Counters of the frequency table: 16 MB, whatever the corpus. Where many rare shingles fall on a counter, they look common
-#: and rarity is a guess: more sets then meet under common shingles and are compared for nothing.
-SKETCH_BITS = 23
+#: Shingles are counted in so many slices of their hashes, each by one task: sorted differences, some 1.5 bytes a shingle.
+SLICE_BITS = 10
+#: Entries of the table of levels, of 4 bits each: 64 MB, whatever the corpus. Only shingles of several sets make entries, so those
+#: of one set, nearly all of a corpus, don't crowd it. A shingle that falls on another's entry looks as common as that: rarity
+#: is then a guess, and more sets meet under common shingles and are compared for nothing.
+LEVEL_BITS = 27
+#: Shingles that a map task sorts for counting at a time.
+COUNTED = 1 << 21
 #: So many sets that meet under a shingle are compared in pairs; more are chained.
 FEW = 8
 #: Postings of a hash range, about.
@@ -127,47 +134,82 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.nda
     released()
 
 
-_CHUNK = 1 << 14
-_MOST = 0xFFFF
+_LOW = 32 - SLICE_BITS
 
 
-def _counted(total: np.ndarray, held: list[np.ndarray]) -> None:
-    """Adds the shingles to their counters, which stop at _MOST."""
-    at, n = np.unique(np.concatenate(held) >> np.uint64(64 - SKETCH_BITS), return_counts=True)
-    at = at.astype(np.int64)
-    total[at] = np.minimum(total[at] + n, _MOST)
+def _sliced(held: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
+    """The shingles' upper 32 bits by slice: sorted differences, by byte planes, compressed."""
+    keys = np.sort((np.concatenate(held) >> np.uint64(32)).astype(np.uint32))
+    press = zstandard.ZstdCompressor(level=1)
+    at = np.searchsorted(keys, np.arange(1 << SLICE_BITS, dtype=np.uint32) << np.uint32(_LOW)).tolist() + [len(keys)]
+    for i in range(1 << SLICE_BITS):
+        if at[i] < at[i + 1]:
+            steps = np.diff(keys[at[i] : at[i + 1]] & np.uint32((1 << _LOW) - 1), prepend=np.uint32(0))
+            yield i, press.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _levels(parts: list[bytes]) -> np.ndarray:
+    """The levels of a slice's entries: 0 where no shingle occurs twice, else k for one that occurs more than 2^(k-1) times and at
+    most 2^k, the most common's; 15 at most."""
+    press = zstandard.ZstdDecompressor()
+    keys = [np.cumsum(np.ascontiguousarray(np.frombuffer(press.decompress(c), dtype=np.uint8).reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.uint32) for c in parts]
+    key = np.sort(np.concatenate(keys))
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    n = np.diff(np.concatenate((starts, [len(key)])))
+    some = n > 1
+    entry = (key[starts[some]] >> np.uint32(32 - LEVEL_BITS)).astype(np.int64)
+    out = np.zeros(1 << (LEVEL_BITS - SLICE_BITS), dtype=np.uint8)
+    np.maximum.at(out, entry, np.minimum(np.ceil(np.log2(n[some])), 15).astype(np.uint8))
+    return out
 
 
 def _names_and_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document (its set's name and size), then the task's counters in chunks, without empty ones."""
+    """A row per document (its set's name and size), then rows of the task's shingles by slice."""
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.binary()), ("counts", pa.binary())])
-    total = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
     held: list[np.ndarray] = []
     size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        rows = list(_sliced(held))
+        none = pa.nulls(len(rows), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array([i for i, _ in rows], pa.int64()), none, none, pa.nulls(len(rows), pa.binary()), pa.array([c for _, c in rows], pa.binary())], schema=schema)
+        held.clear()
+
     for ids, sets in _read(batches):
         names = [_name(s) for s in sets]
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), pa.nulls(len(ids), pa.binary())], schema=schema)
         held += sets
         size += sum(map(len, sets))
-        if size > 1 << 20:
-            _counted(total, held)
-            held, size = [], 0
-    if held:
-        _counted(total, held)
-    press = zstandard.ZstdCompressor(level=1)
-    chunks = total.reshape(-1, _CHUNK)
-    for i in np.flatnonzero(chunks.any(axis=1)).tolist():
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([i], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([press.compress(chunks[i].tobytes())], pa.binary())], schema=schema)
+        if size > COUNTED:
+            yield from flush()
+            size = 0
+    if size:
+        yield from flush()
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    press = zstandard.ZstdDecompressor()
-    for b in batches:
+def _leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (slice, counts) sorted by slice -> a row per slice: its levels, two to a byte."""
+    current, held = None, []
+
+    def flush() -> pa.RecordBatch:
+        x = _levels(held)
+        return pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([(x[0::2] | (x[1::2] << 4)).tobytes()], pa.binary())], names=["n", "levels"])
+
+    for b in rows_of(batches, 256):
         for k, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            sums[k] = np.minimum(sums.get(k, 0) + np.frombuffer(press.decompress(c), dtype=np.uint16).astype(np.uint32), _MOST)
-    for k, c in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([c.astype(np.uint16).tobytes()], pa.binary())], names=["n", "counts"])
+            if k != current:
+                if held:
+                    yield flush()
+                current, held = k, []
+            held.append(c)
+    if held:
+        yield flush()
+    released()
+
+
+def _level_of(table: np.ndarray, s: np.ndarray) -> np.ndarray:
+    at = s >> np.uint64(64 - LEVEL_BITS)
+    return (table[(at >> np.uint64(1)).astype(np.int64)] >> ((at & np.uint64(1)).astype(np.uint8) * np.uint8(4))) & np.uint8(15)
 
 
 def _components_in(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,28 +338,30 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     first = saved(slim.mapInArrow(_names_and_counts, "doc_id long, n long, s1 long, s2 long, bits binary, counts binary"), "ngram-names")
     names = first.where("counts is null").select("doc_id", "n", "s1", "s2")
-    counters = np.zeros(1 << SKETCH_BITS, dtype=np.uint16)
-    chunks = first.where("counts is not null").select("n", "counts").repartition("n").mapInArrow(_summed, "n long, counts binary")
-    for r in chunks.toLocalIterator():  # SKETCH_BITS bound what comes here: 16 MB
-        counters[r["n"] * _CHUNK : (r["n"] + 1) * _CHUNK] = np.frombuffer(r["counts"], dtype=np.uint16)
-    counts = spark.sparkContext.broadcast(counters)
+    table = np.zeros(1 << (LEVEL_BITS - 1), dtype=np.uint8)
+    slices = first.where("counts is not null").select("n", "counts").repartition("n").sortWithinPartitions("n")
+    part = 1 << (LEVEL_BITS - 1 - SLICE_BITS)
+    for r in saved(slices.mapInArrow(_leveled, "n long, levels binary"), "ngram-levels").toLocalIterator():  # LEVEL_BITS bound what comes here: 64 MB
+        table[r["n"] * part : (r["n"] + 1) * part] = np.frombuffer(r["levels"], dtype=np.uint8)
+    levels = spark.sparkContext.broadcast(table)
     named = first.where("counts is null and n > 0").groupBy("s1", "s2")
     reps = saved(named.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"), F.first("bits").alias("bits")), "ngram-sets")
     postings = reps.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, postings // 4 // RANGE_POSTINGS)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, shift = counts.value, np.uint64(64 - SKETCH_BITS)
+        table = levels.value
         seen: set[tuple[int, int]] = set()
         hashes: list[np.ndarray] = []
         nodes: list[int] = []
         sizes: list[int] = []
+        starts: list[int] = []
         lengths: list[int] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             h, k = np.concatenate(hashes), np.array(lengths)
             node, size = np.repeat(np.array(nodes, dtype=np.int64), k), np.repeat(np.array(sizes, dtype=np.uint32), k)
-            place = np.concatenate([np.arange(m, dtype=np.uint64) * np.uint64(65536) // np.uint64(n) for m, n in zip(lengths, sizes)]).astype(np.uint16)
+            place = np.concatenate([np.arange(a, a + m, dtype=np.uint64) * np.uint64(65536) // np.uint64(n) for a, m, n in zip(starts, lengths, sizes)]).astype(np.uint16)
             r = ((h & np.uint64(0xFFFFFFFF)) * np.uint64(ranges)) >> np.uint64(32)
             order = np.argsort(r, kind="stable")
             r, key, node, size, place = r[order], (h[order] >> np.uint64(32)).astype(np.uint32), node[order], size[order], place[order]
@@ -332,17 +376,22 @@ def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if not len(s) or (name := _name(s)) in seen:
                     continue
                 seen.add(name)
-                rare = np.argsort(table[(s >> shift).astype(np.int64)], kind="stable")[: prefix_length(len(s))]
-                hashes.append(s[rare])
+                level = _level_of(table, s)
+                rare = np.argsort(level, kind="stable")[: prefix_length(len(s))]
+                alone = int(np.count_nonzero(level[rare] == 0))  # come first; no other set has them, so nothing meets there
+                if alone == len(rare):
+                    continue
+                hashes.append(s[rare[alone:]])
                 nodes.append(name[0])
                 sizes.append(len(s))
-                lengths.append(len(rare))
-                held += len(rare)
+                starts.append(alone)
+                lengths.append(len(rare) - alone)
+                held += len(rare) - alone
             if len(seen) > 200_000:
                 seen.clear()
             if held >= PACK_POSTINGS:
                 yield from flush()
-                hashes.clear(), nodes.clear(), sizes.clear(), lengths.clear()
+                hashes.clear(), nodes.clear(), sizes.clear(), starts.clear(), lengths.clear()
                 held = 0
         if held:
             yield from flush()
