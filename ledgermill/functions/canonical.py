@@ -52,10 +52,19 @@ def canonical_json(c: Column) -> Column:
     return F.coalesce(F.when(~odd, F.to_json(F.try_parse_json(t))), exact_json(F.when(odd, t)))
 
 
+def _tokens(values: pa.Array) -> list[str]:
+    """token() of each value: once for each distinct one of a batch, as most fields of most records are null or repeat."""
+    if values.null_count == len(values):
+        return ["null"] * len(values)
+    coded = values.dictionary_encode()
+    known = [token(v) for v in coded.dictionary.to_pylist()]
+    return ["null" if i is None else known[i] for i in coded.indices.to_pylist()]
+
+
 @F.arrow_udf(S.StringType())
 def _hashed(fields: pa.Array) -> pa.Array:
     names = [f'"{field.name}":' for field in fields.type]
-    columns = [[token(v) for v in c.to_pylist()] for c in fields.flatten()]
+    columns = [_tokens(c) for c in fields.flatten()]
     return pa.array([hashlib.sha256(("{" + ",".join(n + t for n, t in zip(names, row)) + "}").encode()).hexdigest() for row in zip(*columns)], pa.string())
 
 

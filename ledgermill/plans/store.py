@@ -174,7 +174,9 @@ class Store(Versions):
             have = set(records.columns)
             other = F.coalesce(F.lower(T.text(F.col("source"))) != source, F.lit(True)) if source and "source" in have else F.lit(False)
             extra = {c: F.lit(None).cast("string") for c in KEEP if c not in have} | ({} if "seq" in have else {"seq": F.monotonically_increasing_id()})
-            rows = normalize.normalized(records.withColumns(extra | {"_other": other}), keep=(*KEEP, "_other"), include_raw=False)
+            # Dealt anew: a few large blocks of input would leave most tasks without work, and a record costs far more than its way.
+            dealt = records.withColumns(extra | {"_other": other}).hint("rebalance")
+            rows = normalize.normalized(dealt, keep=(*KEEP, "_other"), include_raw=False)
             rows = rows.withColumn("reason", F.when(F.col("_other"), "another source").when(F.col("dedup_key").isNull(), "no valid identity"))
             rows = rows.withColumns({"written_at": F.lit(now_text()), "seq": F.col("seq").cast("long")})
             seen = Observation()
