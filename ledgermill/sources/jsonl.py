@@ -32,7 +32,12 @@ class Scan:
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, value): physical line numbers from 1, without blank lines. A file's lines are numbered in its own order, and
+    """_numbered() without blank lines."""
+    return _numbered(spark, path).where(text(F.col("value")).isNotNull())
+
+
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
+    """(line, value): physical line numbers from 1. A file's lines are numbered in its own order, and
     files in the order of their paths. The files are read once, and written with each line's place in its block; the blocks
     (a row each) are then numbered apart. How files are cut depends on the task slots of the moment, so a second scan could
     cut them otherwise."""
@@ -40,8 +45,7 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     rows = saved(read, "jsonl-lines")
     blocks = saved(rows.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("at").alias("first")), "jsonl-blocks")
     before = blocks.withColumn("before", F.sum("n").over(W.orderBy("file", "start")) - F.col("n")).drop("n")
-    numbered = rows.join(small(before), ["file", "start"]).select((F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "value")
-    return numbered.where(text(F.col("value")).isNotNull())
+    return rows.join(small(before), ["file", "start"]).select((F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "value")
 
 
 def _valid(raw: DataFrame, source: str, max_results: int | None) -> tuple[DataFrame, DataFrame, int | None]:
@@ -69,8 +73,9 @@ def scan(spark: SparkSession, path: str, source: str = "jsonl", profile: str = "
     the first bad one, or after max_results valid ones, aren't looked at."""
     if max_results is not None and max_results < 1:
         raise ValueError("max_results must be positive")
-    raw = lines(spark, path)
-    head = raw.where(F.col("line") <= HEAD_LINES)
+    numbered = _numbered(spark, path)
+    raw = numbered.where(text(F.col("value")).isNotNull())
+    head = numbered.where(F.when(F.col("line") <= HEAD_LINES, text(F.col("value"))).isNotNull())  # one condition: only these are looked into
     rows, good, first_bad = _valid(head, source, max_results)
     if first_bad is None and good is rows:  # neither a bad line nor the limit: on to the rest
         rows, good, first_bad = _valid(raw, source, max_results)
