@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.llm import exact_dedup, langid, mixing, ngram_join, packing
-from ledgermill.llm.common import saved, table
+from ledgermill.llm.common import alone, dropped, saved, table  # noqa: F401
 
 #: No SQL: the stages train a classifier, hash shingles and run a tokenizer.
 ORACLE_SQL = None
@@ -35,7 +35,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: documents in training order, repeated or cut as their source's target asks. A null
     source is a source, the last; a document without words has no place in the mix. A cut row's n_chars is its own."""
-    return mixing.training_rows(mixing.mix(docs))
+    return mixing.trained(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +48,10 @@ STAGES = [("language ID", known_language), ("exact dedup", without_copies), ("n-
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over documents, each one's result written and read again."""
+    """The stages in order over documents, each one's result written and read again. What a stage was made from goes then."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for k, (name, stage) in enumerate(STAGES):
+        before, docs = docs, alone(spark, lambda: stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if k:
+            dropped(before)
     return docs

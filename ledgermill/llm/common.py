@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..shared import BROADCAST_ROWS, dropped, modest_batches, released, saved, shared_dir, small  # noqa: F401  (the operators take them from here)
+from ..shared import BROADCAST_ROWS, alone, dropped, modest_batches, released, saved, shared_dir, small  # noqa: F401  (the operators take them from here)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

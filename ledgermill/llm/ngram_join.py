@@ -28,7 +28,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import modest_batches, released, rows_of, saved, small
+from .common import alone, modest_batches, released, rows_of, saved, small
 from .components import components
 
 N = 5
@@ -333,7 +333,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """ngram_components() with the name of each row's set, (s1, s2). Sets are told apart by s1, not by an id."""
+    """ngram_components() with the name of each row's set, (s1, s2), as a table; what it was made from is removed. Sets are told
+    apart by s1, not by an id."""
+    return alone(docs.sparkSession, lambda: _classes(docs, id_col, text_col), "ngram-classes")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     first = saved(slim.mapInArrow(_names_and_counts, "doc_id long, n long, s1 long, s2 long, bits binary, counts binary"), "ngram-names")
@@ -508,7 +513,7 @@ def _rest_laid_out(large: DataFrame, clusters: DataFrame) -> DataFrame | None:
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay when of each component the document with the smallest id does; rows without an id stay.
     Of an id with several texts, only the rows whose set belongs to a smaller id go. Columns of any name are kept."""
-    found = saved(_components(docs, id_col, text_col).where("doc_id is not null").select("doc_id", (F.col("doc_id") != F.col("component_id")).alias("goes"), "s1", "s2"), "ngram-found")
+    found = _components(docs, id_col, text_col).where("doc_id is not null").select("doc_id", (F.col("doc_id") != F.col("component_id")).alias("goes"), "s1", "s2")
     gone = saved(found.where("goes").select("doc_id").distinct(), "ngram-gone")
     whole = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("words"))
     rest = whole.join(small(gone), "doc_id", "left_anti").select("row.*")

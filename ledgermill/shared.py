@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 import gc
 import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
@@ -33,6 +35,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgermill/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables saved since alone() began; None outside.
+_inner: contextvars.ContextVar[list[DataFrame] | None] = contextvars.ContextVar("inner", default=None)
+
+
 def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back: lineage ends there, and a lost
     executor costs no recomputation. The folder's owner removes old tables, as with checkpoints."""
@@ -41,6 +47,26 @@ def saved(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._ledgermill_path = path
+    if (inner := _inner.get()) is not None:
+        inner.append(out)
+    return out
+
+
+def alone(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """saved(make()), after which the tables that make() saved are removed. Meanwhile shuffle files go when the query that
+    wrote them ends, not when the driver happens to collect its garbage."""
+    key, inner = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before, token = spark.conf.get(key), _inner.set(inner)
+    spark.conf.set(key, "true")
+    try:
+        out = saved(make(), name)
+    finally:
+        spark.conf.set(key, before)
+        _inner.reset(token)
+    inner.pop()
+    dropped(*inner)
+    if (outer := _inner.get()) is not None:
+        outer.append(out)
     return out
 
 
