@@ -34,10 +34,11 @@ from .components import components
 N = 5
 #: Shingles are counted in so many slices of their hashes, each by one task: sorted differences, some 1.5 bytes a shingle.
 SLICE_BITS = 10
-#: Entries of the table of levels, of 4 bits each: 64 MB, whatever the corpus. Only shingles of several sets make entries, so those
+#: Entries of the table of levels, of 4 bits each: as many as the sets have shingles for every two, and from 2^LEAST_BITS to
+#: 2^LEVEL_BITS, 64 MB, whatever the corpus. Only shingles of several sets make entries, so those
 #: of one set, nearly all of a corpus, don't crowd it. A shingle that falls on another's entry looks as common as that: rarity
 #: is then a guess, and more sets meet under common shingles and are compared for nothing.
-LEVEL_BITS = 27
+LEVEL_BITS, LEAST_BITS = 27, 16
 #: Shingles that a map task sorts for counting at a time.
 COUNTED = 1 << 21
 #: So many sets that meet under a shingle are compared in pairs; more are chained.
@@ -148,8 +149,13 @@ def _sliced(held: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
             yield i, press.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
-def _levels(parts: list[bytes]) -> np.ndarray:
-    """The levels of a slice's entries: 0 where no shingle occurs twice, else k for one that occurs more than 2^(k-1) times and at
+def level_bits(shingles: int) -> int:
+    """The bits of the table of levels for sets of so many shingles in all."""
+    return min(LEVEL_BITS, max(LEAST_BITS, (shingles // 2).bit_length()))
+
+
+def _levels(parts: list[bytes], bits: int) -> np.ndarray:
+    """The levels of a slice's entries, of 2^bits in all: 0 where no shingle occurs twice, else k for one that occurs more than 2^(k-1) times and at
     most 2^k, the most common's; 15 at most."""
     press = zstandard.ZstdDecompressor()
     keys = [np.cumsum(np.ascontiguousarray(np.frombuffer(press.decompress(c), dtype=np.uint8).reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.uint32) for c in parts]
@@ -157,8 +163,8 @@ def _levels(parts: list[bytes]) -> np.ndarray:
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     n = np.diff(np.concatenate((starts, [len(key)])))
     some = n > 1
-    entry = (key[starts[some]] >> np.uint32(32 - LEVEL_BITS)).astype(np.int64)
-    out = np.zeros(1 << (LEVEL_BITS - SLICE_BITS), dtype=np.uint8)
+    entry = (key[starts[some]] >> np.uint32(32 - bits)).astype(np.int64)
+    out = np.zeros(1 << (bits - SLICE_BITS), dtype=np.uint8)
     np.maximum.at(out, entry, np.minimum(np.ceil(np.log2(n[some])), 15).astype(np.uint8))
     return out
 
@@ -187,12 +193,12 @@ def _names_and_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         yield from flush()
 
 
-def _leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _leveled(batches: Iterator[pa.RecordBatch], bits: int | None = None) -> Iterator[pa.RecordBatch]:
     """Rows (slice, counts) sorted by slice -> a row per slice: its levels, two to a byte."""
-    current, held = None, []
+    bits, current, held = bits or LEVEL_BITS, None, []
 
     def flush() -> pa.RecordBatch:
-        x = _levels(held)
+        x = _levels(held, bits)
         return pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([(x[0::2] | (x[1::2] << 4)).tobytes()], pa.binary())], names=["n", "levels"])
 
     for b in rows_of(batches, 256):
@@ -208,7 +214,7 @@ def _leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _level_of(table: np.ndarray, s: np.ndarray) -> np.ndarray:
-    at = s >> np.uint64(64 - LEVEL_BITS)
+    at = s >> np.uint64(64 - len(table).bit_length())  # two entries a byte
     return (table[(at >> np.uint64(1)).astype(np.int64)] >> ((at & np.uint64(1)).astype(np.uint8) * np.uint8(4))) & np.uint8(15)
 
 
@@ -343,16 +349,18 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     slim = modest_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     first = saved(slim.mapInArrow(_names_and_counts, "doc_id long, n long, s1 long, s2 long, bits binary, counts binary"), "ngram-names")
     names = first.where("counts is null").select("doc_id", "n", "s1", "s2")
-    table = np.zeros(1 << (LEVEL_BITS - 1), dtype=np.uint8)
-    slices = first.where("counts is not null").select("n", "counts").repartition("n").sortWithinPartitions("n")
-    part = 1 << (LEVEL_BITS - 1 - SLICE_BITS)
-    for r in saved(slices.mapInArrow(_leveled, "n long, levels binary"), "ngram-levels").toLocalIterator():  # LEVEL_BITS bound what comes here: 64 MB
-        table[r["n"] * part : (r["n"] + 1) * part] = np.frombuffer(r["levels"], dtype=np.uint8)
-    levels = spark.sparkContext.broadcast(table)
     named = first.where("counts is null and n > 0").groupBy("s1", "s2")
     reps = saved(named.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"), F.first("bits").alias("bits")), "ngram-sets")
     postings = reps.agg(F.sum("n")).first()[0] or 0
     ranges = max(1, postings // 4 // RANGE_POSTINGS)
+    bits = level_bits(postings)
+    table = np.zeros(1 << (bits - 1), dtype=np.uint8)
+    slices = first.where("counts is not null").select("n", "counts").repartition("n").sortWithinPartitions("n")
+    part = 1 << (bits - 1 - SLICE_BITS)
+    for r in saved(slices.mapInArrow(lambda batches: _leveled(batches, bits), "n long, levels binary"), "ngram-levels").toLocalIterator():  # LEVEL_BITS bound what comes here: 64 MB
+        table[r["n"] * part : (r["n"] + 1) * part] = np.frombuffer(r["levels"], dtype=np.uint8)
+    levels = spark.sparkContext.broadcast(table)
+    del table
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels.value
@@ -428,6 +436,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     posted = slim.mapInArrow(post, "range int, keys binary, nodes binary, sizes binary, places binary")
     met = saved(posted.repartition(min(ranges, 20_000), "range").sortWithinPartitions("range").mapInArrow(meet, "a long, b long, chained boolean").distinct(), "ngram-met")
+    levels.destroy()
     x, y = (reps.select(F.col("s1").alias(k), F.col("n").alias(f"n_{k}"), F.col("bits").alias(f"bits_{k}")) for k in ("a", "b"))
     pairs = met.where("not chained").select("a", "b").join(x, "a").join(y, "b").where(may("bits_a", "bits_b", "n_a", "n_b"))
     near = components(met.where("chained").select("a", "b").unionByName(pairs.select("a", "b")))

@@ -63,3 +63,7 @@ def test_alone_leaves_its_result_only(spark):
     with pytest.raises(ValueError):
         alone(spark, lambda: (_ for _ in ()).throw(ValueError()), "alone-out")
     assert spark.conf.get(key) == set_before
+
+
+def test_levels_grow_with_the_shingles():
+    assert [ngram_join.level_bits(n) for n in (0, 1000, 20_000_000, 100_000_000, 10**12)] == [16, 16, 24, 26, 27]
